@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from fonolith.llm.bpe import op7_bpe
+from fonolith.llm.language_id import op8_language_id
 from fonolith.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fonolith.llm.mixing import op9_mixing
 from fonolith.llm.quality_rules import OP3_SQL, op3_quality_rules
+from fonolith.llm.toxicity import op1_toxicity
 
-QUERIES = {"op3_quality_rules": op3_quality_rules, "op7_bpe": op7_bpe, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_quality_rules": op3_quality_rules, "op7_bpe": op7_bpe, "op8_language_id": op8_language_id, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
 SQL = {"op3_quality_rules": OP3_SQL, "op10_line_dedup": OP10_SQL}

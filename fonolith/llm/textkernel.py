@@ -108,3 +108,17 @@ def word_spans(buf: np.ndarray, off: np.ndarray, blank: np.ndarray = BLANK) -> t
         cut = np.unique(cut)
         start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
     return start, end, np.searchsorted(start, off, "left")
+
+#: Bytes that are no part of an alphabetic word: ASCII but for letters.  Bytes from 128 on belong to words.
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[128:] = False
+NOT_LETTER[65:91] = NOT_LETTER[97:123] = False
+
+
+def lower(buf: np.ndarray) -> np.ndarray:
+    """Lower case for ASCII and Latin-1 letters in UTF-8; other bytes stay."""
+    out = LOWER[buf]
+    if len(out) > 1:
+        second = (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)
+        out[1:][second] += 0x20
+    return out
