@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from fonolith.llm.common import BLANKS, join_checked, materialize
 
-#: A line goes if more than this share of its host's pages have it ...
-RATIO = 0.02
+#: A line goes if more than this share of its host's pages have it: well above the share that a group of copied pages is
+#: likely to have of its host, whose lines are no boilerplate ...
+RATIO = 0.08
 #: ... and at least this many pages of the host do.
 LEAST_PAGES = 8
 _FRACTION = 10_000
