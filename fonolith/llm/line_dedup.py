@@ -73,7 +73,7 @@ def host_of(url: Column) -> Column:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", host_of(F.col("url")).alias("host"), page_lines(F.col("html")).alias("text"))
-    done = drop_lines(pages, "text", "host")
+    done = drop_lines(materialize(pages), "text", "host")  # lines are read twice, HTML only once
     return done.select("page_id", "host", F.col("fr_lines").alias("n_lines"), F.col("fr_dropped").alias("n_dropped"), F.sha2("text", 256).alias("text_sha256"))
 
 
