@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,9 @@ from fonolith.llm.common import materialize
 from fonolith.llm.graph import components
 
 #: Words of a shingle, least similarity of a link, bands, components of a band.
-WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
+WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
+#: Buckets of at most so many members are compared pair by pair; larger ones in blocks of about so many.
+PAIRED, BLOCK = 8, 256
 _PIECE = 1 << 21
 
 
@@ -99,7 +102,7 @@ def banded(docs: DataFrame, key: str, text: str, bands: int, rows: int, words: i
             for i, j in tk.pieces(off, _PIECE):
                 owner, h, weight, c1, c2 = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
                 sig = signatures(owner, h, weight, j - i, bands * rows).reshape(j - i, bands, rows)
-                band = np.zeros((j - i, bands), np.uint64)
+                band = np.repeat(np.arange(bands, dtype=np.uint64)[None], j - i, 0)  # a band's hash holds its number
                 for r in range(rows):
                     band = tk.combine(band, sig[:, :, r])
                 full = np.bincount(owner, minlength=j - i) > 0
@@ -144,12 +147,57 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return two.select("a", "b", "s", "w", "s2", "w2").mapInArrow(body, "a long, b long")
 
 
+def linked_in_block(sets: list[bytes], weights: list[bytes], comp: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of places whose documents are similar enough, as many as it takes to join what is linked.
+
+    Pairs of one comp don't count; neither do pairs of one block, if there are two.  A probability Jaccard is at most the
+    share of either document's weight that is on common shingles; pairs that pass that are computed exactly.
+    """
+    s, w = [np.frombuffer(x, np.uint64) for x in sets], [np.frombuffer(x, np.uint32) for x in weights]
+    n, owner = len(s), np.repeat(np.arange(len(s)), [len(x) for x in s])
+    _, column = np.unique(np.concatenate(s), return_inverse=True)
+    weight, shared = np.concatenate(w).astype(np.float32), np.bincount(column)[column] > 1
+    owner, weight, column = owner[shared], weight[shared], np.unique(column[shared], return_inverse=True)[1]
+    common, width = np.zeros((n, n), np.float32), int(column.max(initial=-1)) + 1
+    for a in range(0, width, 4096):
+        some = (column >= a) & (column < a + 4096)
+        has, much = np.zeros((2, n, min(4096, width - a)), np.float32)
+        has[owner[some], column[some] - a], much[owner[some], column[some] - a] = 1, weight[some]
+        common += much @ has.T
+    share = common / np.array([max(1, int(x.sum())) for x in w], np.float32)[:, None]
+    near = np.triu(np.minimum(share, share.T) >= least - 1e-4, 1) & (comp[:, None] != comp[None])
+    if block.any():
+        near &= block[:, None] != block[None]
+    at, out = np.unique(comp, return_inverse=True)[1], []
+    for i, j in zip(*np.nonzero(near), strict=True):
+        if at[i] != at[j] and probability_jaccard(s[i], w[i], s[j], w[j]) >= least - 1e-9:
+            out.append((int(i), int(j)))
+            at[at == at[j]] = at[i]
+    return out
+
+
+def block_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that join the members (h, size, rep, comp) of each bucket h; every two members meet in some block."""
+    cut = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64(F.lit(9), "rep"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("h", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "comp", F.col("rep").alias("id")).join(sets, "id")
+
+    def body(group: pd.DataFrame) -> pd.DataFrame:
+        own = group["own"].to_numpy()
+        two = (own != own.min()) if group["b1"].iloc[0] != group["b2"].iloc[0] else np.zeros(len(own), bool)
+        pairs = linked_in_block(list(group["s"]), list(group["w"]), group["comp"].to_numpy(), two, least)
+        ids = group["id"].to_numpy()
+        return pd.DataFrame([(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs], columns=["a", "b"]).astype("int64")
+
+    return cut.groupBy("h", "b1", "b2").applyInPandas(body, "a long, b long")
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(key, class_id, text_id, kept), a row for each row of docs.
 
     text_id is the smallest key with the same words, class_id the smallest key reachable by links of at least the given
     similarity; kept: the key is the class_id.  Words are compared as they are; blanks between them don't matter.  A pair
-    at the bound meets in a band with probability 1 - (1 - similarity ** rows) ** bands (0.9999 by default), a more
+    at the bound meets in a band with probability 1 - (1 - similarity ** rows) ** bands (0.9994 by default), a more
     similar one with a higher one.  Null, empty and blank texts link with nothing, and neither do rows with a null key
     (class_id null, kept); rows that repeat a key are one document.  An empty table gives an empty table.
     """
@@ -157,29 +205,29 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     real = each.where(F.col("id").isNotNull() & (F.size("bands") > 0))
     classes = materialize(real.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")))
     # an id that stands for several texts (a repeated key) is one node
-    spread = materialize(classes.select("rep", F.posexplode("bands").alias("band", "h")).distinct())
-    ends = spread.groupBy("band", "h").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    met = materialize(spread.join(ends, ["band", "h"]))
-    # each member of a bucket meets its first and its last member ...
+    spread = classes.select("rep", F.explode("bands").alias("h"))
+    full = materialize(spread.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    met = materialize(spread.join(full, "h").distinct())
+    # each member of a bucket meets the member that meets most others over all bands (of a text and its edited copies, the
+    # text), and the first member ...
+    degree = met.groupBy("rep").agg(F.sum("n").alias("degree"))
+    ends = met.join(degree, "rep").groupBy("h").agg(F.min("rep").alias("lo"), F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hi"))
+    met = materialize(met.select("h", "rep").join(ends, "h"))
     star = materialize(met.select("rep", F.explode(F.array("lo", "hi")).alias("b")).where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
     nodes = materialize(met.select(F.col("rep").alias("id")).distinct())
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("fr_text")).join(nodes, "id", "left_semi").dropDuplicates(["id"])
     sets = materialize(weighted_sets(source, "id", "fr_text", words))
     linked = materialize(verified(star, sets, similarity))
     joined = components(linked)
-    # ... and members that neither has brought together meet each other
-    known = met.join(joined, met.rep == joined.id, "left").select("band", "h", "rep", "lo", "hi", F.coalesce("component", "rep").alias("comp"))
-    home = known.groupBy("band", "h").agg(F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi")).where("c_lo < c_hi")
-    open_ = materialize(known.where("rep <> lo and rep <> hi").join(home, ["band", "h"]).select("band", "h", "rep", "comp"))
-    largest = open_.groupBy("band", "h", "comp").agg(F.count("*").alias("n")).groupBy("band", "h").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    marked = materialize(open_.join(largest, ["band", "h"]))
-    stray = marked.where("comp <> main").select("band", "h", F.col("rep").alias("x"), F.col("comp").alias("cx"))
-    other = marked.select("band", "h", F.col("rep").alias("y"), F.col("comp").alias("cy"))
-    rest = stray.join(other, ["band", "h"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialize(rest.join(star, ["a", "b"], "left_anti"))
+    # ... and members that neither has brought together meet each other: as pairs in small buckets, else in blocks
+    known = met.join(joined, met.rep == joined.id, "left").select("h", "rep", "lo", "hi", F.coalesce("component", "rep").alias("comp"))
+    home = known.where("rep <> lo and rep <> hi").groupBy("h").agg(F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi"), F.count("*").alias("size")).where("c_lo < c_hi").select("h", "size")
+    open_ = materialize(known.where("rep <> lo and rep <> hi").join(home, "h").select("h", "size", "rep", "comp"))
+    few = open_.where(F.col("size") <= PAIRED)
+    rest = few.select("h", F.col("rep").alias("a"), F.col("comp").alias("ca")).join(few.select("h", F.col("rep").alias("b"), F.col("comp").alias("cb")), "h").where("a < b and ca <> cb").select("a", "b").distinct()
+    more = materialize(verified(rest.join(star, ["a", "b"], "left_anti"), sets, similarity).unionByName(block_links(open_.where(F.col("size") > PAIRED), sets, similarity)))
     if more.limit(1).count():
-        linked = linked.unionByName(materialize(verified(more, sets, similarity)))
-        joined = components(linked)
+        joined = components(linked.unionByName(more))
     named = classes.select("c1", "c2", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", "rep", F.coalesce("component", "rep").alias("comp"))
     out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named.withColumn("real", F.lit(True)), ["c1", "c2", "real"], "left")
     found = F.coalesce("comp", "id")
