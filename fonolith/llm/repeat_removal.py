@@ -30,7 +30,7 @@ from fonolith.llm import textkernel as tk
 #: Bytes of a window and of a trigger; bytes of text in a group, on average; the most ranges of hashes.
 LENGTH, TRIGGER = 100, 32
 GROUP, RANGES = 12 << 20, 4096
-_PIECE, _PLACE = 1 << 21, np.uint64(26)
+_PIECE, _PLACE = 1 << 20, np.uint64(26)
 #: What the parse says of a phrase: its windows are new, all occur earlier, or its suffixes must be compared.
 NEW, REPEATED, COMPARE = 0, 1, 2
 
@@ -65,7 +65,8 @@ def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, trigger: int =
         windows, start, at = np.diff(np.append(cut, len(first))), window[cut], at[cut]
         ahead = at - start
         phrase = tk.combine(tk.between(sums, start, start + windows + length - 1), (ahead * length + windows).astype(np.uint64))
-        for k, v in zip(keys, (h[at], phrase, start + base, windows, ahead), strict=True):
+        # the least of many hashes is small; mixed again, triggers spread over all ranges
+        for k, v in zip(keys, (tk.mix(h[at]), phrase, start + base, windows, ahead), strict=True):
             parts[k].append(v)
     kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
     return {k: np.concatenate(v) if v else np.zeros(0, kind) for (k, v), kind in zip(parts.items(), kinds, strict=True)}
@@ -186,7 +187,7 @@ def settle(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, windows: np.n
     for a, z in zip(edges, np.append(edges[1:], len(order)), strict=True):
         chunk.append(order[a:z])
         count += int(windows[order[a:z]].sum())
-        if count > 400_000:
+        if count > 200_000:
             todo.append(np.concatenate(chunk))
             chunk, count = [], 0
     if chunk:
@@ -196,7 +197,7 @@ def settle(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, windows: np.n
         own = np.repeat(np.arange(len(some)), n)
         k = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
         at = begin[some][own] + k
-        bytes_ = data[at[:, None] + np.arange(length)]
+        bytes_ = np.lib.stride_tricks.sliding_window_view(data, length)[at]
         key_number = np.unique(keys[some], return_inverse=True)[1]
         group = equal_suffixes(bytes_, key_number[own] * length + (ahead[some][own] - k))
         tied = np.flatnonzero(group >= 0)
