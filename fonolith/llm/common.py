@@ -63,6 +63,11 @@ def without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """docs with all columns in one struct, fr_row, and the named ones beside it: no other name can clash with new columns."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("fr_row"), *names)
+
+
 def join_checked(left: DataFrame, right: DataFrame, on, how: str = "left", rows: int = 100_000) -> DataFrame:
     """left joined to a small right side: broadcast if right has at most `rows` rows (it is counted), else shuffled.
 

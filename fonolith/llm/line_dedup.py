@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fonolith.llm.common import BLANKS, join_checked, materialize
+from fonolith.llm.common import BLANKS, join_checked, materialize, packed
 
 #: A line goes if more than this share of its host's pages have it: well above the share that a group of copied pages is
 #: likely to have of its host, whose lines are no boilerplate ...
@@ -57,7 +57,9 @@ def drop_lines(pages: DataFrame, text: str = "text", host: str = "source", ratio
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """docs without boilerplate lines, source as host, n_chars brought up to date."""
-    return drop_lines(docs).withColumn("n_chars", F.when(F.col("fr_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    done = drop_lines(packed(docs, "text", "source"))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("fr_dropped") > 0, F.length("text")).otherwise(F.col("fr_row.n_chars")).cast("long")}
+    return done.select(*(new.get(c, F.col(f"fr_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def page_lines(html: Column) -> Column:

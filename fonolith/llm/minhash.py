@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
-from fonolith.llm.common import materialize
+from fonolith.llm.common import materialize, packed
 from fonolith.llm.graph import components
 
 #: Words of a shingle, least similarity of a link, bands, components of a band.
@@ -237,7 +237,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs of which near_classes keeps the doc_id (and those without one), with the columns of docs."""
     gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("fr_id")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("fr_id"), "left_anti")
+    return packed(docs).join(gone, F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ Each source has a target of words.  All its documents get the same expected numb
 source; the whole part is given to each, and the fractional parts are rounded against each other: a document is paired
 with the pool of the smaller ones, and mass moves between the two at random, keeping their expected words, until one is
 integral.  Blocks of a source are rounded independently and hand on at most one fractional document each; these meet
-again in blocks, level by level, until one is left, which is rounded alone.  So a source misses its target by less than
+again in blocks, pair by pair and level by level, until one is left, which is rounded alone.  So a source misses its target by less than
 one document.  Random numbers come from document ids, so reruns agree.
 """
 
@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fonolith.llm.common import materialize, words
+from fonolith.llm.common import materialize, packed, words
 
 #: The weights of sources in order of code points, repeated; the share of all words to take; the most copies (the contract's).
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
@@ -48,14 +48,36 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return table.select("source", "source_size", F.when(capped, F.col("source_size") * most).otherwise(F.least(F.lit(rate) * F.col("weight"), F.col("source_size") * most)).alias("target"))
 
 
-def pivot(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
+def pivot_pairs(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
     """Rounds p (in (0, 1)) to 0 or 1 but for one entry, whose number is returned (-1: none is left).
 
-    Entries come largest size first.  Each is paired with the pool of all smaller ones: words move between the two at
-    random until the entry is integral, or else the pool is.  The pool's members share a move in proportion to what they
-    can give or take, so the pool stays an affine function of the given p (probability = scale * p + shift).  The sum of
-    size * p stays the same, each p keeps its expectation, and what stays fractional is the smallest entry, unless the
-    pool is too small to balance a large one.  u: a random number for each entry.
+    Entries meet in pairs, in order: words move between the two until one is integral, and the other meets the next
+    entry.  The sum of size * p stays the same, and each p keeps its expectation.  u: a random number for each entry.
+    """
+    out, a = p.astype(np.float64), -1
+    for b in range(len(out)):
+        if not _NEAR < out[b] < 1 - _NEAR:
+            out[b] = round(out[b])
+            continue
+        if a < 0:
+            a = b
+            continue
+        sa, sb = float(size[a]), float(size[b])
+        up, down = min((1 - out[a]) * sa, out[b] * sb), min(out[a] * sa, (1 - out[b]) * sb)  # words that can move to a, or from it
+        move = up if u[b] * (up + down) < down else -down
+        for i, q in ((a, out[a] + move / sa), (b, out[b] - move / sb)):
+            out[i] = q if _NEAR < q < 1 - _NEAR else round(q)
+        a = a if 0 < out[a] < 1 else b if 0 < out[b] < 1 else -1
+    return out, a
+
+
+def pivot(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
+    """Like pivot_pairs, for entries that all have the same p, largest size first.
+
+    Each entry is paired with the pool of all smaller ones: words move between the two at random until the entry is
+    integral, or else the pool is.  The pool's members keep one common p, so its expectation stays too (members of
+    unequal p would not keep theirs).  What stays fractional is the smallest entry, unless the pool is too small to
+    balance a large one.
     """
     out, scale, shift = p.astype(np.float64), 1.0, 0.0
     pool, words = float((size * out).sum()), float(size.sum())  # expected words of the pool, and all its words
@@ -90,7 +112,7 @@ def _uniform(key: pd.Series) -> np.ndarray:
 def _round(level: int):
     def body(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["size", f"u{1 - level % 2}", "row", "key"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
-        p, left = pivot(block["size"].to_numpy(np.float64), block["p"].to_numpy(np.float64), _uniform(block[f"u{level % 2}"]))
+        p, left = (pivot if level == 0 else pivot_pairs)(block["size"].to_numpy(np.float64), block["p"].to_numpy(np.float64), _uniform(block[f"u{level % 2}"]))
         return block.drop(columns="block").assign(p=p, open=np.arange(len(block)) == left)
 
     return body
@@ -141,11 +163,11 @@ def taken_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", sourc
 
 def mix_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """docs with each row as often as it is taken, and the columns of docs."""
-    numbered = docs.withColumn("fr_size", F.size(words(F.col("text"))).cast("long"))
-    numbered = numbered.withColumn("fr_n", F.row_number().over(Window.partitionBy(key).orderBy("source", "fr_size")))
-    c = taken_copies(docs, key).select(F.col(key).alias("fr_key"), "fr_row", "copies").where("copies > 0")
-    rows = numbered.join(c, numbered[key].eqNullSafe(F.col("fr_key")) & (F.col("fr_n") == F.col("fr_row")))
-    return rows.withColumn("fr_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    numbered = packed(docs).withColumn("fr_size", F.size(words(F.col("fr_row.text"))).cast("long"))
+    numbered = numbered.withColumn("fr_n", F.row_number().over(Window.partitionBy(f"fr_row.{key}").orderBy("fr_row.source", "fr_size")))
+    c = taken_copies(docs, key).select(F.col(key).alias("fr_key"), "fr_row", "copies").withColumnRenamed("fr_row", "fr_place").where("copies > 0")
+    rows = numbered.join(c, F.col(f"fr_row.{key}").eqNullSafe(F.col("fr_key")) & (F.col("fr_n") == F.col("fr_place")))
+    return rows.withColumn("fr_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("fr_row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

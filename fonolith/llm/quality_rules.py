@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fonolith.llm.common import join_checked, let, materialize, without, words
+from fonolith.llm.common import join_checked, let, materialize, packed, without, words
 
 #: Symbols that count as noise (a fixed value).
 SYMBOLS = "#*$%&|<>"
@@ -102,7 +102,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     counts_only: the text column goes, and the counts of each document are made once and kept in the shared folder;
     without it texts are never written, and counts are made in both passes over docs.
     Null and empty texts have no words and so fail the base rules.  Null lang or source is a group of its own.  Rows
-    that repeat are judged alike; an empty table gives an empty table; other columns pass through untouched.
+    that repeat are judged alike; an empty table gives an empty table; other columns pass through untouched (names that
+    begin with fr_ are this function's own).
     """
     rows = measured(docs, text)
     if counts_only:
@@ -120,7 +121,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs."""
-    return judge(docs).where("fr_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return judge(packed(docs), "fr_row.text", "fr_row.lang", "fr_row.source").where("fr_kept").select("fr_row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,13 +136,15 @@ _SHIFT = "greatest(length(bin({0})) - 6, 0)"
 #: The same result in DuckDB's SQL.
 OP3_SQL = rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, lang, source, text, regexp_extract_all(text, '[^ 	-]+') AS ws FROM t),
+w AS (SELECT doc_id, lang, source, text, regexp_extract_all(text, '[^ 	-
+]+') AS ws FROM t),
 pos AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) > 5),
 win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM pos),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, (SELECT unnest(range(5)) AS k) GROUP BY doc_id),
 ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
-       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) WHERE regexp_matches(l, '[^ 	-]') GROUP BY doc_id),
+       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) WHERE regexp_matches(l, '[^ 	-
+]') GROUP BY doc_id),
 m AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
