@@ -17,7 +17,7 @@ from fonolith.llm.common import join_checked, let, materialize, packed, without,
 #: Symbols that count as noise (a fixed value).
 SYMBOLS = "#*$%&|<>"
 #: Measure: least distance of its upper limit from the median.  A document beyond the limit of any measure is rejected.
-MARGINS = {"symbols": 150, "dup_lines": 500, "repeats": 190, "length": 300}
+MARGINS = {"symbols": 150, "dup_lines": 500, "repeats": 200, "length": 600}
 #: How many spreads (the distance of the 90 % quantile from the median) the limit lies above the median.
 SPREADS = 4
 #: (lang, source) groups with fewer documents use the sketch of all documents.
