@@ -76,5 +76,7 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str = "left", rows:
     return left.join(F.broadcast(right) if right.limit(rows + 1).count() <= rows else right, on, how)
 
 
-def total_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def group_count(spark: SparkSession, size: int, target: int) -> int:
+    """Groups of about `target` bytes for so many bytes; of fewer, down to a sixteenth, where else some cores would idle."""
+    idle = min(2 * spark.sparkContext.defaultParallelism, -(-size // max(1, target // 16)))
+    return max(1, -(-size // target), idle)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
-from fonolith.llm.common import materialize
+from fonolith.llm.common import group_count, materialize
 
 #: Bytes of text in a group, on average; the most ranges of hashes.
 GROUP, RANGES = 12 << 20, 4096
@@ -91,7 +91,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
     kind = dict(docs.dtypes)[key]
     t = F.coalesce(F.col(text), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(t))).first()[0] or 0
-    groups = max(1, -(-size // GROUP))
+    groups = group_count(docs.sparkSession, size, GROUP)
     ranges = min(RANGES, max(16, groups))
     dealt = docs.select(F.col(key).alias("k"), t.alias("t"), F.coalesce(train, F.lit(False)).alias("train"), F.pmod(F.xxhash64(F.lit(29), key, F.length(t)), F.lit(groups)).cast("int").alias("g"))
 

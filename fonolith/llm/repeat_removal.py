@@ -13,6 +13,8 @@ place) says which occurrence is the first.  Comparisons of suffixes are of bytes
 
 Texts are dealt into groups.  A group sends each distinct phrase once, in blobs by ranges of trigger hashes, so a passage
 that occurs very often takes one entry a group; a range decides for all groups; answers meet the group's texts again.
+Where a trigger has very many distinct phrases (it ends a line that is everywhere, say), windows instead of phrases go
+to ranges of their own hashes, each distinct window once a group.
 """
 
 from __future__ import annotations
@@ -26,13 +28,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
+from fonolith.llm.common import group_count
 
 #: Bytes of a window and of a trigger; bytes of text in a group, on average; the most ranges of hashes.
 LENGTH, TRIGGER = 100, 32
-GROUP, RANGES = 12 << 20, 4096
+GROUP, RANGES = 8 << 20, 4096
 _PIECE, _PLACE = 1 << 20, np.uint64(26)
-#: What the parse says of a phrase: its windows are new, all occur earlier, or its suffixes must be compared.
-NEW, REPEATED, COMPARE = 0, 1, 2
+#: What the parse says of a phrase: its windows are new, all occur earlier, its suffixes must be compared, or there are
+#: too many phrases with its trigger (more than CROWD) to meet in one place, so that its windows are told apart by hash.
+NEW, REPEATED, COMPARE, SCATTER = 0, 1, 2, 3
+CROWD = 4096
 
 
 def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, trigger: int = TRIGGER) -> dict[str, np.ndarray]:
@@ -123,6 +128,7 @@ class Group:
     """The texts of a group in corpus order, parsed."""
 
     def __init__(self, table: pa.Table, length: int, trigger: int) -> None:
+        self.length = length
         self.table = table.sort_by([("k", "ascending"), ("t", "ascending")])
         self.buf, self.off = tk.flat(self.table.column("t"))
         k = self.table.column("k").combine_chunks() if self.table.num_rows else pa.array([], pa.int64())
@@ -155,8 +161,17 @@ class Group:
         out[self.again] = REPEATED
         return out
 
+    def scattered(self, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of phrases in state SCATTER, the phrase of each, the sorted distinct hashes and the first window of each."""
+        some = np.sort(self.sent[state[self.sent] == SCATTER])
+        n = self.p["windows"][some]
+        phrase = np.repeat(some, n)
+        window = np.repeat(self.p["start"][some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        keys, first = np.unique(tk.span_hashes(self.buf, window, window + self.length), return_index=True)
+        return window, phrase, keys, first
 
-def decide(keys: np.ndarray, phrases: np.ndarray, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
+
+def decide(keys: np.ndarray, phrases: np.ndarray, docs: np.ndarray, places: np.ndarray, crowd: int = CROWD) -> np.ndarray:
     """The state of each phrase of a range: by the number of phrases of its trigger, and whether it occurs earlier."""
     order = np.lexsort((places, docs, phrases, keys))
     k, p = keys[order], phrases[order]
@@ -165,7 +180,8 @@ def decide(keys: np.ndarray, phrases: np.ndarray, docs: np.ndarray, places: np.n
     new[1:] = new_key[1:] | (p[1:] != p[:-1])
     group = np.cumsum(new_key) - 1
     distinct = np.bincount(group, new)
-    state = np.where(~new, REPEATED, np.where(distinct[group] > 1, COMPARE, NEW))
+    many = distinct[group]
+    state = np.where(~new, REPEATED, np.where(many > crowd, SCATTER, np.where(many > 1, COMPARE, NEW)))
     out = np.empty(len(k), np.uint8)
     out[order] = state
     return out
@@ -208,17 +224,17 @@ def settle(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, windows: np.n
     return out
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, trigger: int = TRIGGER, with_kept: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, trigger: int = TRIGGER, with_kept: bool = True, crowd: int = CROWD) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) and, with_kept, kept (binary): a row for each row of docs.
 
     Every byte goes that a `length`-byte string covers which starts earlier too (smaller key, or same row at an earlier
     byte); overlaps count, no string crosses rows, and strings are judged on the input.  Null counts as an empty text.
     Rows that repeat a key are in the order of their texts, and rows with a null key come last.  An empty table gives an
-    empty table.  The key must be a whole number.
+    empty table.  The key must be a whole number.  Triggers with more than `crowd` distinct phrases are scattered.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(t))).first()[0] or 0
-    groups = max(1, -(-size // GROUP))
+    groups = group_count(docs.sparkSession, size, GROUP)
     ranges = min(RANGES, max(16, groups))
     dealt = docs.select(F.col(key).cast("long").alias("k"), t.alias("t"), F.pmod(F.xxhash64(F.lit(31), key), F.lit(groups)).cast("int").alias("g"))
 
@@ -231,7 +247,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     def reply(table: pa.Table) -> pa.Table:
         keys = np.concatenate([np.cumsum(d, dtype=np.uint64) for d in _blobs(table, "a", np.uint64)])
-        state = decide(keys, *(np.concatenate(_blobs(table, c, kind)) for c, kind in (("b", np.uint64), ("c", np.int64), ("d", np.int64))))
+        state = decide(keys, *(np.concatenate(_blobs(table, c, kind)) for c, kind in (("b", np.uint64), ("c", np.int64), ("d", np.int64))), crowd)
         sizes = table.column("size").to_pylist()
         parts = np.split(state, np.cumsum(sizes)[:-1])
         return _table([(g, r, 0, n, _pack(s), None, None, None, None) for g, r, n, s in zip(table.column("g").to_pylist(), table.column("r").to_pylist(), sizes, parts, strict=True)])
@@ -250,6 +266,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             key = p["key"][w]
             shape = (p["ahead"][w] << 32) | p["windows"][w]
             rows.append((g, r, 2, z - a, _pack(np.append(key[:1], np.diff(key))), _pack(group.doc[w]), _pack(group.place[w]), _pack(shape), _pack(group.buf[at])))
+        window, phrase, keys, first = group.scattered(state)
+        for r, a, z in _cuts(keys, ranges):
+            w = first[a:z]
+            place = group.place[phrase[w]] + window[w] - p["start"][phrase[w]]
+            rows.append((g, r, 3, z - a, _pack(np.append(keys[a : a + 1], np.diff(keys[a:z]))), _pack(group.doc[phrase[w]]), _pack(place), None, None))
         return _table(rows)
 
     def answer(table: pa.Table) -> pa.Table:
@@ -265,6 +286,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             hit = settle(np.concatenate(keys), docs_, places, np.concatenate(windows), ahead, data, length)
             parts = np.split(hit, np.cumsum([int(w.sum()) for w in windows])[:-1])
             rows += [(g, r, 2, len(h), _pack(np.packbits(h)), None, None, None, None) for g, r, h in zip(asked.column("g").to_pylist(), asked.column("r").to_pylist(), parts, strict=True)]
+        asked = table.filter(pa.array(kind == 3))
+        if asked.num_rows:
+            keys = np.concatenate([np.cumsum(d, dtype=np.uint64) for d in _blobs(asked, "a", np.uint64)])
+            order = np.lexsort((np.concatenate(_blobs(asked, "c", np.int64)), np.concatenate(_blobs(asked, "b", np.int64)), keys))
+            hit = np.zeros(len(keys), bool)
+            hit[order[1:]] = keys[order][1:] == keys[order][:-1]
+            sizes = asked.column("size").to_pylist()
+            rows += [(g, r, 3, n, _pack(np.packbits(h)), None, None, None, None) for g, r, n, h in zip(asked.column("g").to_pylist(), asked.column("r").to_pylist(), sizes, np.split(hit, np.cumsum(sizes)[:-1]), strict=True)]
         return _table(rows)
 
     names = ["k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
@@ -277,17 +306,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         state = np.zeros(0, np.uint8)
         for n, b in zip(*(right.filter(pa.array(kind == 1)).column(c).to_pylist() for c in ("size", "a")), strict=True):
             state = _unpack(b, np.uint8, n)
-        rows = sorted(zip(*(right.filter(pa.array(kind == 2)).column(c).to_pylist() for c in ("r", "size", "a")), strict=True))
-        hit = np.concatenate([np.unpackbits(_unpack(b, np.uint8, -(-n // 8)))[:n] for _, n, b in rows]).astype(bool) if rows else np.zeros(0, bool)
+
+        def hits(k: int) -> np.ndarray:
+            rows = sorted(zip(*(right.filter(pa.array(kind == k)).column(c).to_pylist() for c in ("r", "size", "a")), strict=True))
+            return np.concatenate([np.unpackbits(_unpack(b, np.uint8, -(-n // 8)))[:n] for _, n, b in rows]).astype(bool) if rows else np.zeros(0, bool)
+
         edge = np.zeros(len(group.buf) + 1, np.int32)
         whole = np.flatnonzero(state == REPEATED)
         np.add.at(edge, p["start"][whole], 1)
         np.add.at(edge, p["start"][whole] + p["windows"][whole] + length - 1, -1)
         some = group.sent[state[group.sent] == COMPARE]
         n = p["windows"][some]
-        window = (np.repeat(p["start"][some] - (np.cumsum(n) - n), n) + np.arange(n.sum()))[hit]
-        np.add.at(edge, window, 1)
-        np.add.at(edge, window + length, -1)
+        window = (np.repeat(p["start"][some] - (np.cumsum(n) - n), n) + np.arange(n.sum()))[hits(2)]
+        scattered, _, _, first = group.scattered(state)
+        repeated = np.ones(len(scattered), bool)
+        repeated[first] = hits(3)
+        for w in (window, scattered[repeated]):
+            np.add.at(edge, w, 1)
+            np.add.at(edge, w + length, -1)
         gone = np.cumsum(edge[:-1]) > 0
         n_texts, off = len(group.off) - 1, group.off
         before = np.append(False, gone[:-1]) if len(gone) else gone

@@ -134,8 +134,8 @@ def result(df):
     return collections.Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize("length", [100, 24])
-def test_repeats_brute(spark, monkeypatch, length):
+@pytest.mark.parametrize(("length", "crowd"), [(100, 4096), (24, 4096), (100, 1), (24, 3)])
+def test_repeats_brute(spark, monkeypatch, length, crowd):
     monkeypatch.setattr(repeat_removal, "GROUP", 2500)
     rng = random.Random(3)
     parts = ["".join(rng.choice("abc ") for _ in range(300)) for _ in range(5)] + ["a" * 260, "xy" * 130, "abcdé " * 60]
@@ -144,7 +144,7 @@ def test_repeats_brute(spark, monkeypatch, length):
         cut = lambda: (p := rng.choice(parts))[rng.randrange(len(p)) :][: rng.randrange(300)]
         rows.append((i * 3, "".join(cut() if rng.random() < 0.7 else sentence(rng, 3) for _ in range(rng.randrange(8)))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(repeat_removal.remove_repeats(df, length=length, trigger=max(4, length // 3))) == removed(rows, length)
+    assert result(repeat_removal.remove_repeats(df, length=length, trigger=max(4, length // 3), crowd=crowd)) == removed(rows, length)
 
 
 def test_repeats_query_and_edges(spark):
