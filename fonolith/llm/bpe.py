@@ -18,12 +18,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from fonolith.llm import textkernel as tk
 
 #: The pattern of the byte-level pre-tokenizer (a fixed value), with blanks as Unicode's property White_Space.
 _W = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|{_W}+(?!(?!{_W})[\s\S])|{_W}+"
 #: Entries of a worker's table of encoded pieces; a full table is emptied.  Longer pieces are encoded each time.
-CACHE, CACHED_CHARS = 400_000, 64
+CACHE, CACHED_CHARS = 250_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -110,6 +111,7 @@ _open: dict[str, Tokenizer] = {}
 def tokenizer(path: str) -> Tokenizer:
     if path not in _open:
         _open[path] = Tokenizer(path)
+        tk.give_back()  # reading the file takes more than what stays
     return _open[path]
 
 
@@ -137,7 +139,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
                 types = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=False))], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 4 + 2 * with_ids])
 
-    return docs.select(key, text).mapInArrow(body, schema)
+    return docs.select(key, text).mapInArrow(tk.lean(body), schema)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

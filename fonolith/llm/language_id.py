@@ -147,7 +147,7 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str, train: Colu
                     blobs.append(frequencies(part).astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(blobs, pa.binary())], names=["l", "x"])
 
-    got = chosen.select("l", "t").mapInArrow(body, "l string, x binary").toArrow()
+    got = chosen.select("l", "t").mapInArrow(tk.lean(body), "l string, x binary").toArrow()
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float16).reshape(-1, DIM).astype(np.float32)
     number = {name: i for i, name in enumerate(languages)}
     return languages, x, np.array([number[v] for v in got.column("l").to_pylist()], int)
@@ -177,7 +177,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)], names=[key, "lang_pred", "score", "ambiguous"])
 
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return docs.select(key, text, letter.alias("letter")).mapInArrow(body, f"`{key}` {kind}, lang_pred string, score double, ambiguous boolean")
+    return docs.select(key, text, letter.alias("letter")).mapInArrow(tk.lean(body), f"`{key}` {kind}, lang_pred string, score double, ambiguous boolean")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

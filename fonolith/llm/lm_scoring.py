@@ -113,8 +113,8 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         sums, known = answer(keys, counts)
         return pa.table([table.column("g"), table.column("n"), table.column("r"), table.column("size"), pa.array([_pack(s) for s in sums], pa.binary()), table.column("tokens"), pa.array([known if i == 0 else 0 for i in range(len(sizes))], pa.int64())], names=["g", "n", "r", "size", "sums", "tokens", "known"])
 
-    asked = dealt.groupBy("g").applyInArrow(ask, "g int, n int, r int, size long, keys binary, counts binary, tokens long")
-    replies = materialize(asked.groupBy("n", "r").applyInArrow(reply, "g int, n int, r int, size long, sums binary, tokens long, known long"))
+    asked = dealt.groupBy("g").applyInArrow(tk.lean(ask), "g int, n int, r int, size long, keys binary, counts binary, tokens long")
+    replies = materialize(asked.groupBy("n", "r").applyInArrow(tk.lean(reply), "g int, n int, r int, size long, sums binary, tokens long, known long"))
     n, v = replies.where("n = 1").agg(F.sum("tokens"), F.sum("known")).first()
     n, v = n or 0, v or 0
     whole = n + v + 1
@@ -144,7 +144,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         return pa.table(columns, names=["k", "fr_train", "n_tokens", "n_known", "base_score", "scores", "without"])
 
     schema = f"k {kind}, fr_train boolean, n_tokens long, n_known long, base_score double, scores array<double>, without array<double>"
-    scored = materialize(dealt.groupBy("g").cogroup(replies.select("g", "n", "r", "size", "sums").groupBy("g")).applyInArrow(score, schema))
+    scored = materialize(dealt.groupBy("g").cogroup(replies.select("g", "n", "r", "size", "sums").groupBy("g")).applyInArrow(tk.lean(score), schema))
     sums = scored.where("without is not null").agg(*(F.sum(F.get("without", F.lit(i))) for i in range(len(STRENGTHS)))).first()
     best = max(range(len(STRENGTHS)), key=lambda i: sums[i] if sums[i] is not None else 0.0)
     return scored.select(F.col("k").alias(key), "fr_train", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", F.get("scores", F.lit(best)).alias("score"), F.lit(STRENGTHS[best]).alias("strength"))

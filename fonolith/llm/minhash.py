@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
-from fonolith.llm.common import materialize, packed
+from fonolith.llm.common import drop_files, materialize, packed
 from fonolith.llm.graph import components
 
 #: Words of a shingle, least similarity of a link, bands, components of a band.
@@ -109,7 +109,7 @@ def banded(docs: DataFrame, key: str, text: str, bands: int, rows: int, words: i
                 values = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32), pa.array(band[full].ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), values], names=["id", "c1", "c2", "bands"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(body, "id long, c1 long, c2 long, bands array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(tk.lean(body), "id long, c1 long, c2 long, bands array<long>")
 
 
 def weighted_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
@@ -125,7 +125,7 @@ def weighted_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame
                 w = [weight[a:z].astype(np.uint32).tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.binary()), pa.array(w, pa.binary())], names=["id", "s", "w"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(body, "id long, s binary, w binary")
+    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(tk.lean(body), "id long, s binary, w binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -144,7 +144,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     one = pairs.join(sets.select(F.col("id").alias("a"), "s", "w"), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("s").alias("s2"), F.col("w").alias("w2")), "b")
-    return two.select("a", "b", "s", "w", "s2", "w2").mapInArrow(body, "a long, b long")
+    return two.select("a", "b", "s", "w", "s2", "w2").mapInArrow(tk.lean(body), "a long, b long")
 
 
 def linked_in_block(sets: list[bytes], weights: list[bytes], comp: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
@@ -187,6 +187,8 @@ def block_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         two = (own != own.min()) if group["b1"].iloc[0] != group["b2"].iloc[0] else np.zeros(len(own), bool)
         pairs = linked_in_block(list(group["s"]), list(group["w"]), group["comp"].to_numpy(), two, least)
         ids = group["id"].to_numpy()
+        if len(group) > BLOCK // 2:
+            tk.give_back()
         return pd.DataFrame([(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs], columns=["a", "b"]).astype("int64")
 
     return cut.groupBy("h", "b1", "b2").applyInPandas(body, "a long, b long")
@@ -228,6 +230,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     more = materialize(verified(rest.join(star, ["a", "b"], "left_anti"), sets, similarity).unionByName(block_links(open_.where(F.col("size") > PAIRED), sets, similarity)))
     if more.limit(1).count():
         joined = components(linked.unionByName(more))
+    for done in (full, met, star, nodes, sets, linked, open_, more):
+        drop_files(done)
     named = classes.select("c1", "c2", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", "rep", F.coalesce("component", "rep").alias("comp"))
     out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named.withColumn("real", F.lit(True)), ["c1", "c2", "real"], "left")
     found = F.coalesce("comp", "id")

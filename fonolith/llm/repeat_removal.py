@@ -335,11 +335,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
         return pa.table([c if isinstance(c, pa.ChunkedArray | pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)][: len(names)], names=names)
 
-    replies = dealt.groupBy("g").applyInArrow(ask, _SCHEMA).groupBy("r").applyInArrow(reply, _SCHEMA)
-    compared = dealt.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(compare, _SCHEMA)
-    answers = compared.groupBy("r").applyInArrow(answer, _SCHEMA)
+    replies = dealt.groupBy("g").applyInArrow(tk.lean(ask), _SCHEMA).groupBy("r").applyInArrow(tk.lean(reply), _SCHEMA)
+    compared = dealt.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(tk.lean(compare), _SCHEMA)
+    answers = compared.groupBy("r").applyInArrow(tk.lean(answer), _SCHEMA)
     schema = "k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
-    return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(remove, schema).withColumnRenamed("k", key)
+    return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(tk.lean(remove), schema).withColumnRenamed("k", key)
 
 
 def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
