@@ -16,6 +16,7 @@ from fonolith.plans import payload
 from fonolith.schema import END_PADDING_MS, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
 from fonolith.sources import sinks
 from fonolith.sources.transcripts import clip_listing, read_transcripts, segments_of, words_of
+from fonolith.workers import ready
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,7 @@ def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, opt
     Clips are numbered on from those in output/wavs.  With export, segments are cut under provisional names first, and
     only those that succeed are numbered; failures count as skipped.
     """
+    ready(spark)
     documents = read_transcripts(spark, source)
     if documents.where(F.coalesce("audio_file", F.lit("")) == "").limit(1).count():
         raise ValueError("transcription['audio_file'] missing")
