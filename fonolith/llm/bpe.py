@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -19,12 +20,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from fonolith.llm import textkernel as tk
+from fonolith.workers import ready
 
 #: The pattern of the byte-level pre-tokenizer (a fixed value), with blanks as Unicode's property White_Space.
 _W = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|{_W}+(?!(?!{_W})[\s\S])|{_W}+"
-#: Entries of a worker's table of encoded pieces; a full table is emptied.  Longer pieces are encoded each time.
-CACHE, CACHED_CHARS = 250_000, 64
+#: The same for texts of ASCII, for the quicker engine: letters, digits and blanks are the ASCII ones.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+#: Encoded pieces that a worker keeps: so many of late, and so many before, of which those in use move on.  Longer pieces
+#: are encoded each time.
+CACHE, CACHED_CHARS = 160_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -46,23 +51,25 @@ class Tokenizer:
         model, self.letters = spec["model"], byte_letters()
         vocab = model["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        self.merges = {vocab[a] << 24 | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
         self.byte_ids = [vocab[c] for c in self.letters]
         back = {c: b for b, c in enumerate(self.letters)}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.strings = {str(i): bytes(back[c] for c in s) for s, i in vocab.items()} | {str(i): s.encode() for s, i in self.special.items()}
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.pattern = regex.compile(PATTERN)
+        self.pattern, self.ascii_pattern = regex.compile(PATTERN), re.compile(ASCII_PATTERN, re.ASCII)
         self.known: dict[str, str] = {}
+        self.before: dict[str, str] = {}
 
     def piece(self, data: bytes) -> list[int]:
         """The ids of one piece of text."""
-        merges, ids, n = self.merges, [self.byte_ids[b] for b in data], len(data)
+        merges, ids, n = self.merges, list(map(self.byte_ids.__getitem__, data)), len(data)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        queue = [(m[0], i, a, b, m[1]) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (m := merges.get(a << 24 | b))]
         heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            _, i, left, right, new = heapq.heappop(queue)
+            _, i, left, right, new = pop(queue)
             j = after[i]
             if ids[i] != left or j >= n or ids[j] != right:
                 continue  # stale
@@ -70,17 +77,17 @@ class Tokenizer:
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(queue, (m[0], i, new, ids[k], m[1]))
-            if (h := before[i]) >= 0 and (m := merges.get((ids[h], new))):
-                heapq.heappush(queue, (m[0], h, ids[h], new, m[1]))
+                if m := merges.get(new << 24 | ids[k]):
+                    push(queue, (m[0], i, new, ids[k], m[1]))
+            if (h := before[i]) >= 0 and (m := merges.get(ids[h] << 24 | new)):
+                push(queue, (m[0], h, ids[h], new, m[1]))
         return [x for x in ids if x >= 0]
 
     def _miss(self, piece: str) -> str:
-        out = ",".join(map(str, self.piece(piece.encode("utf-8"))))
+        out = self.before.get(piece) or ",".join(map(str, self.piece(piece.encode("utf-8"))))
         if len(piece) <= CACHED_CHARS:
             if len(self.known) >= CACHE:
-                self.known.clear()
+                self.known, self.before = {}, self.known
             self.known[piece] = out
         return out
 
@@ -97,8 +104,9 @@ class Tokenizer:
         return ",".join(parts)
 
     def _ordinary(self, text: str) -> list[str]:
-        get, miss = self.known.get, self._miss
-        return [get(p) or miss(p) for p in self.pattern.findall(text)]
+        pieces = (self.ascii_pattern if text.isascii() else self.pattern).findall(text)
+        miss, known = self._miss, self.known  # misses may start a new table; this text goes on with the one it has
+        return [known.get(p) or miss(p) for p in pieces]
 
     def decode(self, ids: str) -> str:
         """The text of decimal ids joined by commas; bytes that are no UTF-8 become replacement characters."""
@@ -121,6 +129,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     Null counts as empty: no tokens, and the hashes of an empty string.  Rows that repeat are encoded alike, an empty
     table gives an empty table, and no other column is read.  No row is shuffled.
     """
+    ready(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
 
