@@ -17,7 +17,9 @@ def ready(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_fonolith_sent", False):
         return
-    found = [os.path.realpath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p]
+    # workers of local mode start in the driver's folder, those of a local cluster in their own; both have its environment
+    folders = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *([] if sc.master.startswith("local-cluster") else [os.getcwd()])]
+    found = [os.path.realpath(p) for p in folders if p]
     if not (sc.master.startswith("local") and str(_ROOT.parent) in found):
         path = os.path.join(tempfile.mkdtemp(prefix="fonolith-"), "fonolith-package.zip")
         with zipfile.ZipFile(path, "w") as z:
