@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fonolith.llm.common import join_checked, materialize
 from fonolith.llm.graph import components
+from fonolith.workers import ready
 
 COSINE = 0.9
 #: Filters that a vector exceeds and vectors in a filter, on average; the fewest filters; vectors compared in one task.
@@ -145,6 +146,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     null key (their component is null and kept false); vectors of different lengths don't link.  Equal vectors are one
     class whose rows all link with each other; only classes are compared.  An empty table gives an empty table.
     """
+    ready(vectors.sparkSession)
     small = dict(vectors.dtypes)[column] == "array<float>"
     kind = np.float32 if small else np.float64
     v = F.col(column) if small else F.col(column).cast("array<double>")
