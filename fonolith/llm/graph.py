@@ -18,16 +18,20 @@ def components(edges: DataFrame) -> DataFrame:
     """
     order = lambda c: F.struct(F.xxhash64(F.lit(17), c).alias("h"), F.col(c).alias("id"))
     live = materialize(edges.where("a <> b").select("a", "b").distinct())
-    place = materialize(live.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("at")))
+    place = None
     while live.limit(1).count():
         both = live.select("a", "b").union(live.select("b", "a"))
         first = both.groupBy("a").agg(F.min(order("b")).alias("m")).select(F.col("a").alias("node"), F.least("m", order("a"))["id"].alias("to"))
         first = materialize(first)
-        moved = materialize(place.join(first, place.at == first.node, "left").select("id", F.coalesce("to", "at").alias("at")))
+        moves = first.select(F.col("node").alias("id"), F.col("to").alias("at"))
+        if place is not None:
+            old, moves = place, materialize(place.join(first, place.at == first.node, "left").select("id", F.coalesce("to", "at").alias("at")))
+            drop_files(old)
         fa, fb = first.select(F.col("node").alias("a"), F.col("to").alias("ta")), first.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         left = materialize(live.join(fa, "a").join(fb, "b").where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-        for old in (live, place, first):
-            drop_files(old)
-        live, place = left, moved
+        drop_files(live)
+        live, place = left, moves
+    if place is None:
+        return live.select(F.col("a").alias("id"), F.col("b").alias("component"))
     least = place.groupBy("at").agg(F.min("id").alias("component"))
     return materialize(place.join(least, "at").select("id", "component"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fonolith.llm import textkernel as tk
 from fonolith.llm.common import drop_files, materialize, packed
 from fonolith.llm.graph import components
+from fonolith.workers import ready
 
 #: Words of a shingle, least similarity of a link, bands, components of a band.
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
@@ -203,21 +204,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     similar one with a higher one.  Null, empty and blank texts link with nothing, and neither do rows with a null key
     (class_id null, kept); rows that repeat a key are one document.  An empty table gives an empty table.
     """
+    ready(docs.sparkSession)
     each = materialize(banded(docs, key, text, bands, rows, words))
     real = each.where(F.col("id").isNotNull() & (F.size("bands") > 0))
     classes = materialize(real.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")))
     # an id that stands for several texts (a repeated key) is one node
     spread = classes.select("rep", F.explode("bands").alias("h"))
     full = materialize(spread.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
-    met = materialize(spread.join(full, "h").distinct())
+    # tables that grow with the corpus are merged at any size, never broadcast where they happen to be small
+    met = crowd = materialize(spread.join(full.hint("merge"), "h").distinct())
     # each member of a bucket meets the member that meets most others over all bands (of a text and its edited copies, the
     # text), and the first member ...
     degree = met.groupBy("rep").agg(F.sum("n").alias("degree"))
     ends = met.join(degree, "rep").groupBy("h").agg(F.min("rep").alias("lo"), F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hi"))
     met = materialize(met.select("h", "rep").join(ends, "h"))
     star = materialize(met.select("rep", F.explode(F.array("lo", "hi")).alias("b")).where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
-    nodes = materialize(met.select(F.col("rep").alias("id")).distinct())
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("fr_text")).join(nodes, "id", "left_semi").dropDuplicates(["id"])
+    nodes = met.select(F.col("rep").alias("id")).distinct()
+    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("fr_text")).join(nodes.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
     sets = materialize(weighted_sets(source, "id", "fr_text", words))
     linked = materialize(verified(star, sets, similarity))
     joined = components(linked)
@@ -230,7 +233,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     more = materialize(verified(rest.join(star, ["a", "b"], "left_anti"), sets, similarity).unionByName(block_links(open_.where(F.col("size") > PAIRED), sets, similarity)))
     if more.limit(1).count():
         joined = components(linked.unionByName(more))
-    for done in (full, met, star, nodes, sets, linked, open_, more):
+    for done in (full, crowd, met, star, sets, linked, open_, more):
         drop_files(done)
     named = classes.select("c1", "c2", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", "rep", F.coalesce("component", "rep").alias("comp"))
     out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named.withColumn("real", F.lit(True)), ["c1", "c2", "real"], "left")
@@ -241,7 +244,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs of which near_classes keeps the doc_id (and those without one), with the columns of docs."""
     gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("fr_id")).distinct()
-    return packed(docs).join(gone, F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
+    return packed(docs).join(gone.hint("merge"), F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
