@@ -200,3 +200,14 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: The same result in DuckDB's SQL, from all pairs.
+OP6_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept FROM embeddings e JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""

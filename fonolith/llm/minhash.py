@@ -249,3 +249,23 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+_LEAST = SIMILARITY - 1e-9
+#: The same result in DuckDB's SQL, from all pairs with a common shingle.
+OP4_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {WORDS - 1}, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
+g AS (SELECT doc_id, array_to_string(list_slice(ws, i, i + {WORDS - 1}), ' ') AS s, count(*)::DOUBLE AS n FROM i GROUP BY ALL),
+total AS (SELECT doc_id, sum(n) AS n FROM g GROUP BY doc_id),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS x, b.n AS y, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+c AS (SELECT m.a, m.b, ta.n - sum(k * x) AS ra, tb.n - sum(k * y) AS rb FROM m JOIN total ta ON ta.doc_id = m.a JOIN total tb ON tb.doc_id = m.b
+      GROUP BY m.a, m.b, ta.n, tb.n HAVING sum(k * x) >= {_LEAST} * ta.n AND sum(k * y) >= {_LEAST} * tb.n),
+d AS (SELECT p.a, p.b, p.x, p.y, any_value(p.k) AS k, sum(q.k * greatest(q.x / p.x, q.y / p.y)) + any_value(c.ra) / p.x + any_value(c.rb) / p.y AS whole
+      FROM c JOIN m p ON p.a = c.a AND p.b = c.b JOIN m q ON q.a = p.a AND q.b = p.b GROUP BY p.a, p.b, p.x, p.y),
+l AS (SELECT a, b FROM d GROUP BY a, b HAVING sum(k / whole) >= {_LEAST}),
+both_ AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, both_.b FROM reach JOIN both_ ON reach.b = both_.a),
+class AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
+SELECT w.doc_id, class_id, CASE WHEN len(ws) > 0 THEN min(w.doc_id) OVER (PARTITION BY ws) ELSE w.doc_id END AS text_id, w.doc_id = class_id AS kept FROM w JOIN class ON class.doc_id = w.doc_id
+"""

@@ -346,3 +346,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
 def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False)
+
+
+#: The same result in DuckDB's SQL, from all windows.
+OP5_SQL = f"""
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(length(hex(encode(coalesce(text, '')))) // 2 AS BIGINT) AS n FROM documents),
+p AS (SELECT doc_id, x, unnest(range(0, n - {LENGTH - 1})) AS i FROM h WHERE n >= {LENGTH}),
+w AS (SELECT doc_id, i, md5_number(substring(x, 2 * i + 1, {2 * LENGTH})) AS k FROM p),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM w) WHERE place > 1),
+runs AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run
+         FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS opens FROM later)),
+spans AS (SELECT doc_id, min(i) AS s, max(i) + {LENGTH} AS e FROM runs GROUP BY doc_id, run),
+kept AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS b FROM spans),
+cut AS (SELECT doc_id, sum(e - s) AS gone, count(*) AS n_spans, string_agg(substring(x, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) || substring(any_value(x), 2 * max(e) + 1) AS rest
+        FROM kept JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, x))) AS kept_sha256 FROM h LEFT JOIN cut USING (doc_id)
+"""
