@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
+from fonolith.workers import ready
 
 #: Hashed trigrams; texts in the training sample (over all languages); languages at most.
 DIM, SAMPLE, MOST_LANGUAGES = 4096, 4000, 1000
@@ -73,12 +74,13 @@ class Model:
         self.w, self.bias, self.trust = np.zeros((DIM, bits), np.float32), np.zeros(bits), np.ones(bits)
 
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 120, rate: float = 0.05, decay: float = 3e-4) -> None:
-        """Logistic regression for all bits together, by Adam over all rows.  x: frequencies; y: numbers of languages."""
+        """Logistic regression for all bits together, by Adam over all rows.  x: frequencies (they are scaled in place); y: numbers of languages."""
         bits = self.code.shape[1]
         if not bits or not len(x):
             return
-        scale = 1 / (x.std(0) + 1e-4)
-        x = x * scale
+        mean = x.mean(0, dtype=np.float64)
+        scale = (1 / (np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean * mean, 0)) + 1e-4)).astype(np.float32)
+        x *= scale  # in place: the sample is the largest thing on the driver
         target = (self.code[y] > 0).astype(np.float32)
         per_class = np.bincount(y, minlength=len(self.languages))
         weight = (1 / np.maximum(per_class, 1))[y].astype(np.float32)[:, None]
@@ -124,6 +126,7 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str, train: Colu
 
     Besides its whole text, each chosen row gives one fragment of 40 to 200 bytes, so that short texts are known too.
     """
+    ready(docs.sparkSession)
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), F.col(key).alias("k"), F.col(text).alias("t"))
     counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
@@ -148,7 +151,9 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str, train: Colu
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(blobs, pa.binary())], names=["l", "x"])
 
     got = chosen.select("l", "t").mapInArrow(tk.lean(body), "l string, x binary").toArrow()
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float16).reshape(-1, DIM).astype(np.float32)
+    x = np.empty((got.num_rows, DIM), np.float32)
+    for i, blob in enumerate(got.column("x")):
+        x[i] = np.frombuffer(blob.as_buffer(), np.float16)
     number = {name: i for i, name in enumerate(languages)}
     return languages, x, np.array([number[v] for v in got.column("l").to_pylist()], int)
 
@@ -165,6 +170,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
     Null texts, and texts without a letter, get `und` and score 0; so does every text if no language was learned.
     """
+    ready(docs.sparkSession)
     kind, shared = dict(docs.dtypes)[key], docs.sparkSession.sparkContext.broadcast(model)
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
