@@ -55,7 +55,9 @@ def merge_adjacent(spans: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame
     begins = F.col("reach").isNull() | (F.col("viseme") != F.lag("viseme").over(order)) | (F.col("start_ms") > F.col("reach") + tolerance)
     island = F.sum(F.when(begins, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     numbered = alive.withColumn("seq", island - 1).withColumn("start_ms", F.greatest("start_ms", "reach"))
-    return numbered.groupBy("audio_id", "seq").agg(F.first("viseme").alias("viseme"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
+    # an island has one shape; as a key, it leaves numbers only to aggregate, which hashing can do
+    merged = numbered.groupBy("audio_id", "seq", "viseme").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
+    return merged.select("audio_id", "seq", "viseme", "start_ms", "end_ms")
 
 
 def timeline(spans: DataFrame, silence: bool = True, threshold: float = SILENCE_MS) -> DataFrame:
