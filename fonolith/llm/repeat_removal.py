@@ -41,14 +41,28 @@ NEW, REPEATED, COMPARE, SCATTER = 0, 1, 2, 3
 CROWD = 4096
 
 
+def slices(off: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    """Offsets of the texts of each piece; a longer text comes in slices that share length - 1 bytes, so each window is in one.
+
+    No piece is so long that a place in it needs more than _PLACE bits.
+    """
+    most = min(_PIECE, (1 << int(_PLACE)) - length + 1)
+    for i, j in tk.pieces(off, most):
+        if off[j] - off[i] <= most:
+            yield off[i : j + 1]
+            continue
+        for a in range(int(off[i]), int(off[j]) - length + 1, most):
+            yield np.array([a, min(a + most + length - 1, int(off[j]))])
+
+
 def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, trigger: int = TRIGGER) -> dict[str, np.ndarray]:
     """The phrases of texts in corpus order: trigger hash, phrase hash, first window, number of windows, trigger's distance."""
     keys = ("key", "phrase", "start", "windows", "ahead")
     parts: dict[str, list[np.ndarray]] = {k: [] for k in keys}
     span = length - trigger + 1
-    for i, j in tk.pieces(off, _PIECE):
-        base, own = int(off[i]), off[i : j + 1] - off[i]
-        data = buf[base : int(off[j])]
+    for ends in slices(off, length):
+        base, own = int(ends[0]), ends - ends[0]
+        data = buf[base : int(ends[-1])]
         many = np.maximum(np.diff(own) - length + 1, 0)
         if not many.sum():
             continue
@@ -62,7 +76,7 @@ def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, trigger: int =
             width *= 2
         if width < span:
             low = np.minimum(low[: len(low) - (span - width)], low[span - width :])
-        text = np.repeat(np.arange(j - i), many)
+        text = np.repeat(np.arange(len(many)), many)
         window = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many) + own[:-1][text]
         at = (low[window] & np.uint64((1 << int(_PLACE)) - 1)).astype(np.int64)
         first = np.ones(len(at), bool)

@@ -147,6 +147,25 @@ def test_repeats_brute(spark, monkeypatch, length, crowd):
     assert result(repeat_removal.remove_repeats(df, length=length, trigger=max(4, length // 3), crowd=crowd)) == removed(rows, length)
 
 
+def test_repeats_beyond_the_bits_of_a_place(monkeypatch):
+    """Windows of a text with more bytes than _PLACE can count (64 MiB, here 4 kB) are parsed like those of a short one."""
+    monkeypatch.setattr(repeat_removal, "_PIECE", 1000)
+    monkeypatch.setattr(repeat_removal, "_PLACE", np.uint64(12))
+    rng = np.random.default_rng(4)
+    passage = rng.integers(97, 123, 700, np.uint8)
+    text = rng.integers(97, 123, 30_000, np.uint8)
+    for at in (500, 9_300, 22_222):
+        text[at : at + 700] = passage
+    buf, off = np.append(text, passage), np.array([0, len(text), len(text) + 700])
+    p = repeat_removal.parse(buf, off)
+    windows = np.concatenate([np.arange(a, a + n) for a, n in zip(p["start"], p["windows"], strict=True)])
+    assert np.array_equal(windows, np.append(np.arange(30_000 - 99), 30_000 + np.arange(601)))  # each once
+    assert (p["ahead"] - p["windows"] + 1 >= 0).all() and (p["ahead"] <= 100 - 32).all()
+    own = {int(w): (int(k), int(d - (w - a))) for a, n, k, d in zip(p["start"], p["windows"], p["key"], p["ahead"], strict=True) for w in range(a, a + n)}
+    for at in (500, 9_300, 22_222):
+        assert [own[at + i] for i in range(601)] == [own[30_000 + i] for i in range(601)]
+
+
 def test_repeats_query_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert result(repeat_removal.op5_repeat_removal(spark, "/root/testdata/sf0.001")) == removed([(r.doc_id, r.text) for r in docs.collect()])
