@@ -3,8 +3,8 @@
 Words (runs of letters, in lower case) become vectors: the sum of hashed embeddings of the word, of its first four and of
 its first six bytes, so that inflected forms share a part.  Filters of one, two and three words run over a text, the
 largest value of each filter feeds a logistic output.  Training is numpy on a bounded sample; gradients flow only through
-the places that hold the maxima.  Thresholds are calibrated for each language on rows kept out of the fit; language has
-no part in a score.
+the places that hold the maxima.  Thresholds are calibrated for each language on all labelled rows that aren't fitted;
+language has no part in a score.
 """
 
 from __future__ import annotations
@@ -17,12 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
+from fonolith.llm.common import materialize
 from fonolith.workers import ready
 
 #: Rows of the embedding table, its columns, filters of each width, widths.
 TABLE, EMBED, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
-#: The sample to fit on: labelled rows of each class, and words of a text (longer ones aren't sampled; scores cover all).
+#: The sample to fit on: labelled rows of each class, and words of a text (longer ones aren't fitted; thresholds and scores
+#: cover all).
 SAMPLE, SAMPLE_WORDS = 4000, 3000
+#: Bins of logits for thresholds: so many for a unit, and the number of the one around 0; the largest shift (0.99 as logit).
+FINE, ZERO, MOST_SHIFT = 64, 4096, float(np.log(99))
 _PIECE = 1 << 20
 
 
@@ -43,7 +47,7 @@ class Model:
         self.k = {w: rng.normal(0, 0.4, (w, EMBED, FILTERS)).astype(np.float32) for w in WIDTHS}
         self.c = {w: np.zeros(FILTERS, np.float32) for w in WIDTHS}
         self.out, self.bias = rng.normal(0, 0.2, FILTERS * len(WIDTHS)).astype(np.float32), np.float32(-2)
-        self.thresholds: dict[str | None, float] = {}
+        self.shift, self.thresholds = 0.0, {}
 
     def pooled(self, ids: np.ndarray, first: np.ndarray, places: bool = False):
         """The largest value of each filter over the words of each text; 0 stands for a filter that fits nowhere.
@@ -137,13 +141,14 @@ class Model:
                 past["emb"][unique] += (total**2).mean(1, keepdims=True)
                 self.emb[unique] -= rate * total / np.sqrt(past["emb"][unique])
 
-    def scores(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """The probability of each text, from all its words."""
-        out = np.zeros(len(off) - 1)
+    def outputs(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logit of each text, from all its words, and the number of these."""
+        out, count = np.zeros(len(off) - 1), np.zeros(len(off) - 1, np.int64)
         for i, j in tk.pieces(off, _PIECE):
             ids, first = word_ids(buf[off[i] : off[j]], off[i : j + 1] - off[i])
             out[i:j] = self.logits(ids, first) if len(ids) else self.bias
-        return 1 / (1 + np.exp(-out))
+            count[i:j] = np.diff(first)
+        return out, count
 
 
 def best_threshold(score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float:
@@ -158,70 +163,133 @@ def best_threshold(score: np.ndarray, label: np.ndarray, weight: np.ndarray) ->
     return float((s[i] + (s[i + 1] if i + 1 < len(s) else 0)) / 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from about `sample` labelled rows of each class, chosen by the hash of their key; where: the rows to learn from.
+def examples(labels: DataFrame, where: Column, key: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> tuple[DataFrame, dict[int, int]]:
+    """(k, y, fr_fit) of the labelled rows to learn from, and their number by class.
 
-    The chosen keys (at most about 2 * sample) are broadcast to find their texts.  A fifth of the texts isn't fitted but
-    calibrates thresholds for each language.
+    fr_fit: the rows to fit on, four fifths of about `sample` of each class, chosen by the hash of their key (only those
+    of at most SAMPLE_WORDS words are fitted).
     """
-    ready(docs.sparkSession)
     rows = labels.where(where & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    share = F.when(F.col("y") == 1, F.lit(sample / counts.get(1, 1))).otherwise(F.lit(sample / counts.get(0, 1)))
+    chosen = F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < share * 1_000_000
+    return rows.withColumn("fr_fit", chosen & (F.pmod(F.xxhash64(F.lit(7), "k"), F.lit(5)) > 0)), counts
+
+
+def fit(docs: DataFrame, rows: DataFrame, counts: dict[int, int], key: str = "doc_id", text: str = "text") -> Model:
+    """A model fitted on the texts of the rows with fr_fit, whose keys (at most about 2 * sample) are broadcast to find them."""
     model = Model()
     if not counts:
         return model
-    share = F.when(F.col("y") == 1, F.lit(sample / counts.get(1, 1))).otherwise(F.lit(sample / counts.get(0, 1)))
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < share * 1_000_000)
-    found = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).join(F.broadcast(chosen), "k").select("k", "y", "l", "t")
+    found = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(rows.where("fr_fit")), "k").select(F.col("k").cast("string"), "y", "t")
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, first = word_ids(*tk.flat(batch.column(3)))
+            ids, first = word_ids(*tk.flat(batch.column(2)))
             blobs = [ids[a:z].tobytes() for a, z in zip(first[:-1], first[1:], strict=True)]
             fits = pa.array(np.diff(first) <= SAMPLE_WORDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), batch.column(2), pa.array(blobs, pa.binary())], names=["k", "y", "l", "x"]).filter(fits)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], names=["k", "y", "x"]).filter(fits)
 
-    got = found.mapInArrow(tk.lean(body), "k string, y int, l string, x binary").toArrow().sort_by([("k", "ascending")])
+    got = found.mapInArrow(tk.lean(body), "k string, y int, x binary").toArrow().sort_by([("k", "ascending")])
     texts = [np.frombuffer(b, np.int32).reshape(-1, 3) for b in got.column("x").to_pylist()]
-    y, lang_of = np.array(got.column("y").to_pylist(), np.float32), got.column("l").to_pylist()
+    y = np.array(got.column("y").to_pylist(), np.float32)
     in_sample = np.maximum(np.bincount(y.astype(int), minlength=2), 1)
-    weight = np.array([counts.get(0, 0) / in_sample[0], counts.get(1, 0) / in_sample[1]], np.float32)[y.astype(int)]
-    kept = np.arange(len(texts)) % 5 == 0
-    model.fit([texts[i] for i in np.flatnonzero(~kept)], y[~kept], weight[~kept])
-    check = np.flatnonzero(kept)
-    score = np.array([1 / (1 + np.exp(-float(model.logits(texts[i], np.array([0, len(texts[i])]))[0] if len(texts[i]) else model.bias))) for i in check])
-    names = np.array([lang_of[i] or "" for i in check])
-    # the best common threshold becomes 0.5
-    cut = min(0.99, max(0.01, best_threshold(score, y[check], weight[check])))
-    move = np.log(1 / cut - 1)
-    model.bias = np.float32(model.bias + move)
-    score = 1 / (1 + (1 / np.clip(score, 1e-12, 1 - 1e-12) - 1) * np.exp(-move))
-    model.thresholds = {name: best_threshold(score[names == name], y[check][names == name], weight[check][names == name]) for name in sorted(set(names))}
+    model.fit(texts, y, np.array([counts.get(0, 0) / in_sample[0], counts.get(1, 0) / in_sample[1]], np.float32)[y.astype(int)])
     return model
 
 
-def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(key, score, lang_threshold, flagged), a row for each row of docs.
-
-    The score depends on the text alone; empty and null texts get the score of a text without words.  flagged compares it
-    with the threshold of the row's language (0.5 for one that isn't known, or null).
-    """
+def logits(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(key, fr_lang, fr_logit, fr_long): the uncalibrated logit of each row of docs, and whether it has over SAMPLE_WORDS words."""
     ready(docs.sparkSession)
     kind, shared = dict(docs.dtypes)[key], docs.sparkSession.sparkContext.broadcast(model)
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(shared.value.scores(*tk.flat(batch.column(1))))], names=[key, "fr_lang", "score"])
+            out, count = shared.value.outputs(*tk.flat(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out), pa.array(count > SAMPLE_WORDS)], names=[key, "fr_lang", "fr_logit", "fr_long"])
+
+    return docs.select(key, text, F.col(lang).alias("fr_lang")).mapInArrow(tk.lean(body), f"`{key}` {kind}, fr_lang string, fr_logit double, fr_long boolean")
+
+
+def best_logit(bins: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float | None:
+    """The logit between two bins with the largest F1; None if one of the classes is missing."""
+    if not label.any() or label.all():
+        return None
+    return (best_threshold(bins.astype(float), label, weight) - ZERO) / FINE
+
+
+def calibrate(model: Model, scored: DataFrame, rows: DataFrame, key: str = "doc_id") -> None:
+    """Sets the model's shift and thresholds from all rows that weren't fitted, of any length.
 
-    rows = docs.select(key, text, F.col(lang).alias("fr_lang")).mapInArrow(tk.lean(body), f"`{key}` {kind}, fr_lang string, score double")
-    limit = F.lit(0.5)
+    scored: see logits(); only it and the rows' labels are joined, no texts.  Logits are counted in bins by language and
+    label, sums that partial aggregation makes before any shuffle; a language's bins make its threshold in one task.
+    As long texts are never fitted, and the classes not in equal shares, an unfitted row stands for the rows of its class
+    and kind of length.
+    """
+    bins = F.greatest(F.least(F.floor(F.col("fr_logit") * FINE + 0.5), F.lit(ZERO - 1)), F.lit(1 - ZERO)) + ZERO
+    seen = rows.join(scored.withColumnRenamed(key, "k"), "k").select(
+        F.coalesce("fr_lang", F.lit("")).alias("l"), "y", F.col("fr_long").alias("far"), (F.col("fr_fit") & ~F.col("fr_long")).alias("fitted"), bins.cast("int").alias("b")
+    )
+    table = materialize(seen.groupBy("l", "y", "far", "fitted", "b").agg(F.count("*").alias("n")))
+    total, free = {}, {}
+    for r in table.groupBy("y", "far", "fitted").agg(F.sum("n").alias("n")).collect():
+        total[r.y, r.far] = total.get((r.y, r.far), 0) + r.n
+        if not r.fitted:
+            free[r.y, r.far] = r.n
+    weight = {at: total[at] / n for at, n in free.items()}
+
+    def best(t: pa.Table) -> float | None:
+        b, y, far, n = (t.column(c).to_numpy() for c in ("b", "y", "far", "n"))
+        return best_logit(b, y, n * np.array([weight[at] for at in zip(y.tolist(), far.tolist(), strict=True)]))
+
+    order = [(c, "ascending") for c in ("b", "y", "far")]
+    table = table.where(~F.col("fitted"))
+    # the best common threshold becomes 0.5
+    common = table.groupBy("y", "far", "b").agg(F.sum("n").alias("n")).toArrow().sort_by(order)
+    model.shift = -min(MOST_SHIFT, max(-MOST_SHIFT, best(common) or 0.0))
+
+    def threshold(t: pa.Table) -> pa.Table:
+        return pa.table([t.column("l")[:1], pa.array([best(t.sort_by(order))], pa.float64())], names=["l", "at"])
+
+    found = table.groupBy("l").applyInArrow(tk.lean(threshold), "l string, at double").collect()
+    model.thresholds = {r["l"]: 0.5 if r["at"] is None else float(1 / (1 + np.exp(-(r["at"] + model.shift)))) for r in sorted(found, key=lambda r: r["l"])}
+
+
+def finish(scored: DataFrame, model: Model) -> DataFrame:
+    """scored with score, lang_threshold and flagged instead of the columns of logits()."""
+    rows = scored.withColumn("score", 1 / (1 + F.exp(-(F.col("fr_logit") + F.lit(float(model.shift))))))
+    limit = F
     for name, value in model.thresholds.items():
-        limit = F.when(F.coalesce("fr_lang", F.lit("")) == name, F.lit(value)).otherwise(limit)
-    return rows.withColumn("lang_threshold", limit).withColumn("flagged", F.col("score") >= F.col("lang_threshold")).drop("fr_lang")
+        limit = limit.when(F.coalesce("fr_lang", F.lit("")) == name, F.lit(value))
+    rows = rows.withColumn("lang_threshold", limit.otherwise(F.lit(0.5)) if model.thresholds else F.lit(0.5))
+    return rows.withColumn("flagged", F.col("score") >= F.col("lang_threshold")).drop("fr_lang", "fr_logit", "fr_long")
+
+
+def train(docs: DataFrame, labels: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", sample: int = SAMPLE) -> Model:
+    """A model fitted on a sample of the labelled rows and calibrated on all others; where: the rows to learn from."""
+    ready(docs.sparkSession)
+    rows, counts = examples(labels, where, key, label, sample)
+    model = fit(docs, rows, counts, key, text)
+    if counts:
+        calibrate(model, logits(docs, model, key, text, lang), rows, key)
+    return model
+
+
+def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(key, score, lang_threshold, flagged), a row for each row of docs.
+
+    The score depends on the text alone; empty and null texts get the score of a text without words.  flagged compares it
+    with the threshold of the row's language (0.5 for one that isn't known, or null).
+    """
+    return finish(logits(docs, model, key, text, lang), model)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    model = train(docs, labels, ~held)
-    return score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "lang_threshold", "flagged")
+    rows, counts = examples(labels, ~held)
+    model = fit(docs, rows, counts)
+    scored = materialize(logits(docs, model))  # texts are scored once, for thresholds and result
+    if counts:
+        calibrate(model, scored, rows)
+    return finish(scored, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "lang_threshold", "flagged")

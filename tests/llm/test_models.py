@@ -152,6 +152,29 @@ def test_toxicity(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
 
 
+def test_toxicity_thresholds_cover_all_rows(spark):
+    """All labelled rows but the fitted ones calibrate: of any length, and of a language that the sample hardly has."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeilmnorstu") for _ in range(rng.randint(3, 8))) for _ in range(200)]
+    text = lambda bad, n: " ".join(rng.choice(words) for _ in range(n)) + " vilest" * bad
+    rows = [(i, text(i % 4 == 0, 20), "en", int(i % 4 == 0)) for i in range(1200)]
+    rows += [(1200 + i, text(i < 3, 20), "rare", int(i < 3)) for i in range(24)]  # 3 toxic rows in 1,224
+    rows += [(2000 + i, text(i % 2, 3100), "long", i % 2) for i in range(8)]  # over SAMPLE_WORDS words
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True), sample=100)
+    assert set(model.thresholds) == {"en", "rare", "long"}
+    assert model.thresholds["long"] != 0.5 and model.thresholds["rare"] != 0.5
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert sum(got[r[0]].flagged == r[3] for r in rows) > 0.97 * len(rows)
+    # a threshold is the best one over all rows of its language that weren't fitted
+    some, _ = toxicity.examples(labels, F.lit(True), sample=100)
+    fitted = {r.k for r in some.where("fr_fit").collect()}
+    for lang in ("rare", "long"):
+        free = [r for r in rows if r[2] == lang and (r[0] not in fitted or lang == "long")]
+        assert all(got[r[0]].flagged == r[3] for r in free)
+
+
 def test_toxicity_edges(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(0, 1, 1), (1, 1, 0), (2, 0, None), (None, 1, 1), (3, 1, 5), (9, 1, 0)], "doc_id long, quality int, toxic int")
