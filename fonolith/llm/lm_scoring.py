@@ -74,7 +74,7 @@ def _requests(keys: np.ndarray, counts: np.ndarray, bits: int, ranges: int) -> I
 def answer(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
     """The sum of the counts of equal keys, for each key of each list, and how many keys have a sum above 0."""
     distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(where, np.concatenate(counts), len(distinct)).astype(np.uint32)
+    total = np.bincount(where, np.concatenate(counts), len(distinct)).astype(np.uint64)  # over all groups: more than 32 bits
     return np.split(total[where], np.cumsum([len(k) for k in keys])[:-1]), int((total > 0).sum())
 
 
@@ -126,7 +126,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         sums = {}
         for order in (1, 2):
             rows = sorted(zip(*(right.filter(pa.array(np.asarray(right.column("n")) == order)).column(c).to_pylist() for c in ("r", "size", "sums")), strict=True), key=lambda x: x[0])
-            sums[order] = np.concatenate([_unpack(b, np.uint32, s) for _, s, b in rows])
+            sums[order] = np.concatenate([_unpack(b, np.uint64, s) for _, s, b in rows])
         distinct, where = np.unique(token, return_inverse=True)
         c = sums[1][where].astype(np.float64)
         ends = float(sums[1][np.searchsorted(distinct, END)])

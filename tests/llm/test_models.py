@@ -90,6 +90,13 @@ def test_lm_brute(spark, monkeypatch):
     assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got) == want
 
 
+def test_lm_sums_beyond_32_bits():
+    most = np.array([2**32 - 1, 0], np.uint32)
+    sums, known = lm_scoring.answer([np.array([5, 9], np.uint64)] * 2, [most, most])
+    assert [s.tolist() for s in sums] == [[2**33 - 2, 0]] * 2 and known == 1
+    assert lm_scoring._unpack(lm_scoring._pack(sums[0]), np.uint64, 2).tolist() == [2**33 - 2, 0]
+
+
 def test_lm_is_better_than_base_and_sums_to_one(spark):
     rows = lm_scoring.op2_lm_scoring(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
