@@ -1,10 +1,9 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores of a backoff model of order two, in closed form.
 
-States are the start, the root (no history) and one for each known token; a state's arcs are the bigrams seen after it,
-weighted with their smoothed probability, and its failure arc leads to the root with the backoff weight.  Unigrams are
-smoothed by adding one, bigrams by a Dirichlet prior: p(w | v) = (c(vw) + m p(w)) / (c(v) + m), so a failure arc weighs
-m / (c(v) + m).  A traversal from left to right keeps one state, the last token, so all steps of a block of texts are
-taken at once in numpy.  The strength m is the one of a grid that predicts the training tokens best when each is left out
+Unigrams are smoothed by adding one, bigrams by a Dirichlet prior: p(w | v) = (c(vw) + m p(w)) / (c(v) + m).  A weighted
+automaton of this model (arcs for seen bigrams, failure arcs to the root with m / (c(v) + m)) takes at most one failure
+step a token, so none is built: the counts of all tokens of a block of texts are looked up at once in numpy.
+The strength m is the one of a grid that predicts the training tokens best when each is left out
 of its own counts.
 
 Counts cover all training texts and never meet in one place: texts are dealt into groups; a group asks for the counts of
@@ -79,7 +78,7 @@ def answer(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.nd
 
 
 def log_scores(c: np.ndarray, c_pair: np.ndarray, c_history: np.ndarray, size: int, strength: float) -> np.ndarray:
-    """log10 of the weight that a traversal adds for each token: of the arc, or of the failure arc and the root's arc."""
+    """log10 of p(token | token before) for each token."""
     return np.log10((c_pair + strength * ((c + 1.0) / size)) / (c_history + strength))
 
 
