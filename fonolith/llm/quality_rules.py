@@ -102,18 +102,16 @@ def limits(sketches: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", counts_only: bool = False) -> DataFrame:
     """docs with fr_m (counts), fr_limit (limits of its group), fr_base_failed and fr_kept; every row stays.
 
-    counts_only: the text column goes, and the counts of each document are made once and kept in the shared folder;
-    without it texts are never written, and counts are made in both passes over docs.
+    The counts of each document are made once and kept with its row in the shared folder; counts_only: without its text.
     Null and empty texts have no words and so fail the base rules.  Null lang or source is a group of its own.  Rows
     that repeat are judged alike; an empty table gives an empty table; other columns pass through untouched (names that
     begin with fr_ are this function's own).
     """
     rows = measured(docs, text)
-    if counts_only:
-        rows = materialize(rows.drop(text))
+    rows = materialize(rows.drop(text) if counts_only else rows)
     sketches = materialize(sketch(rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), "fr_m")))
     table = materialize(limits(sketches)).select(F.col("lang").alias("fr_lang"), F.col("source").alias("fr_source"), "fr_limit")
-    joined = join_checked(rows, table, rows[lang].eqNullSafe(F.col("fr_lang")) & rows[source].eqNullSafe(F.col("fr_source"))).drop("fr_lang", "fr_source")
+    joined = join_checked(rows, table, F.col(lang).eqNullSafe(F.col("fr_lang")) & F.col(source).eqNullSafe(F.col("fr_source"))).drop("fr_lang", "fr_source")
     m, lim = F.col("fr_m"), F.col("fr_limit")
     failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
     beyond = F.lit(False)
