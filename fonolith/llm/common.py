@@ -14,10 +14,12 @@ BLANKS = " \t\n\x0b\f\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or (tests only) a temporary one."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir; on one machine a temporary one will do."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="fonolith-")
         sc.setCheckpointDir(found)
     return found
@@ -68,12 +70,16 @@ def packed(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("fr_row"), *names)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str = "left", rows: int = 100_000) -> DataFrame:
+def join_checked(left: DataFrame, right: DataFrame, on, how: str = "left", rows: int = 100_000, size: Column | None = None, most: int = 1_000_000) -> DataFrame:
     """left joined to a small right side: broadcast if right has at most `rows` rows (it is counted), else shuffled.
 
-    In the second case adaptive execution splits skewed partitions of left.
+    size: the number of values in a row of right, whose sum must be at most `most` too.  In the second case adaptive
+    execution splits skewed partitions of left.
     """
-    return left.join(F.broadcast(right) if right.limit(rows + 1).count() <= rows else right, on, how)
+    small = right.limit(rows + 1).count() <= rows
+    if small and size is not None:
+        small = (right.agg(F.sum(size)).first()[0] or 0) <= most
+    return left.join(F.broadcast(right) if small else right, on, how)
 
 
 def group_count(spark: SparkSession, size: int, target: int) -> int:

@@ -244,7 +244,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs of which near_classes keeps the doc_id (and those without one), with the columns of docs."""
     gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("fr_id")).distinct()
-    return packed(docs).join(gone.hint("merge"), F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
+    return packed(docs).join(gone.hint("shuffle_hash"), F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

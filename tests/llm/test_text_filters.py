@@ -52,6 +52,42 @@ def test_quality_limits_adapt(spark):
     assert kept == set(range(199))  # many symbols are usual in one source and not in the other
 
 
+def plain(rng, n, lines=8):
+    return [(i, "\n".join(sentence(rng, 12) for _ in range(lines)), "en", "prose", 1) for i in range(n)]
+
+
+@pytest.mark.parametrize("rule", quality_rules.MARGINS)
+def test_each_rule_rejects_alone(spark, rule):
+    """A document that passes the base rules and is beyond one measure's limit goes for that alone."""
+    import random
+
+    rng = random.Random(4)
+    words = sentence(rng, 200).split()
+    bad = {
+        "symbols": " ".join(w + "#$" * (i % 3 == 0) for i, w in enumerate(words)),
+        "dup_lines": "\n".join(["one two"] * 12 + [" ".join(words[i : i + 12]) for i in range(0, 180, 12)]),
+        "repeats": " ".join(words + words[:11] + sentence(rng, 10).split() + words[50:61]),
+        "length": " ".join("".join(words[i : i + 3]) for i in range(0, 198, 3)),
+    }[rule]
+    rows = spark.createDataFrame([*plain(rng, 80), (999, bad, "en", "prose", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    judged = quality_rules.judge(rows)
+    row = judged.where("doc_id = 999").select("*", *(v.alias(f"v_{k}") for k, v in quality_rules.measures(F.col("fr_m")).items())).first()
+    assert not row.fr_base_failed and not row.fr_kept
+    assert [k for k in quality_rules.MARGINS if row[f"v_{k}"] > row.fr_limit[k]] == [rule]
+    assert judged.where("fr_kept").count() == 80
+
+
+def test_junk_does_not_lift_its_limits(spark):
+    """A source of which a fifth is junk loses just that, also where it is small."""
+    import random
+
+    rng = random.Random(5)
+    junk = [(1000 + i, " ".join(w + "$$" * (j % 2) for j, w in enumerate(sentence(rng, 90).split())), "en", s, 1) for i, s in enumerate(["big"] * 20 + ["small"] * 2)]
+    good = [(i, t, "en", "big" if i < 80 else "small", 1) for i, t, *_ in plain(rng, 88)]
+    kept = {r.doc_id for r in quality_rules.filter_documents(spark.createDataFrame(good + junk, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert kept == set(range(88))
+
+
 def test_sketch_error_and_merging(spark):
     values = spark.range(1, 5000).select((F.col("id") * 37 % 4999).cast("long").alias("v"))
     got = values.select("v", quality_rules.bucket(F.col("v")).alias("b")).collect()
@@ -142,11 +178,20 @@ def test_mixing_query(spark, monkeypatch):
 def test_pivot_keeps_mass_and_expectation(equal):
     rng = np.random.default_rng(0)
     size, p = np.sort(rng.integers(1, 200, 40))[::-1].astype(float), np.full(40, 0.37) if equal else rng.uniform(0.05, 0.95, 40)
-    for f in (mixing.pivot, mixing.pivot_pairs) if equal else (mixing.pivot_pairs,):
-        mean = np.zeros(40)
-        for _ in range(3000):
-            out, left = f(size, p, rng.random(40))
-            assert (out * size).sum() == pytest.approx((p * size).sum())
-            assert all(x in (0, 1) for i, x in enumerate(out) if i != left)
-            mean += out
-        assert np.abs(mean / 3000 - p).max() < 0.04
+    mean = np.zeros(40)
+    for _ in range(3000):
+        out, left = mixing.pivot_pairs(size, p, rng.integers(0, 2**64, 40, np.uint64))
+        assert (out * size).sum() == pytest.approx((p * size).sum())
+        assert all(x in (0, 1) for i, x in enumerate(out) if i != left)
+        mean += out
+    assert np.abs(mean / 3000 - p).max() < 0.04
+
+
+def test_repeated_rows_are_told_apart(spark, monkeypatch):
+    """Rows of one key, source and size but different texts are mixed as documents of their own, alike in every run."""
+    rows = [(i % 3 or None, f"a b{i} c", "s", "x") for i in range(30)] + [(1, "a b c", "s", "x")] * 20 + [(5, f"w{i} v u", "t", "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place string")
+    mixed = lambda d: collections.Counter((r.doc_id, r.text) for r in mixing.mix_documents(d).collect())
+    one = mixed(docs.repartition(3))
+    assert one == mixed(docs.repartition(11, "text")) and one.total() == sum(r.copies for r in mixing.taken_copies(docs).collect())
+    check_mix(mixing.taken_copies(docs).collect())
