@@ -17,11 +17,16 @@ from fonolith.llm.common import join_checked, let, materialize, packed, without,
 #: Symbols that count as noise (a fixed value).
 SYMBOLS = "#*$%&|<>"
 #: Measure: least distance of its upper limit from the median.  A document beyond the limit of any measure is rejected.
-MARGINS = {"symbols": 150, "dup_lines": 500, "repeats": 200, "length": 600}
-#: How many spreads (the distance of the 90 % quantile from the median) the limit lies above the median.
-SPREADS = 4
-#: (lang, source) groups with fewer documents use the sketch of all documents.
-LEAST_GROUP = 30
+MARGINS = {"symbols": 100, "dup_lines": 250, "repeats": 150, "length": 200}
+#: Words or lines that are added to a document's own where a measure divides by them, so that short texts don't swing.
+PSEUDO = {"symbols": 10, "dup_lines": 4, "repeats": 10, "length": 5}
+#: How many spreads (the distance of the 75 % quantile from the median: junk in up to a quarter of a group doesn't move it)
+#: the limit lies above the median; how many times the limit of all documents it may be at most; and a bound that shares
+#: of all lines can still exceed.
+SPREADS, MOST_TIMES, MOST_SHARE = 4, 8, {"dup_lines": 800, "repeats": 200}
+#: Limits of a group count as much as those of all documents if it has this many; smaller groups lean on all, larger ones
+#: on their own.
+PRIOR = 30
 
 
 def repeated(w: Column, n: int = 5) -> Column:
@@ -62,11 +67,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def measures(m: Column) -> dict[str, Column]:
     """The measures that the limits are for, as integers (thousandths, or hundredths of a character)."""
-    per = lambda a, b, k: F.floor(a * k / F.greatest(b, F.lit(1))).cast("long")
-    return {
-        "symbols": per(m["n_symbols"], m["n_words"], 1000), "dup_lines": per(m["n_dup_lines"], m["n_lines"], 1000),
-        "repeats": per(m["n_repeat_words"], m["n_words"], 1000), "length": per(m["word_chars"], m["n_words"], 100),
-    }
+    of = {"symbols": ("n_symbols", "n_words", 1000), "dup_lines": ("n_dup_lines", "n_lines", 1000), "repeats": ("n_repeat_words", "n_words", 1000), "length": ("word_chars", "n_words", 100)}
+    return {k: F.floor(m[a] * times / (m[b] + PSEUDO[k])).cast("long") for k, (a, b, times) in of.items()}
 
 
 def bucket(v: Column) -> Column:
@@ -82,30 +84,39 @@ def sketch(rows: DataFrame) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, size and, for each measure, the struct q_<measure> of its median and 90 % quantile."""
+    """keys, size and, for each measure, the struct q_<measure> of its median and 75 % quantile."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     merged = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("size", F.sum("n").over(group))
     at = lambda k, q: F.min(F.when((F.col("measure") == k) & (F.col("upto") * 100 >= F.col("size") * q), F.col("bucket")))
-    return merged.groupBy(*keys).agg(F.max("size").alias("size"), *(F.struct(at(k, 50).alias("mid"), at(k, 90).alias("high")).alias(f"q_{k}") for k in MARGINS))
+    return merged.groupBy(*keys).agg(F.max("size").alias("size"), *(F.struct(at(k, 50).alias("mid"), at(k, 75).alias("high")).alias(f"q_{k}") for k in MARGINS))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
-    """(lang, source, fr_limit): the struct of the limits of a group; small groups take those of all documents."""
-    limit = lambda q, k: (q["mid"] + F.greatest(F.lit(MARGINS[k]), SPREADS * (q["high"] - q["mid"]))).cast("long")
-    as_limits = lambda df: df.select(*(c for c in df.columns if not c.startswith("q_")), F.struct(*(limit(F.col(f"q_{k}"), k).alias(k) for k in MARGINS)).alias("fr_limit"))
-    own = as_limits(quantiles(sketches, ["lang", "source"]))
-    every = as_limits(quantiles(sketches.withColumn("everything", F.lit(0)), ["everything"])).select(F.col("fr_limit").alias("fr_all"))
-    return own.join(F.broadcast(every)).select("lang", "source", F.when(F.col("size") >= LEAST_GROUP, F.col("fr_limit")).otherwise(F.col("fr_all")).alias("fr_limit"))
+    """(lang, source, fr_limit): the struct of the limits of a group, a mean of its own and those of all documents.
+
+    A group of n documents weighs n, all documents together PRIOR.  The group's own limits count up to MOST_TIMES those
+    of all documents, and no limit passes MOST_SHARE, so a junk-heavy group can't lift its limits out of reach.
+    """
+
+    def limit(q: Column, k: str) -> Column:
+        found = q["mid"] + F.greatest(F.lit(MARGINS[k]), SPREADS * (q["high"] - q["mid"]))
+        return (F.least(found, F.lit(MOST_SHARE[k])) if k in MOST_SHARE else found).cast("long")
+
+    as_limits = lambda df, *names: df.select(*names, F.struct(*(limit(F.col(f"q_{k}"), k).alias(k) for k in MARGINS)).alias("fr_own"))
+    own = as_limits(quantiles(sketches, ["lang", "source"]), "lang", "source", "size")
+    every = as_limits(quantiles(sketches.withColumn("everything", F.lit(0)), ["everything"])).select(F.col("fr_own").alias("fr_all"))
+    mean = lambda k: F.floor((F.col("size") * F.least(F.col("fr_own")[k], MOST_TIMES * F.col("fr_all")[k]) + PRIOR * F.col("fr_all")[k]) / (F.col("size") + PRIOR)).cast("long")
+    return own.join(F.broadcast(every)).select("lang", "source", F.struct(*(mean(k).alias(k) for k in MARGINS)).alias("fr_limit"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", counts_only: bool = False) -> DataFrame:
     """docs with fr_m (counts), fr_limit (limits of its group), fr_base_failed and fr_kept; every row stays.
 
     The counts of each document are made once and kept with its row in the shared folder; counts_only: without its text.
-    Null and empty texts have no words and so fail the base rules.  Null lang or source is a group of its own.  Rows
-    that repeat are judged alike; an empty table gives an empty table; other columns pass through untouched (names that
-    begin with fr_ are this function's own).
+    Null and empty texts have no words and so fail the base rules.  Very long texts are counted whole.  Null lang or
+    source is a group of its own.  Rows that repeat are judged alike; an empty table gives an empty table; other columns
+    pass through untouched (names that begin with fr_ are this function's own).
     """
     rows = measured(docs, text)
     rows = materialize(rows.drop(text) if counts_only else rows)
@@ -121,7 +132,11 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with the columns of docs."""
+    """The rows of docs that the rules keep, with the columns of docs.
+
+    Rows with a null or empty text go (they have no words); null lang and source, repeated rows, empty tables and very
+    long texts are as in judge().
+    """
     return judge(packed(docs), "fr_row.text", "fr_row.lang", "fr_row.source").where("fr_kept").select("fr_row.*")
 
 
@@ -131,7 +146,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, counts_only=True).select("doc_id", *(f"fr_m.{n}" for n in names), F.col("fr_base_failed").alias("base_failed"), F.col("fr_kept").alias("kept"))
 
 
-_PER = {"symbols": "n_symbols * 1000 // greatest(n_words, 1)", "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)", "repeats": "n_repeat_words * 1000 // greatest(n_words, 1)", "length": "word_chars * 100 // greatest(n_words, 1)"}
+_PER = {k: f"{a} * {times} // ({b} + {PSEUDO[k]})" for k, a, b, times in (("symbols", "n_symbols", "n_words", 1000), ("dup_lines", "n_dup_lines", "n_lines", 1000), ("repeats", "n_repeat_words", "n_words", 1000), ("length", "word_chars", "n_words", 100))}
 _SHIFT = "greatest(length(bin({0})) - 6, 0)"
 
 #: The same result in DuckDB's SQL.
@@ -154,11 +169,12 @@ f AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, '{k}' AS measure, {v} A
 s AS (SELECT lang, source, measure, (v >> {_SHIFT.format("v")}) << {_SHIFT.format("v")} AS bucket, count(*) AS n FROM f GROUP BY ALL),
 own AS (SELECT lang, source, measure, bucket, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, measure) AS size FROM s),
 every AS (SELECT measure, bucket, sum(n) OVER (PARTITION BY measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY measure) AS size FROM (SELECT measure, bucket, sum(n) AS n FROM s GROUP BY ALL)),
-q AS (SELECT lang, source, measure, max(size) AS size, min(bucket) FILTER (upto * 100 >= size * 50) AS mid, min(bucket) FILTER (upto * 100 >= size * 90) AS high FROM own GROUP BY ALL),
-qa AS (SELECT measure, min(bucket) FILTER (upto * 100 >= size * 50) AS mid, min(bucket) FILTER (upto * 100 >= size * 90) AS high FROM every GROUP BY ALL),
-margin(measure, least) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in MARGINS.items())}),
-lim AS (SELECT q.lang, q.source, q.measure, CASE WHEN q.size >= {LEAST_GROUP} THEN q.mid + greatest(least, {SPREADS} * (q.high - q.mid)) ELSE qa.mid + greatest(least, {SPREADS} * (qa.high - qa.mid)) END AS lim
-        FROM q JOIN qa USING (measure) JOIN margin USING (measure)),
+q AS (SELECT lang, source, measure, max(size) AS size, min(bucket) FILTER (upto * 100 >= size * 50) AS mid, min(bucket) FILTER (upto * 100 >= size * 75) AS high FROM own GROUP BY ALL),
+qa AS (SELECT measure, min(bucket) FILTER (upto * 100 >= size * 50) AS mid, min(bucket) FILTER (upto * 100 >= size * 75) AS high FROM every GROUP BY ALL),
+margin(measure, least, most) AS (VALUES {", ".join(f"('{k}', {v}, {MOST_SHARE.get(k, 2**62)})" for k, v in MARGINS.items())}),
+lim AS (SELECT lang, source, measure, (size * least(own, {MOST_TIMES} * every) + {PRIOR} * every) // (size + {PRIOR}) AS lim
+        FROM (SELECT q.lang, q.source, q.measure, q.size, least(most, q.mid + greatest(least, {SPREADS} * (q.high - q.mid))) AS own, least(most, qa.mid + greatest(least, {SPREADS} * (qa.high - qa.mid))) AS every
+              FROM q JOIN qa USING (measure) JOIN margin USING (measure))),
 bad AS (SELECT DISTINCT doc_id FROM f JOIN lim ON f.measure = lim.measure AND f.lang IS NOT DISTINCT FROM lim.lang AND f.source IS NOT DISTINCT FROM lim.source WHERE v > lim)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND bad.doc_id IS NULL AS kept
