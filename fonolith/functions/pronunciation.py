@@ -1,4 +1,8 @@
-"""Spanish spelling to pronunciation units, and units to mouth shapes, as array expressions without user functions."""
+"""Spanish spelling to pronunciation units, and units to mouth shapes, as string expressions without user functions.
+
+A word's units, and its shapes, are held as a string with one character for each; such strings come from a few pattern
+replacements, which are compiled, while functions over arrays would run a step at a time.
+"""
 
 from __future__ import annotations
 
@@ -6,52 +10,69 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fonolith.functions.text import strip
-from fonolith.schema import UNIT_TO_VISEME
+from fonolith.schema import UNIT_TO_VISEME, VISEMES
 
-#: Alternatives in the order they are tried at each place; a soft g, c, gu or qu may also end the word (fixed values).
-TOKEN = "gü[ei]|ch|ll|rr|qu(?:[ei]|$)|gu(?:[ei]|$)|g(?:[ei]|$)|c(?:[ei]|$)|y$|."
-#: The unit of a one-letter token, and of g, c and y as the last token of a word; letters without a unit are silent (fixed values).
-LETTER = {"b": "b", "v": "b", "q": "k", "c": "k", "z": "s", "s": "s", "x": "s", "ñ": "ny", "w": "u", "ü": "u"}
-FINAL = {"g": "j", "c": "s", "y": "i"}
+#: Spelling of more than one letter, or that depends on what follows, in the order it is tried, and its units (fixed values).
+#: g, c, gu and qu are soft before e and i, and at the end of a word like there.
+SPELLING = {"gü(?=[ei])": ("g", "u"), "ch": ("ch",), "ll": ("ll",), "rr": ("rr",), "qu(?=[ei]|$)": ("k",), "gu(?=[ei]|$)": ("g",), "g(?=[ei]|$)": ("j",), "c(?=[ei]|$)": ("s",), "y$": ("i",)}
+#: The unit of a single letter where it isn't the letter itself; letters without a unit are silent (fixed values).
+LETTER = {"v": "b", "q": "k", "c": "k", "z": "s", "x": "s", "ñ": "ny", "w": "u", "ü": "u"}
 SILENT = "h'-0123456789"
 
+#: The character of a unit of more than one letter; a unit found by SPELLING is a capital until single letters are read.
+_WIDE = {"ch": "C", "ll": "L", "rr": "R", "ny": "N"}
+_MARK = {u: _WIDE.get(u, chr(0xE000 + ord(u[0]))) for units in SPELLING.values() for u in units}
+#: The character of a shape.
+_SHAPE = {v: chr(ord("A") + i) for i, v in enumerate(VISEMES)}
 
-def _lookup(table: dict[str, str], key: Column) -> Column:
-    return F.element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), key)
 
+def unit_codes(word: Column) -> Column:
+    """The units of a normalized word, a character each; empty for a word of digits."""
+    code = word
+    for spelling, units in SPELLING.items():
+        code = F.regexp_replace(code, spelling, "".join(_MARK[u] for u in units))
+    single = {**{m: u for u, m in _MARK.items() if u not in _WIDE}, **{a: _WIDE.get(u, u) for a, u in LETTER.items()}}
+    return F.translate(code, "".join(single) + SILENT, "".join(single.values()))
 
-def word_units(word: Column) -> Column:
-    """The units of a normalized word; none for a word of digits."""
-    tokens = F.regexp_extract_all(word, F.lit(f"({TOKEN})"), F.lit(1))
 
-    def units(found: Column) -> Column:
-        def of(t: Column, i: Column) -> Column:
-            vowel = F.right(t, F.lit(1))
-            soft = lambda start, unit: F.when(vowel.isin("e", "i"), F.array(F.lit(unit), vowel)).otherwise(F.array(F.lit(unit)))  # noqa: E731, ARG005
-            return (
-                F.when(t.startswith("gü"), F.array(F.lit("g"), F.lit("u"), vowel))
-                .when(t.isin("ch", "ll", "rr"), F.array(t))
-                .when(t.startswith("qu"), soft("qu", "k"))
-                .when(t.startswith("gu"), soft("gu", "g"))
-                .when(t.isin("ge", "gi"), F.array(F.lit("j"), vowel))
-                .when(t.isin("ce", "ci"), F.array(F.lit("s"), vowel))
-                .when((i == F.size(found) - 1) & t.isin(*FINAL), F.array(_lookup(FINAL, t)))
-                .when(F.lit(SILENT).contains(t), F.array().cast("array<string>"))
-                .otherwise(F.array(F.coalesce(_lookup(LETTER, t), t)))
-            )
+def characters(codes: Column) -> Column:
+    return F.regexp_extract_all(codes, F.lit("."), F.lit(0))
 
-        return F.flatten(F.transform(found, of))
 
-    return F.get(F.transform(F.array(tokens), units), F.lit(0))
+def word_units(word: Column) -> Column:
+    """The units of a normalized word; none for a word of digits."""
+    wide = F.create_map(*(F.lit(x) for unit, code in _WIDE.items() for x in (code, unit)))
+    return F.transform(characters(unit_codes(word)), lambda c: F.coalesce(F.element_at(wide, c), c))
 
 
 def unit_viseme(unit: Column) -> Column:
     key = F.lower(strip(unit))
     first = F.left(key, F.lit(1))
-    other = F.when(key == "", "SIL").when(first.isin(*"aeiou"), _lookup(UNIT_TO_VISEME, first)).when(first.rlike(r"\p{L}"), "TD").otherwise("SIL")
-    return F.coalesce(_lookup(UNIT_TO_VISEME, key), other)
+    table = F.create_map(*(F.lit(x) for pair in UNIT_TO_VISEME.items() for x in pair))
+    other = F.when(key == "", "SIL").when(first.isin(*"aeiou"), F.element_at(table, first)).when(first.rlike(r"\p{L}"), "TD").otherwise("SIL")
+    return F.coalesce(F.element_at(table, key), other)
 
 
 def visemes(units: Column) -> Column:
     """The mouth shapes of a word's units; silence if it has none."""
     return F.when(F.size(units) == 0, F.array(F.lit("SIL"))).otherwise(F.transform(F.filter(units, lambda u: u != ""), unit_viseme))
+
+
+def shape_codes(word: Column) -> Column:
+    """The mouth shapes of a normalized word, a character each; silence if it has no units."""
+    table = {_WIDE.get(u, u): _SHAPE[v] for u, v in UNIT_TO_VISEME.items() if len(_WIDE.get(u, u)) == 1}
+    return F.regexp_replace(F.translate(unit_codes(word), "".join(table), "".join(table.values())), "^$", _SHAPE["SIL"])
+
+
+def shape_number(code: Column) -> Column:
+    """The place of a shape's character in VISEMES."""
+    return F.ascii(code) - ord("A")
+
+
+def shape_name(code: Column) -> Column:
+    """The name of a shape's character."""
+    return F.get(F.array(*map(F.lit, VISEMES)), shape_number(code))
+
+
+def shape_names(codes: Column) -> Column:
+    return F.transform(characters(codes), shape_name)

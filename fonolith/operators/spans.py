@@ -1,45 +1,75 @@
 """Spans of mouth shapes: dealing a word's time to its shapes, merging, and the timeline of a recording.
 
-Tables: spans (audio_id, seq, viseme, start_ms, end_ms).  All windows are by audio_id in the one order (start, end, seq),
+Tables: spans (audio_id, seq, viseme, start_ms, end_ms); seq may be of any type that has an order.  All windows are by audio_id in the one order (start, end, seq),
 so a plan needs one exchange by audio_id, and none if its input is already dealt so.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fonolith.schema import OTHER_WEIGHT, SILENCE_MS, TOLERANCE_MS, WEIGHTS
+from fonolith.functions.pronunciation import characters, shape_name, shape_number
+from fonolith.schema import OTHER_WEIGHT, SILENCE_MS, TOLERANCE_MS, VISEMES, WEIGHTS
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def shape_runs(codes: Column, merged: bool = True) -> Column:
+    """array<struct<code, before, upto, total>>: each shape with the weights of all before it, up to its end, and of all.
+
+    merged: equal neighbours are one.  codes: see shape_codes().
+    """
+    weights = F.array(*(F.lit(WEIGHTS.get(v, OTHER_WEIGHT)) for v in VISEMES))
 
+    def runs(v: Column) -> Column:
+        sums = F.aggregate(v, F.array(F.lit(0)), lambda a, c: F.array_append(a, F.get(a, F.size(a) - 1) + F.get(weights, shape_number(c))))
+        places = F.sequence(F.lit(0), F.size(v) - 1)
+        heads = F.filter(places, lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1))) if merged else places
 
-def weight(viseme: Column) -> Column:
-    return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in WEIGHTS.items() for x in pair)), viseme), F.lit(OTHER_WEIGHT))
+        def spans(c: Column, h: Column) -> Column:
+            upto = lambda i, k: F.coalesce(F.get(h, k + 1), F.size(v)) if merged else i + 1
+            return F.transform(h, lambda i, k: F.struct(F.get(v, i).alias("code"), F.get(c, i).alias("before"), F.get(c, upto(i, k)).alias("upto"), F.get(c, F.size(v)).alias("total")))
 
+        return _let(sums, lambda c: _let(heads, lambda h: spans(c, h)))
 
-def word_spans(start: Column, end: Column, visemes: Column, merged: bool = True) -> Column:
-    """array<struct<viseme, start_ms, end_ms>>: the word's time in proportion to weights, equal neighbours merged or not.
+    return _let(characters(codes), runs)
+
+
+def _times(start: Column, end: Column, run: Column) -> tuple[Column, Column]:
+    """Start and end of a run when the word's time is dealt in proportion to weights; the last one ends with the word."""
+    at = lambda c: start + (end - start) * run[c] / run["total"]
+    return at("before"), F.when(run["upto"] == run["total"], end.cast("double")).otherwise(at("upto"))
+
+
+def word_spans(start: Column, end: Column, codes: Column) -> Column:
+    """array<struct<viseme, start_ms, end_ms>>: the word's time in proportion to weights, equal neighbours merged.
 
     The spans of a word touch each other, so merging is run-length encoding; all happens within the row, without a
-    shuffle.  No spans if the word has no duration; silence if it has no shapes.
+    shuffle.  No spans if the word has no duration.  codes: see shape_codes().
     """
-    shapes = F.when(F.size(visemes) == 0, F.array(F.lit("SIL"))).otherwise(visemes)
 
-    def deal(v: Column) -> Column:
-        # whole weights before each shape, and after the last one
-        sums = F.aggregate(F.transform(v, weight), F.array(F.lit(0)), lambda a, w: F.concat(a, F.array(F.get(a, F.size(a) - 1) + w)))
+    def span(r: Column) -> Column:
+        a, z = _times(start, end, r)
+        return F.struct(shape_name(r["code"]).alias("viseme"), a.alias("start_ms"), z.alias("end_ms"))
+
+    return F.when(end > start, F.transform(shape_runs(codes), span)).otherwise(F.array().cast("array<struct<viseme:string,start_ms:double,end_ms:double>>"))
 
-        def cut(c: Column) -> Column:
-            total = F.get(c, F.size(v))
-            at = lambda i: F.when(F.get(c, i) == total, end.cast("double")).otherwise(start + (end - start) * F.get(c, i) / total)
-            heads = F.sequence(F.lit(0), F.size(v) - 1)
-            heads = F.filter(heads, lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1))) if merged else heads
-            spans = lambda h: F.transform(h, lambda i, k: F.struct(F.get(v, i).alias("viseme"), at(i).alias("start_ms"), at(F.coalesce(F.get(h, k + 1), F.size(v))).alias("end_ms")))
-            return F.get(F.transform(F.array(heads), spans), F.lit(0))
 
-        return F.get(F.transform(F.array(sums), cut), F.lit(0))
+def dealt_spans(words: DataFrame, *keep: str, merged: bool = True) -> DataFrame:
+    """(<keep>, k, viseme, start_ms, end_ms): a row for each span that word_spans() has, k counts them in their word.
 
-    found = F.get(F.transform(F.array(shapes), deal), F.lit(0))
-    return F.when(end > start, found).otherwise(F.array().cast("array<struct<viseme:string,start_ms:double,end_ms:double>>"))
+    words: start_ms, end_ms and codes (see shape_codes()).  merged: equal neighbours are one span.
+    """
+    # the generator's input is an expression: of an attribute a filter on its size would be inferred, which repeats all below
+    each = words.where("end_ms > start_ms").select(*keep, "start_ms", "end_ms", F.posexplode(shape_runs(F.col("codes"), merged)).alias("k", "r"))
+    a, z = _times(F.col("start_ms"), F.col("end_ms"), F.col("r"))
+    return each.select(*keep, "k", shape_name(F.col("r.code")).alias("viseme"), a.alias("start_ms"), z.alias("end_ms"))
 
 
 def merge_adjacent(spans: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:

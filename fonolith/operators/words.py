@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fonolith.functions.pronunciation import visemes, word_units
+from fonolith.functions.pronunciation import shape_codes
 from fonolith.functions.text import join_plain, normalize_word, strip
-from fonolith.operators.spans import word_spans
+from fonolith.operators.spans import dealt_spans
 
 
 def valid_words(words: DataFrame) -> DataFrame:
@@ -18,16 +18,15 @@ def valid_words(words: DataFrame) -> DataFrame:
 
 
 def with_visemes(words: DataFrame) -> DataFrame:
-    """words with norm (normalized), units, visemes and spans; words that normalize to nothing go."""
+    """words with norm (normalized) and codes (their shapes, see shape_codes()); words that normalize to nothing go."""
     rows = words.withColumn("norm", normalize_word(F.col("word"))).where("norm <> ''")
-    rows = rows.withColumn("units", word_units(F.col("norm"))).withColumn("visemes", visemes(F.col("units")))
-    return rows.withColumn("spans", word_spans(F.col("start_ms"), F.col("end_ms"), F.col("visemes")))
+    return rows.withColumn("codes", shape_codes(F.col("norm")))
 
 
 def spans_of(words: DataFrame) -> DataFrame:
     """(audio_id, seq, viseme, start_ms, end_ms) of with_visemes(); seq has the order of words and of spans in a word."""
-    rows = words.select("audio_id", "word_idx", F.posexplode("spans").alias("k", "s"))
-    return rows.select("audio_id", (F.col("word_idx") * 1024 + F.col("k")).alias("seq"), "s.viseme", "s.start_ms", "s.end_ms")
+    rows = dealt_spans(words, "audio_id", "word_idx")
+    return rows.select("audio_id", F.struct("word_idx", "k").alias("seq"), "viseme", "start_ms", "end_ms")
 
 
 def transcripts(segments: DataFrame, words: DataFrame) -> DataFrame:
