@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fonolith.schema import OTHER_WEIGHT, UNIT_TO_VISEME, WEIGHTS
+from fonolith.schema import DECIMALS, GENERATOR, OTHER_WEIGHT, UNIT_TO_VISEME, VISEMES, WEIGHTS
 
 # The same characters as fonolith.functions.text.BLANK, as RE2 writes them.
 _B = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -30,6 +30,15 @@ def _clock(x: str) -> str:
     return f"printf('%.3f', {_sec(x)})"
 
 
+def _clock0(x: str) -> str:
+    return f"coalesce({_clock(x)}, 'null')"
+
+
+def _words_text(words: str) -> str:
+    each = f"list_transform({words}, lambda w: w.word || ' ' || {_clock0('w.start_ms')} || ' ' || {_clock0('w.end_ms')})"
+    return f"coalesce(array_to_string({each}, ', '), '')"
+
+
 def _join(tokens: str) -> str:
     """A list of tokens as running text."""
     full = f"list_filter(list_transform({tokens}, lambda w: {_strip("coalesce(w, '')")}), lambda w: w <> '')"
@@ -115,9 +124,9 @@ def _merge(source: str, to: str) -> str:
 {to} AS (SELECT audio_id, CAST(island - 1 AS BIGINT) AS idx, any_value(viseme) AS viseme, min(greatest(start_ms, coalesce(reach, start_ms))) AS start_ms, max(end_ms) AS end_ms FROM {to}_d GROUP BY audio_id, island)"""
 
 
-def _timeline(silence: bool) -> str:
+def _timeline(silence: bool, threshold: int = 60) -> str:
     w = "PARTITION BY audio_id ORDER BY start_ms, end_ms, seq"
-    sil = "SELECT audio_id, 'SIL' AS viseme, cursor AS start_ms, start_ms AS end_ms, place * 2 AS seq FROM cur WHERE start_ms - cursor >= 60 UNION ALL" if silence else ""
+    sil = f"SELECT audio_id, 'SIL' AS viseme, cursor AS start_ms, start_ms AS end_ms, place * 2 AS seq FROM cur WHERE start_ms - cursor >= {threshold} UNION ALL" if silence else ""
     return f"""{_WORDS}, {_UNITS}, {_VIS}, {_dealt(True)},
 seqd AS (SELECT audio_id, word_idx * 1024 + span_idx AS seq, viseme, start_ms, end_ms FROM spans),
 cur AS (SELECT *, row_number() OVER ({w}) AS place, greatest(0::DOUBLE, coalesce(max(end_ms) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS cursor FROM seqd),
@@ -201,9 +210,26 @@ ov AS (SELECT user_id AS audio_id, event_id AS seq, event_type AS viseme, u // 1
     "main_words": f"""WITH {_WORDS}, {_UNITS}, {_VIS}, {_dealt(True)},
 texts AS (SELECT audio_id, word_idx, string_agg(viseme || ' ' || {_clock("start_ms")} || ' ' || {_clock("end_ms")}, ', ' ORDER BY span_idx) AS visemes FROM spans GROUP BY audio_id, word_idx)
 SELECT audio_id, word_idx, norm AS word, {_sec("start_ms")} AS start, {_sec("end_ms")} AS "end", visemes FROM norm JOIN texts USING (audio_id, word_idx)""",
-    "main_payload": f"""WITH {_timeline(True)},
-n AS (SELECT audio_id, count(*) AS n_words FROM norm WHERE norm <> '' GROUP BY audio_id)
-SELECT audio_id, CAST(any_value(n_words) AS INT) AS n_words, CAST(count(*) AS INT) AS n_timeline, 13 AS n_shapes, max({_sec("end_ms")}) AS last_end, 'es' AS language FROM line JOIN n USING (audio_id) GROUP BY audio_id""",
+    "main_payload": f"""WITH {_timeline(True)}, {_SEGMENTS}, {_PREFIX},
+texts AS (SELECT audio_id, word_idx, string_agg(viseme || ' ' || {_clock("start_ms")} || ' ' || {_clock("end_ms")}, ', ' ORDER BY span_idx) AS t FROM spans GROUP BY audio_id, word_idx),
+by_word AS (SELECT audio_id, string_agg(norm || ' ' || {_clock("start_ms")} || ' ' || {_clock("end_ms")} || ' [' || t || ']', '; ' ORDER BY word_idx) AS words FROM norm JOIN texts USING (audio_id, word_idx) GROUP BY audio_id),
+by_line AS (SELECT audio_id, string_agg(viseme || ' ' || {_clock("start_ms")} || ' ' || {_clock("end_ms")}, ', ' ORDER BY idx) AS timeline FROM line GROUP BY audio_id),
+said AS (SELECT audio_id, string_agg({_strip("text")}, ' ' ORDER BY seg) AS transcript FROM seg WHERE {_strip("text")} <> '' GROUP BY audio_id)
+SELECT audio_id, '{GENERATOR}|{DECIMALS}|{" ".join(VISEMES)}|base' AS head, 'audio/' || stem || '.mp3' AS audio_file, 'es' AS language, transcript, words, timeline
+FROM by_word JOIN by_line USING (audio_id) JOIN said USING (audio_id) JOIN stem USING (audio_id)""",
+    "mouth_cue_payload": f"WITH {_timeline(True)} SELECT audio_id, string_agg(viseme || ' ' || {_clock('start_ms')} || ' ' || {_clock('end_ms')}, ', ' ORDER BY idx) AS cues FROM line GROUP BY audio_id",
+    "transcript_document": f"""WITH RECURSIVE {_NORM}, {_PREFIX},
+by_seg AS (SELECT audio_id, string_agg(seg || ' ' || {_clock0("start_ms")} || ' ' || {_clock0("end_ms")} || ' ' || {_strip("text")} || ' [' || {_words_text("words")} || ']', '; ' ORDER BY seg) AS segments,
+             string_agg(nullif({_strip("text")}, ''), ' ' ORDER BY seg) AS text FROM seg GROUP BY audio_id),
+by_phrase AS (SELECT audio_id, string_agg({_clock0("start_ms")} || ' ' || {_clock0("end_ms")} || ' ' || {_strip("text")} || ' [' || {_words_text("ws")} || ']', '; ' ORDER BY phrase_idx) AS phrases FROM norm_ph GROUP BY audio_id)
+SELECT audio_id, 'audio/' || stem || '.mp3' AS audio_file, 'large-v3' AS model, 'es' AS language, coalesce(text, '') AS text, segments, coalesce(phrases, '') AS phrases
+FROM by_seg LEFT JOIN by_phrase USING (audio_id) JOIN stem USING (audio_id)""",
+    "transcript_rows": f"""WITH {_WORDS}, {_SEGMENTS}, {_PREFIX}
+SELECT 'audio/' || stem || '.mp3' AS audio_file, row_number() OVER (PARTITION BY audio_id ORDER BY seg) - 1 AS seg, {_strip("text")} AS text, {_sec("start_ms")} AS start, {_sec("end_ms")} AS "end", {_words_text("words")} AS words
+FROM seg JOIN stem USING (audio_id)""",
+    "recording_status": f"""WITH {_WORDS}, {_RAW}, kept AS (SELECT audio_id, CASE WHEN audio_id % 5 = 2 THEN '' ELSE {_norm("word")} END AS norm FROM raw WHERE audio_id % 5 <> 1 AND ({_strip("word")} <> '' OR audio_id % 5 = 2) AND end_ms > start_ms)
+SELECT audio_id, CASE WHEN count(norm) = 0 THEN 'no word timestamps' WHEN count(nullif(norm, '')) = 0 THEN 'no usable words' ELSE 'ok' END AS status FROM (SELECT DISTINCT audio_id FROM words) LEFT JOIN kept USING (audio_id) GROUP BY audio_id""",
+    "timeline_clamped": f"WITH {_timeline(True, 0)} SELECT audio_id, idx, {_SPAN_ROWS} FROM line",
     "viseme_stats": f"WITH {_timeline(True)} SELECT viseme, count(*) AS n_spans, CAST(sum(CAST(floor((end_ms - start_ms) * 1000 + 0.5) AS BIGINT)) AS BIGINT) AS total_us FROM line GROUP BY viseme",
     "valid_words": f"WITH {_WORDS}, {_RAW}, {_VALID} SELECT audio_id, word_idx, word, {_sec('start_ms')} AS start, {_sec('end_ms')} AS \"end\" FROM valid",
     "transcript_text": f"""WITH {_WORDS}, {_RAW}, {_VALID}, {_SEGMENTS},

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fonolith.functions.text import language_or_default, seconds, strip
-from fonolith.operators.spans import timeline
+from fonolith.operators.spans import timeline, word_spans
 from fonolith.operators.words import spans_of, transcripts, with_visemes
 from fonolith.schema import DECIMALS, GENERATOR, SILENCE_MS, VISEMES
+from fonolith.storage import materialize
 
 _SPAN = "array<struct<viseme string, start double, end double>>"
 MAIN_SCHEMA = (
@@ -29,12 +30,26 @@ def as_json(payload: Column) -> Column:
     return F.to_json(payload, {"ignoreNullFields": "false", "pretty": "true"})
 
 
-def main_payloads(files: DataFrame, words: DataFrame, segments: DataFrame, model: str, silence: bool = True, threshold: float = SILENCE_MS, language: Column | None = None) -> DataFrame:
-    """(audio_id, payload): metadata, file, language, transcript, words with their own spans, and the timeline."""
-    rows = with_visemes(words)
-    spoken = rows.select("audio_id", "word_idx", F.struct(F.col("norm").alias("word"), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), F.transform("spans", lambda s: _span(s)).alias("visemes")).alias("w"))
+def shaped_words(words: DataFrame) -> DataFrame:
+    """with_visemes() of words, written once: words and timeline both come from it."""
+    return materialize(with_visemes(words))
+
+
+def recording_timeline(shapes: DataFrame, silence: bool = True, threshold: float = SILENCE_MS) -> DataFrame:
+    """The timeline of each recording of with_visemes(), written once."""
+    return materialize(timeline(spans_of(shapes), silence, threshold))
+
+
+def main_payloads(files: DataFrame, words: DataFrame, segments: DataFrame, model: str, language: Column | None = None, *, shapes: DataFrame | None = None, line: DataFrame | None = None) -> DataFrame:
+    """(audio_id, payload): metadata, file, language, transcript, words with their own spans, and the timeline.
+
+    shapes and line: see shaped_words() and recording_timeline().
+    """
+    shapes = shaped_words(words) if shapes is None else shapes
+    line = recording_timeline(shapes) if line is None else line
+    spans = F.transform(word_spans(F.col("start_ms"), F.col("end_ms"), F.col("codes")), lambda s: _span(s))
+    spoken = shapes.select("audio_id", "word_idx", F.struct(F.col("norm").alias("word"), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), spans.alias("visemes")).alias("w"))
     by_word = spoken.groupBy("audio_id").agg(F.transform(_in_order("word_idx", "w"), lambda x: x["w"]).alias("words"))
-    line = timeline(spans_of(rows), silence, threshold)
     by_line = line.groupBy("audio_id").agg(F.transform(_in_order("seq", "viseme", "start_ms", "end_ms"), lambda s: _span(s)).alias("timeline"))
     head = F.struct(F.lit(GENERATOR).alias("generator"), F.lit(DECIMALS).alias("timestamp_precision_decimals"), F.array(*map(F.lit, VISEMES)).alias("viseme_inventory"), F.lit(model).alias("model"))
     joined = files.join(by_word, "audio_id").join(by_line, "audio_id").join(transcripts(segments, words), "audio_id", "left")

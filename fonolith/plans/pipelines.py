@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from fonolith.errors import PipelineError
 from fonolith.functions.text import audio_prefix, normalize_word
 from fonolith.operators import dataset, phrases
-from fonolith.operators.spans import timeline
-from fonolith.operators.words import spans_of, valid_words, with_visemes
+from fonolith.operators.words import valid_words
 from fonolith.plans import payload
 from fonolith.schema import END_PADDING_MS, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
 from fonolith.sources import sinks
-from fonolith.sources.transcripts import clip_listing, read_transcripts, segments_of, words_of
+from fonolith.sources.transcripts import RecognizerOptions, Transcriber, audio_files, clip_listing, ensure_audio_input, read_transcripts, segments_of, transcribe, words_of
+from fonolith.storage import materialize
 from fonolith.workers import ready
 
 
@@ -24,6 +24,13 @@ class VisemeOptions:
     model: str = "base"
     silence_cues: bool = True
     silence_threshold_ms: float = SILENCE_MS
+    device: str = "auto"
+    compute_type: str = "int8"
+    beam_size: int = 1
+    vad_filter: bool = True
+
+    def recognizer(self) -> RecognizerOptions:
+        return RecognizerOptions(self.model, "es", self.device, self.compute_type, self.beam_size, self.vad_filter)
 
 
 @dataclass(frozen=True)
@@ -33,7 +40,7 @@ class DatasetOptions:
     min_duration_ms: int = MIN_SEGMENT_MS
     max_duration_ms: int | None = None
     end_padding_ms: int = END_PADDING_MS
-    export: bool = False
+    export: bool = True
 
 
 @dataclass(frozen=True)
@@ -44,6 +51,20 @@ class TranscriptOptions:
     shortest_ms: int = MIN_PHRASE_MS
     longest_ms: int = MAX_PHRASE_MS
 
+    def recognizer(self) -> RecognizerOptions:
+        return RecognizerOptions(self.model, self.language)
+
+
+def recognized(spark: SparkSession, audio: str, transcriber: Transcriber | None, options: RecognizerOptions, single: bool = True) -> DataFrame:
+    """Transcript documents of an audio file, or with single=False of all supported files of a folder.
+
+    They are written once: recognition is the most costly step, and the pipelines read its result several times.
+    """
+    ready(spark)
+    if single:
+        ensure_audio_input(spark, audio)
+    return materialize(transcribe(audio_files(spark, audio), transcriber, options))
+
 
 def recording_status(words: DataFrame) -> DataFrame:
     """(audio_id, status): whether a recording has valid words, and words that are left after normalization."""
@@ -63,9 +84,10 @@ def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: Visem
     if single and (bad := recording_status(raw).where("status <> 'ok'").first() or (raw.limit(1).count() == 0 and ("", "no word timestamps"))):
         raise PipelineError(f"{bad[1]}: check the audio quality and language")
     words = valid_words(raw)
-    files = segments.select("audio_id", "audio_file").distinct()
-    main = payload.main_payloads(files, words, segments, options.model, options.silence_cues, max(0.0, options.silence_threshold_ms))
-    line = timeline(spans_of(with_visemes(words)), options.silence_cues, options.silence_threshold_ms)
+    files = segments.select("audio_id", "audio_file", "language").distinct()
+    shapes = payload.shaped_words(words)
+    line = payload.recording_timeline(shapes, options.silence_cues, max(0.0, options.silence_threshold_ms))
+    main = payload.main_payloads(files, words, segments, options.model, F.col("language"), shapes=shapes, line=line)
     return main, payload.mouth_cue_payloads(line)
 
 
@@ -80,27 +102,37 @@ def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: T
 
 
 def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, options: DatasetOptions = DatasetOptions()) -> DataFrame:
-    """Writes output/metadata.csv (and, with export, the clips in output/wavs) and returns a summary row for each recording.
+    """Writes output/metadata.csv and the clips in output/wavs, and returns a summary row for each recording.
 
-    Clips are numbered on from those in output/wavs.  With export, segments are cut under provisional names first, and
-    only those that succeed are numbered; failures count as skipped.
+    Clips are numbered on from those in output/wavs: segments are cut under provisional names first, and those that
+    succeed are numbered and renamed; failures count as skipped.  Without export nothing is cut, and the metadata lists
+    the clips that there would be.
     """
     ready(spark)
     documents = read_transcripts(spark, source)
     if documents.where(F.coalesce("audio_file", F.lit("")) == "").limit(1).count():
-        raise ValueError("transcription['audio_file'] missing")
+        raise ValueError("a transcript names no audio_file")
     segments = segments_of(documents).withColumn("prefix", audio_prefix(F.col("audio_file")))
     checked = dataset.with_skip_reason(segments, options.min_duration_ms, options.max_duration_ms)
-    wavs = f"{output}/wavs"
+    wavs = sinks.clips_folder(spark, output)
+    provisional = F.format_string(".%d_%d.wav", "audio_id", "seg")
     if options.export:
+        sinks.check_export(documents)
+        checked = materialize(checked)
         second = lambda c: F.format_string("%.3f", F.col(c) / 1000.0)
-        cuts = dataset.cut_list(checked.where("skip_reason is null"), options.end_padding_ms)
-        cuts = cuts.select("audio_file", F.format_string(".%d_%d.wav", "audio_id", "seg").alias("filename"), second("cut_start_ms").alias("cut_start"), second("cut_ms").alias("cut_duration"), "audio_id", "seg")
-        done = sinks.export_clips(cuts, wavs, options.sample_rate)
-        failed = cuts.join(done.where("not ok"), "filename").select("audio_id", "seg", F.lit(True).alias("failed"))
-        checked = checked.join(failed, ["audio_id", "seg"], "left").withColumn("skip_reason", F.coalesce("skip_reason", F.when(F.col("failed"), F.lit("export failed")))).drop("failed")
-    checked = checked.persist()
-    clips = dataset.clip_names(checked.where("skip_reason is null"), dataset.max_suffix(clip_listing(spark, wavs)))
+        cuts = dataset.cut_list(checked.where("skip_reason is null"), options.end_padding_ms).select("audio_file", provisional.alias("filename"), second("cut_start_ms").alias("cut_start"), second("cut_ms").alias("cut_duration"))
+        # written once: the encoder doesn't run again for later steps
+        done = materialize(sinks.export_clips(cuts, wavs, options.sample_rate))
+        failed = done.where("not ok").select(F.col("filename").alias("cut"), F.lit(True).alias("failed"))
+        checked = checked.withColumn("cut", provisional).join(failed, "cut", "left")
+        checked = checked.withColumn("skip_reason", F.coalesce("skip_reason", F.when(F.col("failed"), F.lit("export failed")))).drop("failed", "cut")
+    checked = materialize(checked)
+    # the listing is read before any clip gets its name
+    clips = materialize(dataset.clip_names(checked.where("skip_reason is null"), dataset.max_suffix(clip_listing(spark, wavs))))
+    if options.export:
+        named = sinks.rename_clips(clips.select(provisional.alias("old"), F.col("filename").alias("new")), wavs)
+        if named < clips.count():
+            raise PipelineError(f"only {named} clips are in {wavs}")
     sinks.write_metadata(dataset.metadata(clips, options.metadata_format), f"{output}/metadata.csv")
     per = checked.select("audio_id", "audio_file", "prefix").distinct()
     summary = dataset.build_summary(checked).join(per, "audio_id")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fonolith.functions.pronunciation import visemes, word_units
+from fonolith.functions.pronunciation import shape_codes, shape_names, word_units
 from fonolith.functions.text import audio_prefix, join_tokens, language_or_default, normalize_text, normalize_word, seconds
 from fonolith.operators import dataset, phrases
-from fonolith.operators.spans import merge_adjacent, timeline, word_spans
+from fonolith.operators.spans import dealt_spans, merge_adjacent, timeline, word_spans
 from fonolith.operators.words import spans_of, transcripts, valid_words, with_visemes
 from fonolith.sources import derived
 
@@ -34,13 +34,12 @@ def g2p_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_visemes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.words(spark, sf_dir).select("audio_id", "word_idx", F.array_join(visemes(word_units(normalize_word(F.col("word")))), " ").alias("visemes"))
+    return derived.words(spark, sf_dir).select("audio_id", "word_idx", F.array_join(shape_names(shape_codes(normalize_word(F.col("word")))), " ").alias("visemes"))
 
 
 def _word_spans(spark: SparkSession, sf_dir: str, merged: bool) -> DataFrame:
-    rows = with_visemes(derived.words(spark, sf_dir))
-    found = rows.select("audio_id", "word_idx", F.posexplode(word_spans(F.col("start_ms"), F.col("end_ms"), F.col("visemes"), merged)).alias("span_idx", "s"))
-    return found.select("audio_id", "word_idx", "span_idx", "s.viseme", seconds(F.col("s.start_ms")).alias("start"), seconds(F.col("s.end_ms")).alias("end"))
+    found = dealt_spans(with_visemes(derived.words(spark, sf_dir)), "audio_id", "word_idx", merged=merged)
+    return found.select("audio_id", "word_idx", F.col("k").alias("span_idx"), "viseme", seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"))
 
 
 def distribute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +71,7 @@ def mouth_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shapes = F.array_join(F.transform("spans", lambda s: F.concat_ws(" ", s["viseme"], _clock(s["start_ms"]), _clock(s["end_ms"]))), ", ")
+    shapes = F.array_join(F.transform(word_spans(F.col("start_ms"), F.col("end_ms"), F.col("codes")), lambda s: F.concat_ws(" ", s["viseme"], _clock(s["start_ms"]), _clock(s["end_ms"]))), ", ")
     rows = with_visemes(derived.words(spark, sf_dir))
     return rows.select("audio_id", "word_idx", F.col("norm").alias("word"), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), shapes.alias("visemes"))
 
@@ -164,13 +163,80 @@ def language_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.table(spark, sf_dir, "documents").select("doc_id", language_or_default(lang).alias("language"))
 
 
+def _number(c: Column) -> Column:
+    return F.when(c.isNotNull(), F.format_string("%.3f", c)).otherwise("null")
+
+
+def _spans_text(spans: Column, name: str = "viseme") -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(" ", s[name], _number(s["start"]), _number(s["end"]))), ", ")
+
+
+def _words_text(words: Column) -> Column:
+    return F.array_join(F.transform(words, lambda w: F.concat_ws(" ", w["word"], _number(w["start"]), _number(w["end"]))), ", ")
+
+
 def main_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A derived check of the nested output: sizes and ends of the payload of each recording, read back from its JSON."""
+    """The whole content of the payload of each recording, read back from its JSON, nested parts as text."""
     from fonolith.plans.payload import MAIN_SCHEMA, main_payloads
 
     rows = main_payloads(derived.audio_files(spark, sf_dir), derived.words(spark, sf_dir), derived.segments(spark, sf_dir), "base")
-    back = rows.select("audio_id", F.from_json("payload", MAIN_SCHEMA).alias("p"))
-    return back.select("audio_id", F.size("p.words").alias("n_words"), F.size("p.timeline").alias("n_timeline"), F.size("p.metadata.viseme_inventory").alias("n_shapes"), F.element_at("p.timeline", -1)["end"].alias("last_end"), "p.language")
+    p = rows.select("audio_id", F.from_json("payload", MAIN_SCHEMA).alias("p")).select("audio_id", "p.*")
+    words = F.array_join(F.transform("words", lambda w: F.concat(F.concat_ws(" ", w["word"], _number(w["start"]), _number(w["end"])), F.lit(" ["), _spans_text(w["visemes"]), F.lit("]"))), "; ")
+    head = (F.col("metadata.generator"), F.col("metadata.timestamp_precision_decimals").cast("string"), F.array_join("metadata.viseme_inventory", " "), F.col("metadata.model"))
+    return p.select("audio_id", F.concat_ws("|", *head).alias("head"), "audio_file", "language", "transcript", words.alias("words"), _spans_text(F.col("timeline")).alias("timeline"))
+
+
+def mouth_cue_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cues of each recording, read back from the JSON of its payload."""
+    from fonolith.plans.payload import mouth_cue_payloads
+
+    rows = mouth_cue_payloads(_timeline(spark, sf_dir, True)).select("audio_id", F.from_json("payload", "mouthCues array<struct<value string, start double, end double>>").alias("p"))
+    return rows.select("audio_id", _spans_text(F.col("p.mouthCues"), "value").alias("cues"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fonolith.plans.payload import transcript_documents
+
+    segments = derived.segments(spark, sf_dir)
+    return transcript_documents(derived.audio_files(spark, sf_dir), segments, phrases.normalize_phrases(phrases.build_phrases(segments)), "large-v3", "es")
+
+
+def transcript_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole content of each transcript document, read back from its JSON, nested parts as text."""
+    from fonolith.schema import TRANSCRIPT
+
+    p = _documents(spark, sf_dir).select("audio_id", F.from_json("payload", TRANSCRIPT).alias("p")).select("audio_id", "p.*")
+    part = lambda x, *first: F.concat(F.concat_ws(" ", *first, _number(x["start"]), _number(x["end"])), F.lit(" "), x["text"], F.lit(" ["), _words_text(x["words"]), F.lit("]"))
+    listed = lambda c, body: F.array_join(F.transform(c, body), "; ").alias(c)
+    return p.select("audio_id", "audio_file", "model", "language", "text", listed("segments", lambda x: part(x, x["id"].cast("string"))), listed("phrases", lambda x: part(x)))
+
+
+def transcript_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of transcript documents that were written as JSON files and read back."""
+    import uuid
+
+    from fonolith.sources.sinks import write_payloads
+    from fonolith.sources.transcripts import read_transcripts, segments_of
+    from fonolith.storage import shared_dir
+
+    folder = f"{shared_dir(spark)}/fonolith/{uuid.uuid4().hex}"
+    write_payloads(_documents(spark, sf_dir), folder)
+    rows = segments_of(read_transcripts(spark, folder))
+    words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), seconds(w["start_ms"]).alias("start"), seconds(w["end_ms"]).alias("end")))
+    return rows.select("audio_file", F.col("seg").cast("bigint").alias("seg"), "text", seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), _words_text(words).alias("words"))
+
+
+def recording_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings of which some have no word with a time, and some only words that normalize to nothing."""
+    from fonolith.plans.pipelines import recording_status as status
+
+    raw = derived.raw_words(spark, sf_dir)
+    return status(raw.withColumn("word", F.when(F.col("audio_id") % 5 == 1, F.lit(" ")).when(F.col("audio_id") % 5 == 2, F.lit("¡…!")).otherwise(F.col("word"))))
+
+
+def timeline_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A negative threshold counts as 0: every gap is silence."""
+    return _numbered_spans(timeline(spans_of(with_visemes(derived.words(spark, sf_dir))), True, -500.0))
 
 
 QUERIES = {
@@ -180,4 +246,6 @@ QUERIES = {
     "segment_cascade": segment_cascade, "build_summary": build_summary, "cut_list": cut_list, "clip_names": clip_names, "metadata_classic": metadata_classic,
     "metadata_piper": metadata_piper, "phrases_raw": phrases_raw, "phrases_split": phrases_split, "phrases_norm": phrases_norm, "phrase_text": phrase_text,
     "audio_prefix": audio_prefixes, "max_suffix": max_suffix, "language_default": language_default,
+    "mouth_cue_payload": mouth_cue_payload, "transcript_document": transcript_document, "transcript_rows": transcript_rows, "recording_status": recording_status,
+    "timeline_clamped": timeline_clamped,
 }

@@ -1,12 +1,13 @@
 """Reading transcript documents, audio files and existing clips.
 
-Speech recognition, audio encoding and downloads are no part of the engine: a Transcriber is given as a function, and
-files are read where they are.
+Speech recognition and downloads are given as functions: a Transcriber gets audio files and options, a Fetcher an address.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,28 @@ from fonolith.errors import PipelineError
 from fonolith.functions.text import first_filled, strip
 from fonolith.schema import AUDIO_EXTENSIONS, SEGMENT, TRANSCRIPT
 
-#: Takes batches of (path, content) of audio files and gives (path, language, text, segments) for each.
-Transcriber = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+
+@dataclass(frozen=True)
+class RecognizerOptions:
+    """What a recognizer is asked for; language None: it finds out."""
+
+    model: str = "large-v3"
+    language: str | None = None
+    device: str = "auto"
+    compute_type: str = "auto"
+    beam_size: int = 5
+    vad_filter: bool = False
+    temperature: float = 0.0
+    word_timestamps: bool = True
+    condition_on_previous_text: bool = True
+
+
+#: Takes batches of (path, content) of audio files and the options, and gives (path, language, text, segments) for each.
+Transcriber = Callable[[Iterator[pd.DataFrame], RecognizerOptions], Iterator[pd.DataFrame]]
+#: Takes an address, a folder and an audio format, puts the audio there and gives the name of the file it began with.
+Fetcher = Callable[[str, str, str], str]
+#: The formats to fetch audio in, the first one by default (fixed values).
+FETCHED = ("mp3", "m4a", "wav", "opus", "flac")
 
 
 def read_transcripts(spark: SparkSession, source: str | DataFrame) -> DataFrame:
@@ -28,8 +49,8 @@ def read_transcripts(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     if isinstance(source, DataFrame):
         return source
     if not _exists(spark, source):
-        raise FileNotFoundError(f"Input JSON not found: {source}")
-    return spark.read.schema(TRANSCRIPT).option("multiLine", True).json(source)
+        raise FileNotFoundError(f"no transcript at {source}")
+    return spark.read.schema(TRANSCRIPT).option("multiLine", True).json(source).select("*", F.col("_metadata.file_path").alias("document"))
 
 
 def _millis(seconds: Column) -> Column:
@@ -37,16 +58,21 @@ def _millis(seconds: Column) -> Column:
 
 
 def segments_of(documents: DataFrame) -> DataFrame:
-    """(audio_id, audio_file, seg, text, start_ms, end_ms, words) of transcript documents; seg is the place in the document."""
+    """(audio_id, audio_file, language, seg, text, start_ms, end_ms, words) of transcript documents; seg is the place in the document.
+
+    Each document is a recording of its own, also where another one names the same audio file or none: audio_id is the
+    hash of all its columns, with the path of its JSON where it has one (column document).
+    """
     words = lambda w: F.transform(F.coalesce(w, F.array().cast(f"array<{SEGMENT.split('words array<')[1][:-2]}>")), lambda x: F.struct(first_filled(x["word"], x["text"]).alias("word"), _millis(x["start"]).alias("start_ms"), _millis(x["end"]).alias("end_ms")))
-    rows = documents.select(F.xxhash64("audio_file").alias("audio_id"), "audio_file", F.posexplode("segments").alias("seg", "s"))
-    return rows.select("audio_id", "audio_file", "seg", F.col("s.text").alias("text"), _millis(F.col("s.start")).alias("start_ms"), _millis(F.col("s.end")).alias("end_ms"), words(F.col("s.words")).alias("words"))
+    language = F.col("language") if "language" in documents.columns else F.lit(None).cast("string")
+    rows = documents.select(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)).alias("audio_id"), "audio_file", language.alias("language"), F.posexplode("segments").alias("seg", "s"))
+    return rows.select("audio_id", "audio_file", "language", "seg", F.col("s.text").alias("text"), _millis(F.col("s.start")).alias("start_ms"), _millis(F.col("s.end")).alias("end_ms"), words(F.col("s.words")).alias("words"))
 
 
 def words_of(segments: DataFrame) -> DataFrame:
     """(audio_id, word_idx, word, start_ms, end_ms) of segments, in document order."""
     rows = segments.select("audio_id", "seg", F.posexplode("words").alias("wi", "w"))
-    return rows.select("audio_id", (F.col("seg") * 100_000 + F.col("wi")).cast("bigint").alias("word_idx"), "w.word", "w.start_ms", "w.end_ms")
+    return rows.select("audio_id", (F.col("seg").cast("bigint") * 2**31 + F.col("wi")).alias("word_idx"), "w.word", "w.start_ms", "w.end_ms")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -58,14 +84,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def ensure_audio_input(spark: SparkSession, path: str) -> None:
     """Raises unless path is an existing file with a supported extension."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Audio file not found: {path}")
+        raise FileNotFoundError(f"no audio at {path}")
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
-        raise PipelineError(f"Input path is not a file: {path}")
+        raise PipelineError(f"{path} is a folder; the audio of one recording is expected")
+    if not is_audio(path):
+        raise PipelineError(f"{path} has none of the extensions {', '.join(sorted(AUDIO_EXTENSIONS))}")
+
+
+def is_audio(path: str) -> bool:
+    """Whether the last part of the path has a supported extension."""
     name = path.rstrip("/").rpartition("/")[2]
-    extension = f".{name.rpartition('.')[2]}".lower() if "." in name[1:] else ""
-    if extension not in AUDIO_EXTENSIONS:
-        raise PipelineError(f"Unsupported audio extension '{extension}'. Allowed extensions: {', '.join(sorted(AUDIO_EXTENSIONS))}")
+    return "." in name[1:] and f".{name.rpartition('.')[2]}".lower() in AUDIO_EXTENSIONS
 
 
 def supported_audio(paths: DataFrame, path: str = "path") -> DataFrame:
@@ -78,12 +108,23 @@ def audio_files(spark: SparkSession, folder: str) -> DataFrame:
     return supported_audio(spark.read.format("binaryFile").load(folder)).select("path", "content")
 
 
-def transcribe(audio: DataFrame, transcriber: Transcriber | None, language: str | None = None) -> DataFrame:
+def transcribe(audio: DataFrame, transcriber: Transcriber | None, options: RecognizerOptions = RecognizerOptions()) -> DataFrame:
     """Transcript documents from audio files by the given recognizer; without one this raises."""
     if transcriber is None:
-        raise PipelineError("No transcriber is given. Pass a function from batches of (path, content) to (path, language, text, segments).")
-    found = audio.mapInPandas(transcriber, f"path string, language string, text string, segments array<{SEGMENT}>")
-    return found.select(F.col("path").alias("audio_file"), F.coalesce("language", F.lit(language)).alias("language"), strip(F.coalesce("text", F.lit(""))).alias("text"), "segments")
+        raise PipelineError("no recognizer is given: pass a function from batches of (path, content) and options to (path, language, text, segments)")
+    found = audio.mapInPandas(lambda batches: transcriber(batches, options), f"path string, language string, text string, segments array<{SEGMENT}>")
+    return found.select(F.col("path").alias("audio_file"), F.lit(options.model).alias("model"), F.coalesce("language", F.lit(options.language)).alias("language"), strip(F.coalesce("text", F.lit(""))).alias("text"), "segments")
+
+
+def fetch_audio(address: str, folder: str, fetcher: Fetcher | None, form: str = FETCHED[0]) -> str:
+    """The path of the audio that the given function fetches into folder (made if needed), with the format as extension."""
+    if form not in FETCHED:
+        raise ValueError(f"{form} is none of the formats {', '.join(FETCHED)}")
+    if fetcher is None:
+        raise PipelineError("no fetcher is given: pass a function from (address, folder, format) to the name of the file it got")
+    os.makedirs(folder, exist_ok=True)
+    name = os.path.basename(fetcher(address, folder, form))
+    return f"{folder.rstrip('/')}/{os.path.splitext(name)[0]}.{form}"
 
 
 def clip_listing(spark: SparkSession, folder: str) -> DataFrame:

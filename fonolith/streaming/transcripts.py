@@ -18,7 +18,7 @@ from fonolith.sources.transcripts import segments_of
 
 def read_transcript_stream(spark: SparkSession, folder: str) -> DataFrame:
     """New JSON documents of a folder as a stream under the declared schema."""
-    return spark.readStream.schema(TRANSCRIPT).option("multiLine", True).json(folder)
+    return spark.readStream.schema(TRANSCRIPT).option("multiLine", True).json(folder).select("*", F.col("_metadata.file_path").alias("document"))
 
 
 def follow_visemes(spark: SparkSession, folder: str, output: str, checkpoint: str, options: VisemeOptions = VisemeOptions(), **trigger) -> StreamingQuery:

@@ -14,7 +14,7 @@ def test_commands(spark, tmp_path):
     assert read("v")[0]["timeline"][0]["viseme"] == "OO" and read("c")[0]["mouthCues"][0] == {"value": "OO", "start": 0.5, "end": read("v")[0]["timeline"][0]["end"]}
     assert main(["transcript", "--input", str(source), "--output", str(tmp_path / "t"), "--no-normalize-phrases", "--language", "es"]) == 0
     assert read("t")[0]["language"] == "es" and len(read("t")[0]["phrases"]) == 3
-    assert main(["dataset", "--input", str(source), "--output", str(tmp_path / "d"), "--format", "piper", "--min-duration", "0.1"]) == 0
+    assert main(["dataset", "--input", str(source), "--output", str(tmp_path / "d"), "--format", "piper", "--min-duration", "0.1", "--no-export"]) == 0
     assert "".join(p.read_text() for p in (tmp_path / "d/metadata.csv").glob("part-*")) == "canc_000001.wav|Hola mundo\ncanc_000002.wav|corto\n"
 
 
@@ -24,3 +24,27 @@ def test_exit_codes(spark, tmp_path):
     assert main(["visemes", "--input", str(tmp_path / "empty.json"), "--output", str(tmp_path / "v")]) == 2
     (tmp_path / "nameless.json").write_text(json.dumps({"segments": [{"id": 1}]}))
     assert main(["dataset", "--input", str(tmp_path / "nameless.json"), "--output", str(tmp_path / "d")]) == 2
+
+
+def test_audio_to_outputs(spark, tmp_path):
+    """From an audio file, by way of a recognizer, to payloads, cues and transcript documents."""
+    audio = tmp_path / "talk.wav"
+    audio.write_text(json.dumps({"language": "ES", "segments": DOCUMENT["segments"][:1]}))
+    read = lambda folder: [json.loads(p.read_text()) for p in (tmp_path / folder).glob("audio_id=*/part-*")]
+    by = ["--input", str(audio), "--recognizer", "tests.recognizer:from_json"]
+    assert main(["visemes", *by, "--output", str(tmp_path / "v"), "--beam-size", "3", "--model", "tiny"]) == 0
+    (got,) = read("v")
+    assert [w["word"] for w in got["words"]] == ["hola", "mundo"] and got["language"] == "es" and got["metadata"]["model"] == "tiny"
+    assert got["audio_file"].endswith("talk.wav") and got["transcript"] == "Hola mundo."
+    assert main(["transcript", *by]) == 0
+    (got,) = [json.loads(p.read_text()) for p in (tmp_path / "talk.json").glob("audio_id=*/part-*")]
+    assert got["phrases"][0]["text"] == "Hola mundo." and got["model"] == "large-v3"
+    assert main(["visemes", "--input", str(audio), "--output", str(tmp_path / "w")]) == 2  # no recognizer
+    assert main(["visemes", "--input", str(tmp_path / "none.wav"), "--output", str(tmp_path / "w")]) == 1
+
+
+def test_fetch(tmp_path, capsys):
+    folder = tmp_path / "new"
+    assert main(["fetch", "https://example.org/talk", "--output-dir", str(folder), "--format", "opus", "--fetcher", "tests.recognizer:fetch"]) == 0
+    assert capsys.readouterr().out.strip() == f"{folder}/talk.opus" and (folder / "talk.opus").read_text() == "https://example.org/talk"
+    assert main(["fetch", "x", "--output-dir", str(folder)]) == 2 and main(["fetch", "x", "--fetcher", "tests.none:f"]) == 2

@@ -9,6 +9,7 @@ from fonolith.operators import dataset, phrases
 from fonolith.operators.spans import merge_adjacent, timeline
 from fonolith.operators.words import spans_of, transcripts, valid_words, with_visemes
 from fonolith.plans import pipelines
+from fonolith.schema import SEGMENT as SEGMENT_TYPE
 from fonolith.sources.sinks import write_metadata
 from fonolith.sources.transcripts import ensure_audio_input, read_transcripts, segments_of, transcribe
 
@@ -171,13 +172,53 @@ def test_documents_to_outputs(spark, tmp_path):
     again = json.loads(pipelines.transcript_payloads(spark, docs).first().payload)
     assert [s["text"] for s in again["segments"]] == ["Hola mundo.", "malo", "corto"]
     assert again["phrases"][0]["text"] == "Hola mundo." and again["phrases"][0]["start"] == 0.5
-    summary = pipelines.build_dataset(spark, docs, str(tmp_path / "out")).first()
+    summary = pipelines.build_dataset(spark, docs, str(tmp_path / "out"), pipelines.DatasetOptions(export=False)).first()
     assert (summary.total_segments, summary.exported_segments, summary.skipped_segments, summary.audio_prefix) == (3, 1, 2, "canc")
     lines = "".join(p.read_text() for p in (tmp_path / "out/metadata.csv").glob("part-*"))
     assert lines == "canc_000001.wav|Hola mundo.|Hola mundo\n"
     assert segments_of(docs).where(F.col("end_ms").isNull()).count() == 1
 
 
+def test_export(spark, tmp_path):
+    """Each name of metadata.csv is a file in wavs, numbered on without gaps; the encoder runs once a segment."""
+    import pytest
+
+    audio = tmp_path / "Canción.mp3"
+    texts = [("uno", 0.0, 1.0), ("dos", 1.0, 2.5), ("malo", 9.0, 11.0), ("corto", 11.0, 11.1), ("tres", 12.0, 14.0)]
+    document = {"audio_file": str(audio), "segments": [{"id": i, "start": a, "end": z, "text": t, "words": [{"word": t, "start": a, "end": z}]} for i, (t, a, z) in enumerate(texts)]}
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps(document))
+    out = tmp_path / "out"
+    with pytest.raises(FileNotFoundError, match="mp3"):
+        pipelines.build_dataset(spark, str(path), str(out))
+    audio.write_text("x")
+    (out / "wavs").mkdir(parents=True, exist_ok=True)
+    (out / "wavs/canc_000004.wav").write_text("there before")
+    summary = pipelines.build_dataset(spark, str(path), str(out), pipelines.DatasetOptions(sample_rate=16_000)).collect()
+    assert [(r.total_segments, r.exported_segments, r.skipped_segments, r.sample_rate) for r in summary] == [(5, 3, 2, 16_000)]
+    lines = "".join(p.read_text() for p in sorted((out / "metadata.csv").glob("part-*"))).split()
+    assert lines == ["canc_000005.wav|uno|uno", "canc_000006.wav|dos|dos", "canc_000007.wav|tres|tres"]
+    assert sorted(p.name for p in (out / "wavs").iterdir() if not p.name.endswith(".crc")) == [f"canc_{i:06d}.wav" for i in (4, 5, 6, 7)]
+    assert "-ss 1.000 -t 1.750 -ar 16000 -ac 1 -sample_fmt s16" in (out / "wavs/canc_000006.wav").read_text()
+    assert len((tmp_path / "Canción.mp3.calls").read_text().split()) == 4
+
+
+def test_documents_of_one_file_name(spark):
+    """Two documents that name the same audio file, or none, are two recordings."""
+    rows = [(name, "es", [(0, 0.0, 1.0, text, [(text, None, 0.0, 1.0, None)])]) for name, text in (("a.wav", "uno"), ("a.wav", "dos"), (None, "tres"), (None, "cuatro"))]
+    docs = spark.createDataFrame(rows, f"audio_file string, language string, segments array<{SEGMENT_TYPE}>")
+    assert segments_of(docs).select("audio_id").distinct().count() == 4
+    assert pipelines.viseme_payloads(spark, docs)[0].count() == 4
+
+
+def test_one_reading_of_spelling(spark):
+    """Nothing of the way from words to timelines is planned, and so computed, twice."""
+    from fonolith.plans.queries import QUERIES
+
+    plan = QUERIES["timeline_sil"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gü(?=[ei])") == 1
+
+
 def test_errors(spark, tmp_path):
     import pytest
 
