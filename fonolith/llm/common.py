@@ -2,54 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fonolith.storage import drop_files, materialize  # noqa: F401
+
 #: Characters that separate words, as in the pattern [^\x20\x09-\x0D]+ (a fixed value).
 BLANKS = " \t\n\x0b\f\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir; on one machine a temporary one will do."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="fonolith-")
-        sc.setCheckpointDir(found)
-    return found
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again.
-
-    The lineage ends here, so a lost executor costs no recomputation of what came before.  The files go when the
-    application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fonolith/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_files(df: DataFrame) -> None:
-    """Removes what materialize() wrote for df, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/fonolith/" in path:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, also where body uses it inside the lambda of another array function."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -82,7 +45,23 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str = "left", rows:
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
+def by_chance(share: Column, seed: int, *keys: str) -> Column:
+    """Whether a row is drawn, with the given probability, by all bits of the hash of its keys."""
+    return F.xxhash64(F.lit(seed), *keys).cast("double") / F.lit(2.0**64) + 0.5 < share
+
+
 def group_count(spark: SparkSession, size: int, target: int) -> int:
     """Groups of about `target` bytes for so many bytes; of fewer, down to a sixteenth, where else some cores would idle."""
     idle = min(2 * spark.sparkContext.defaultParallelism, -(-size // max(1, target // 16)))
     return max(1, -(-size // target), idle)
+
+
+def dealing(spark: SparkSession, size: int, group: int, held: int = 256 << 20, blob: int = 1 << 10) -> tuple[int, int]:
+    """(groups, ranges) for so many bytes of texts, where each group sends each range a blob.
+
+    A range stands for at most about `held` bytes of texts, so ranges follow the input; groups have about `group` bytes, or
+    more where blobs would be smaller than `blob` bytes else (from some 2 TB on).
+    """
+    ranges = max(16, -(-size // held))
+    groups = group_count(spark, size, max(group, ranges * blob))
+    return groups, max(ranges, min(groups, 4096))

@@ -20,7 +20,9 @@ _RNG = np.random.Generator(np.random.PCG64(20240229))
 #: A random 64-bit value for each byte; the odd base of the polynomial has an inverse modulo 2**64.
 _TABLE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 2**64)
+#: The base of a second hash, independent of the first.
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
+_INVERSE = {b: pow(b, -1, 2**64) for b in (_BASE, OTHER_BASE)}
 _PIECE = 1 << 20
 _powers: dict[int, np.ndarray] = {}
 
@@ -79,25 +81,25 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(_BASE) + b)
 
 
-def prefix_sums(buf: np.ndarray) -> np.ndarray:
+def prefix_sums(buf: np.ndarray, base: int = _BASE) -> np.ndarray:
     out = np.empty(len(buf) + 1, np.uint64)
     out[0] = 0
-    np.cumsum(_TABLE[buf] * powers(_BASE, len(buf)), out=out[1:])
+    np.cumsum(_TABLE[buf] * powers(base, len(buf)), out=out[1:])
     return out
 
 
-def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Hashes of the byte strings [start, end) of the buffer that has these prefix sums."""
-    return mix((sums[end] - sums[start]) * powers(_INVERSE, len(sums))[start] + (end - start).astype(np.uint64))
+    return mix((sums[end] - sums[start]) * powers(_INVERSE[base], len(sums))[start] + (end - start).astype(np.uint64))
 
 
-def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Hashes of spans in ascending order, in pieces that bound the memory."""
     out, i = np.empty(len(start), np.uint64), 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + _PIECE, "right")))
-        base = int(start[i])
-        out[i:j] = between(prefix_sums(buf[base : int(end[i:j].max())]), start[i:j] - base, end[i:j] - base)
+        first = int(start[i])
+        out[i:j] = between(prefix_sums(buf[first : int(end[i:j].max())], base), start[i:j] - first, end[i:j] - first, base)
         i = j
     return out
 
