@@ -100,16 +100,37 @@ def test_sketch_error_and_merging(spark):
 
 def test_line_dedup_brute(spark):
     docs = documents(spark)
-    ratio, least = 0.3, 2
-    got = collections.Counter((r.doc_id, r.source, r.text) for r in line_dedup.drop_lines(docs, ratio=ratio, least_pages=least).collect())
+    ratio, least, far = 0.1, 2, 2.0
+    got = collections.Counter((r.doc_id, r.source, r.text) for r in line_dedup.drop_lines(docs, ratio=ratio, least_pages=least, deviations=far).collect())
     rows = docs.collect()
     pages = collections.Counter(r.source for r in rows)
     have = collections.Counter((r.source, x.strip(" \t\r\x0b\x0c")) for r in rows for x in {x.strip(" \t\r\x0b\x0c") for x in (r.text or "").split("\n")} if x)
-    bad = {k for k, n in have.items() if n >= least and n > ratio * pages[k[0]]}
+    bad = {k for k, n in have.items() if n >= least and n - ratio * pages[k[0]] > far * (pages[k[0]] * ratio * (1 - ratio)) ** 0.5}
     clean = lambda r: None if r.text is None else "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" \t\r\x0b\x0c")) not in bad)
     assert bad and got == collections.Counter((r.doc_id, r.source, clean(r)) for r in rows)
 
 
+def test_lines_of_small_hosts(spark):
+    """A line on all pages of a host goes also where these are few; one that two of many pages share stays."""
+    rows = [(i, f"menu\npage {i}" + "\ncopied" * (i < 2), f"host{i // 4}", 0) for i in range(16)] + [(20 + i, f"top\nother {i}", "tiny", 0) for i in range(2)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")).collect()}
+    assert got == {i: t.removeprefix("menu\n") for i, t, *_ in rows}
+
+
+def test_odd_pages(spark, duck, tmp_path):
+    """The query and its SQL agree on pages without html or url, without a host, empty, repeated, and with other columns."""
+    page = "<p>nav</p><p>text {}</p>"
+    rows = [(i, f"http://h{i % 2}/x", page.format(i), "z") for i in range(12)] + [(3, "http://h1/x", page.format(3), None), (None, None, page.format("n"), "q"), (50, None, None, ""), (51, "no url", "", ""), (52, "", "<br>", ""), (53, "http://h0/", None, "")]
+    rows += [(60 + i, None, page.format(60 + i), "k") for i in range(4)]
+    spark.createDataFrame(rows, "page_id long, url string, html string, host string").write.parquet(str(tmp_path / "pages.parquet"))
+    want = duck.cursor().sql(line_dedup.OP10_SQL.replace("FROM pages)", f"FROM '{tmp_path}/pages.parquet/*.parquet')")).fetchall()
+    got = line_dedup.op10_line_dedup(spark, str(tmp_path)).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want) and sum(r.n_dropped for r in got) > 15
+    none = tmp_path / "none"
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(none / "pages.parquet"))
+    assert line_dedup.op10_line_dedup(spark, str(none)).count() == 0
+
+
 def test_filters_keep_columns(spark):
     docs = documents(spark)
     for f in (quality_rules.filter_documents, line_dedup.clean_documents, mixing.mix_documents):
