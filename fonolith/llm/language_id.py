@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
+from fonolith.llm.common import by_chance
 from fonolith.workers import ready
 
-#: Hashed trigrams; texts in the training sample (over all languages); languages at most.
-DIM, SAMPLE, MOST_LANGUAGES = 4096, 4000, 1000
+#: Hashed trigrams; texts in the training sample (over all languages); the languages to learn, the most frequent ones, at most
+#: (a bound of the fit: texts of any other language still get a prediction).
+DIM, SAMPLE, MOST_LANGUAGES = 4096, 4000, 2000
 #: Scores of the best language below this are flagged as ambiguous.
 AMBIGUOUS = 0.7
 #: The mean size of a bit's margin on the training sample.
@@ -56,7 +58,7 @@ def codewords(k: int, seed: int = 5) -> np.ndarray:
         splits = [[1] + [1 - 2 * (i >> j & 1) for j in range(k - 1)] for i in range(1, 2 ** (k - 1))]
         return np.array(splits, float).T
     rng, bits, best = np.random.default_rng(seed), int(np.ceil(10 * np.log2(k))), None
-    for _ in range(50):
+    for _ in range(50 if k <= 200 else 5):
         code = rng.choice([-1.0, 1.0], (k, bits))
         code = code[:, np.abs(code.sum(0)) < k]
         agree = code @ code.T - 2 * bits * np.eye(k)
@@ -115,7 +117,8 @@ class Model:
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of the nearest language, and a score from the losses of all: softmax of their negatives."""
-        loss = np.stack([(self.trust * np.logaddexp(0, -row * margins)).sum(1) for row in self.code], 1) if len(self.code) else np.zeros((len(margins), 1))
+        wrong = self.trust * np.logaddexp(0, margins), self.trust * np.logaddexp(0, -margins)  # where a bit is -1, and +1
+        loss = wrong[0] @ (self.code < 0).T + wrong[1] @ (self.code > 0).T if len(self.code) else np.zeros((len(margins), 1))
         p = np.exp(loss.min(1, keepdims=True) - loss)
         p /= p.sum(1, keepdims=True)
         return p.argmax(1), p.max(1)
@@ -128,14 +131,13 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str, train: Colu
     """
     ready(docs.sparkSession)
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), F.col(key).alias("k"), F.col(text).alias("t"))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    common = rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGUAGES)
+    counts = {r["l"]: r["n"] for r in common.collect()}
     if not counts:
         return [], np.zeros((0, DIM), np.float32), np.zeros(0, int)
     languages = sorted(counts)
-    share = F.element_at(F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, sample / len(counts) / n))), F.col("l"))
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(1_000_000)) < share * 1_000_000)
+    shares = docs.sparkSession.createDataFrame([(k, sample / len(counts) / n) for k, n in counts.items()], "l string, share double")
+    chosen = rows.join(F.broadcast(shares), "l").where(by_chance(F.col("share"), 3, "k"))
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +170,9 @@ def train(docs: DataFrame, key: str, text: str, lang: str, where: Column) -> Mod
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score, ambiguous), a row for each row of docs; nothing but the text decides.
 
-    Null texts, and texts without a letter, get `und` and score 0; so does every text if no language was learned.
+    Null texts, and texts without a letter, get `und` and score 0; so does every text if no language was learned.  Very
+    long texts are read whole, a piece at a time; rows that repeat are predicted alike; an empty table gives an empty one;
+    other columns, whatever their names, aren't read.
     """
     ready(docs.sparkSession)
     kind, shared = dict(docs.dtypes)[key], docs.sparkSession.sparkContext.broadcast(model)

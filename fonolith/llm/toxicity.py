@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
-from fonolith.llm.common import materialize
+from fonolith.llm.common import by_chance, join_checked, materialize
 from fonolith.workers import ready
 
 #: Rows of the embedding table, its columns, filters of each width, widths.
@@ -172,7 +172,7 @@ def examples(labels: DataFrame, where: Column, key: str = "doc_id", label: str =
     rows = labels.where(where & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("y") == 1, F.lit(sample / counts.get(1, 1))).otherwise(F.lit(sample / counts.get(0, 1)))
-    chosen = F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < share * 1_000_000
+    chosen = by_chance(share, 5, "k")
     return rows.withColumn("fr_fit", chosen & (F.pmod(F.xxhash64(F.lit(7), "k"), F.lit(5)) > 0)), counts
 
 
@@ -258,11 +258,9 @@ def calibrate(model: Model, scored: DataFrame, rows: DataFrame, key: str = "doc_
 def finish(scored: DataFrame, model: Model) -> DataFrame:
     """scored with score, lang_threshold and flagged instead of the columns of logits()."""
     rows = scored.withColumn("score", 1 / (1 + F.exp(-(F.col("fr_logit") + F.lit(float(model.shift))))))
-    limit = F
-    for name, value in model.thresholds.items():
-        limit = limit.when(F.coalesce("fr_lang", F.lit("")) == name, F.lit(value))
-    rows = rows.withColumn("lang_threshold", limit.otherwise(F.lit(0.5)) if model.thresholds else F.lit(0.5))
-    return rows.withColumn("flagged", F.col("score") >= F.col("lang_threshold")).drop("fr_lang", "fr_logit", "fr_long")
+    limits = scored.sparkSession.createDataFrame(list(model.thresholds.items()), "fr_l string, lang_threshold double")
+    rows = join_checked(rows, limits, F.coalesce("fr_lang", F.lit("")) == F.col("fr_l")).drop("fr_l").withColumn("lang_threshold", F.coalesce("lang_threshold", F.lit(0.5)))
+    return rows.withColumn("flagged", F.col("score") >= F.col("lang_threshold")).drop("fr_lang", "fr_logit", "fr_long").select(*(c for c in scored.columns if not c.startswith("fr_")), "score", "lang_threshold", "flagged")
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -279,7 +277,9 @@ def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: st
     """(key, score, lang_threshold, flagged), a row for each row of docs.
 
     The score depends on the text alone; empty and null texts get the score of a text without words.  flagged compares it
-    with the threshold of the row's language (0.5 for one that isn't known, or null).
+    with the threshold of the row's language (0.5 for one that isn't known, or null).  Very long texts are read whole;
+    rows that repeat are scored alike; an empty table gives an empty one; other columns, whatever their names, aren't
+    read.
     """
     return finish(logits(docs, model, key, text, lang), model)
 

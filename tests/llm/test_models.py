@@ -68,43 +68,110 @@ def test_bpe_documents(vocabulary, spark):
     assert bpe.encode_documents(no_documents(spark), vocabulary).count() == 0
 
 
-def test_lm_brute(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "GROUP", 30_000)
+def backoff_walk(texts, learn, m2, m3):
+    """(base score, score) of each text by an automaton of dicts, a token at a time; and its counts."""
+    count = collections.Counter()
+    for w, use in zip(texts, learn, strict=True):
+        if use:
+            h = ("<start>", *w)
+            count.update((x,) for x in w)
+            count.update(zip(h[:-1], h[1:], strict=True))
+            count.update(zip(h[:-2], h[1:-1], h[2:], strict=True))
+    n = sum(c for k, c in count.items() if len(k) == 1)
+    whole = n + sum(len(k) == 1 for k in count) + 1
+    as_history = collections.Counter(count)
+    as_history["<start>",] = sum(learn)
+    prior = {1: m2, 2: m3}
+
+    def arc(h, x):
+        """The weight of the arc of state h with token x, as a probability."""
+        if not h:
+            return (count[(x,)] + 1) / whole
+        m = prior[len(h)]
+        return (count[(*h, x)] + m * arc(h[1:], x)) / (as_history[h] + m)
+
+    out = []
+    for w in texts:
+        state, score = ("<start>",) if any(learn) else (), 0.0
+        for x in w:
+            while state and not count[(*state, x)]:
+                score += math.log10(prior[len(state)] / (as_history[state] + prior[len(state)]))
+                state = state[1:]
+            score += math.log10(arc(state, x))
+            state = (*state, x)[-2:]
+            while state and not as_history[state]:
+                state = state[1:]
+        out.append((sum(math.log10((count[(x,)] + 1) / whole) for x in w), score))
+    return out, count, n
+
+
+def test_lm_brute(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(documents(spark).select(F.col("doc_id") + 10_000, "text"))
     learn = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
-    got = lm_scoring.score_documents(docs, learn).collect()
-    rows = [(r.doc_id, WORD.findall((r.text or "").translate(LOW)) + [None]) for r in docs.collect()]
-    c, pair = collections.Counter(), collections.Counter()
-    for k, w in rows:
-        if k is None or zlib.crc32(str(k).encode()) % 7 != 2:
-            c.update(w)
-            pair.update(zip(["<start>", *w[:-1]], w, strict=True))
-    n, v = c.total(), len(c)
-    m, whole = got[0].strength, n + v + 1
-    c["<start>"] = c[None]
-    want = collections.Counter()
-    for k, w in rows:
-        base = sum(math.log10((c[x] + 1) / whole) for x in w)
-        score = sum(math.log10((pair[h, x] + m * (c[x] + 1) / whole) / (c[h] + m)) for h, x in zip(["<start>", *w[:-1]], w, strict=True))
-        want[k, len(w), sum(c[x] > 0 for x in w), n, round(base, 5), round(score, 5)] += 1
+    got = lm_scoring.score_documents(docs, learn, group=30_000).collect()
+    keys, texts = zip(*((r.doc_id, WORD.findall((r.text or "").translate(LOW)) + [None]) for r in docs.collect()), strict=True)
+    used = [k is None or zlib.crc32(str(k).encode()) % 7 != 2 for k in keys]
+    scores, count, n = backoff_walk(texts, used, got[0].strength_2, got[0].strength_3)
+    want = collections.Counter((k, len(w), sum(count[(x,)] > 0 for x in w), n, round(base, 5), round(score, 5)) for k, w, (base, score) in zip(keys, texts, scores, strict=True))
     assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got) == want
+    # each strength makes failures as frequent as n-grams seen once
+    histories = {k: c for k, c in count.items() if k[-1] is not None}
+    for size, m in ((1, got[0].strength_2), (2, got[0].strength_3)):
+        cs = [c for k, c in histories.items() if len(k) == size] + [sum(used)] * (size == 1)
+        once = sum(c == 1 for k, c in count.items() if len(k) == size + 1)
+        assert sum(c * m / (c - 1 + m) for c in cs) == pytest.approx(once, rel=0.02)
+
+
+def test_lm_lanes_agree():
+    """A text walked in lanes of any length has the scores of one walk."""
+    rng = np.random.default_rng(3)
+    token = rng.integers(1, 9, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    begin = np.array([0, 1, 90, 91, 300, 400])
+    token[begin[1:] - 1] = lm_scoring.END
+    learn = np.repeat([True, False, True, True, True], np.diff(begin))
+    pair, three, inner = lm_scoring.ngrams(token, begin)
+    sums = {1: lm_scoring.counted(token, learn)[1], 2: lm_scoring.counted(pair, learn)[1], 3: lm_scoring.counted(three[inner], learn[inner])[1]}
+    machine = lm_scoring.build(token, begin, sums, int(learn.sum()) + 10, 4, 3.0, 2.0)
+    whole = machine.walk(token, begin, 1000)
+    for lane in (1, 2, 3, 7):
+        assert np.allclose(machine.walk(token, begin, lane), whole)
+    texts = [token[a:z].tolist() for a, z in zip(begin[:-1], begin[1:], strict=True)]
+    scores, count, n = backoff_walk(texts, [True, False, True, True, True], 3.0, 2.0)
+    assert n + sum(len(k) == 1 for k in count) + 1 == int(learn.sum()) + len(np.unique(token[learn])) + 1
+    machine = lm_scoring.build(token, begin, sums, n + sum(len(k) == 1 for k in count) + 1, 4, 3.0, 2.0)
+    assert np.allclose(np.add.reduceat(machine.walk(token, begin), begin[:-1]), [s for _, s in scores])
 
 
 def test_lm_sums_beyond_32_bits():
-    most = np.array([2**32 - 1, 0], np.uint32)
-    sums, known = lm_scoring.answer([np.array([5, 9], np.uint64)] * 2, [most, most])
-    assert [s.tolist() for s in sums] == [[2**33 - 2, 0]] * 2 and known == 1
-    assert lm_scoring._unpack(lm_scoring._pack(sums[0]), np.uint64, 2).tolist() == [2**33 - 2, 0]
-
-
-def test_lm_is_better_than_base_and_sums_to_one(spark):
+    most = np.array([2**31 - 1, 0], np.uint32)
+    sums, total, ends = lm_scoring.answer([np.array([5, 9], np.uint64)] * 3, [most, most, most | np.uint32([1 << 31, 0])])
+    assert [s.tolist() for s in sums] == [[3 * (2**31 - 1), 0]] * 3 and total.tolist() == [3 * (2**31 - 1), 0] and ends.tolist() == [True, False]
+    assert lm_scoring._unpack(lm_scoring._pack(sums[0]), np.uint64, 2).tolist() == [3 * (2**31 - 1), 0]
+
+
+def test_lm_states_sum_to_one():
+    """Over all tokens of the training texts and the unknown one, the probabilities after each state add up to one."""
+    rng = np.random.default_rng(1)
+    token = rng.integers(1, 6, 60).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    begin = np.array([0, 20, 45, 60])
+    token[begin[1:] - 1] = lm_scoring.END
+    pair, three, inner = lm_scoring.ngrams(token, begin)
+    learn = np.ones(60, bool)
+    sums = {1: lm_scoring.counted(token, learn)[1], 2: lm_scoring.counted(pair, learn)[1], 3: lm_scoring.counted(three[inner], learn[inner])[1]}
+    words = np.unique(token)
+    machine = lm_scoring.build(token, begin, sums, 60 + len(words) + 1, 3, 1.5, 0.7)
+    assert len(machine.hash) > 15
+    for state in range(len(machine.hash)):
+        if state < 2 or state - 2 >= len(words) or words[state - 2] != lm_scoring.END:
+            every = np.append(words, np.uint64(7))
+            p = 10 ** machine.step(np.full(len(every), state), every)[1]
+            dead = state > len(words) + 1 and not (machine.hash[state] in set(pair[~(token == lm_scoring.END)].tolist()))
+            assert dead or p.sum() == pytest.approx(1)
+
+
+def test_lm_is_better_than_base(spark):
     rows = lm_scoring.op2_lm_scoring(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
-    # over all tokens after one history: seen pairs, and the rest by way of the root
-    c, pair, history, size = np.array([3.0, 2.0, 1.0]), np.array([2.0, 0.0, 0.0]), 2.0, 6 + 3 + 1
-    known = 10 ** lm_scoring.log_scores(c, pair, np.full(3, history), size, 4.0)
-    unknown = 10 ** lm_scoring.log_scores(np.zeros(1), np.zeros(1), np.full(1, history), size, 4.0)
-    assert known.sum() + unknown.sum() == pytest.approx(1)
     assert lm_scoring.score_documents(no_documents(spark), F.lit(True)).count() == 0
 
 
@@ -198,6 +265,75 @@ def test_toxicity_edges(spark):
     assert toxicity.score_documents(no_documents(spark), model).count() == 0
 
 
+def naive_toxicity(model, text):
+    """The score of a text by loops over words, windows and filters."""
+    low = "".join(c.lower() if c < "\x80" or "À" <= c <= "Þ" and c != "×" else c for c in text)
+    found = [w.encode() for w in re.findall(r"[a-z\x80-\U0010ffff]+", low)]
+    rows = [[int(tk.mix(tk.span_hashes(np.frombuffer(w[:n], np.uint8), np.array([0]), np.array([len(w[:n])])) + np.uint64(n))[0] >> np.uint64(46)) for n in (4, 6, 1 << 40)] for w in found]
+    vectors = [sum(model.emb[r].astype(float) for r in three) for three in rows]
+    z = float(model.bias)
+    for number, width in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            fits = [sum(float(model.k[width][o][:, f] @ vectors[i + o]) for o in range(width)) + float(model.c[width][f]) for i in range(len(vectors) - width + 1)]
+            z += max([0.0, *fits]) * float(model.out[number * toxicity.FILTERS + f])
+    return 1 / (1 + math.exp(-(z + model.shift)))
+
+
+def test_toxicity_brute(spark):
+    """The query's scores are those of a naive pass over each text's windows."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    odd = documents(spark).where("doc_id is not null").select((F.col("doc_id") + 10_000).alias("doc_id"), "text", "lang")
+    rows = docs.select("doc_id", "text", "lang").limit(60).union(odd)
+    got = {r.doc_id: r.score for r in toxicity.score_documents(rows, model).collect()}
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    assert len(got) > 70
+    for k, score in got.items():
+        assert score == pytest.approx(naive_toxicity(model, texts[k] or ""), abs=2e-4), k
+
+
+def naive_language(model, text):
+    """The language of a text by a dict of trigrams and the loss of each codeword."""
+    low = "".join(c.lower() if c < "\x80" or "À" <= c <= "Þ" and c != "×" else c for c in text).encode()
+    b = b"  " + bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in low) + b"  "
+    grams = collections.Counter(b[i : i + 3] for i in range(len(b) - 2))
+    margin = [float(model.bias[j]) for j in range(model.code.shape[1])]
+    for g, n in grams.items():
+        row = ((g[0] | g[1] << 8 | g[2] << 16) * 2654435761 % 2**32) >> 20
+        for j in range(len(margin)):
+            margin[j] += float(model.w[row, j]) * n / (len(b) - 2)
+    losses = [sum(model.trust[j] * math.log1p(math.exp(-row[j] * m)) for j, m in enumerate(margin)) for row in model.code]
+    p = [math.exp(min(losses) - x) for x in losses]
+    return model.languages[p.index(max(p))], max(p) / sum(p)
+
+
+def test_language_brute(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(docs, "doc_id", "text", "lang", F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in language_id.predict(docs.limit(60), model).collect():
+        name, score = naive_language(model, texts[r.doc_id])
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-4)
+
+
+def test_many_languages(spark, monkeypatch):
+    """With more languages than are learned, the most frequent ones are; every text gets one of these."""
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    rows = [(i, chr(97 + i % 7) * 3 + " " + chr(97 + i % 7) * 2, f"l{i % 7}") for i in range(70)] + [(100 + i, f"ab{'cde'[i % 3]} " * 4, f"m{i % 3}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs, "doc_id", "text", "lang", F.lit(True))
+    assert model.languages == ["m0", "m1", "m2"]
+    assert {r.lang_pred for r in language_id.predict(docs, model).collect()} <= set(model.languages)
+
+
+def test_draws_follow_the_share(spark):
+    from fonolith.llm.common import by_chance
+
+    rows = spark.range(200_000).withColumnRenamed("id", "k")
+    for share in (1e-3, 0.3):
+        assert rows.where(by_chance(F.lit(share), 5, "k")).count() == pytest.approx(200_000 * share, rel=0.2)
+
+
 def test_pooling_stays_in_its_text():
     model = toxicity.Model()
     texts = ["one", "two words", "", "three more words", "a b c d e f"]
