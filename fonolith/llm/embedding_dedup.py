@@ -152,9 +152,8 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     v = F.col(column) if small else F.col(column).cast("array<double>")
     rows = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).withColumn("ok", usable(F.col("v")) & F.col("id").isNotNull())
     hashed = rows.select("id", "ok", F.xxhash64(F.lit(1), "v").alias("h1"), F.xxhash64(F.lit(2), "v").alias("h2"), "v")
-    classes = materialize(hashed.where("ok").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.min_by("v", "id").alias("v")))
-    # a class is named by the hash of its vector, as several may have the same smallest id
-    classes = classes.withColumn("cls", F.col("h1"))
+    # a class has a number of its own once it is written: several may have the same smallest id, or share one of the hashes
+    classes = materialize(hashed.where("ok").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.min_by("v", "id").alias("v")).withColumn("cls", F.monotonically_increasing_id()))
     per_dim = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
     shared = vectors.sparkSession.sparkContext.broadcast({d: Filters(n, d, cosine) for d, n in per_dim.items()})
 
@@ -188,10 +187,10 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     # components of classes, then their smallest member
-    named = classes.select("cls", "h2", "rep", "n").join(links, "cls", "left").join(joined, classes.cls == joined.id, "left").withColumn("component", F.coalesce("component", "cls")).drop("id")
+    named = classes.select("cls", "h1", "h2", "rep", "n").join(links, "cls", "left").join(joined, classes.cls == joined.id, "left").withColumn("component", F.coalesce("component", "cls")).drop("id")
     named = materialize(named)
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(least, "component").select(F.col("cls").alias("h1"), "h2", "n", "links", "component_id")
+    by_class = named.join(least, "component").select("h1", "h2", "n", "links", "component_id")
     out = hashed.drop("v").join(by_class.withColumn("ok", F.lit(True)), ["h1", "h2", "ok"], "left")
     n_links = F.coalesce(F.col("links"), F.lit(0)) + F.coalesce(F.col("n") - 1, F.lit(0))
     component = F.coalesce("component_id", "id")

@@ -113,20 +113,24 @@ def banded(docs: DataFrame, key: str, text: str, bands: int, rows: int, words: i
     return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(tk.lean(body), "id long, c1 long, c2 long, bands array<long>")
 
 
-def weighted_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(id, s, w): the sorted shingle hashes of each document and their weights, as bytes."""
+def weighted_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(id, s, w) of (id, c1, c2, fr_text): the sorted shingle hashes of each text and their weights, as bytes.
+
+    Only of texts whose class hashes are c1 and c2: where a key repeats, it may stand for other texts too.
+    """
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, off = tk.flat(batch.column(1))
+            buf, off = tk.flat(batch.column(3))
             for i, j in tk.pieces(off, _PIECE):
-                owner, h, weight, _, _ = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
+                owner, h, weight, c1, c2 = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
                 cut = np.searchsorted(owner, np.arange(j - i + 1))
                 s = [h[a:z].tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)]
                 w = [weight[a:z].astype(np.uint32).tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.binary()), pa.array(w, pa.binary())], names=["id", "s", "w"])
+                own = (batch.column(1).to_numpy()[i:j] == c1.view(np.int64)) & (batch.column(2).to_numpy()[i:j] == c2.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.binary()), pa.array(w, pa.binary())], names=["id", "s", "w"]).filter(pa.array(own))
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(tk.lean(body), "id long, s binary, w binary")
+    return docs.select("id", "c1", "c2", "fr_text").mapInArrow(tk.lean(body), "id long, s binary, w binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -202,13 +206,14 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     similarity; kept: the key is the class_id.  Words are compared as they are; blanks between them don't matter.  A pair
     at the bound meets in a band with probability 1 - (1 - similarity ** rows) ** bands (0.9994 by default), a more
     similar one with a higher one.  Null, empty and blank texts link with nothing, and neither do rows with a null key
-    (class_id null, kept); rows that repeat a key are one document.  An empty table gives an empty table.
+    (class_id null, kept).  Rows that repeat a key are texts of their own, each with its own class; equal rows are alike.
+    Very long texts are shingled whole.  An empty table gives an empty table.
     """
     ready(docs.sparkSession)
     each = materialize(banded(docs, key, text, bands, rows, words))
     real = each.where(F.col("id").isNotNull() & (F.size("bands") > 0))
-    classes = materialize(real.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")))
-    # an id that stands for several texts (a repeated key) is one node
+    # a class is a node of its own, numbered once written: a repeated key may stand for several texts
+    classes = materialize(real.groupBy("c1", "c2").agg(F.min("id").alias("first"), F.min_by("bands", "id").alias("bands")).withColumn("rep", F.monotonically_increasing_id()))
     spread = classes.select("rep", F.explode("bands").alias("h"))
     full = materialize(spread.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     # tables that grow with the corpus are merged at any size, never broadcast where they happen to be small
@@ -219,9 +224,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     ends = met.join(degree, "rep").groupBy("h").agg(F.min("rep").alias("lo"), F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hi"))
     met = materialize(met.select("h", "rep").join(ends, "h"))
     star = materialize(met.select("rep", F.explode(F.array("lo", "hi")).alias("b")).where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
-    nodes = met.select(F.col("rep").alias("id")).distinct()
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("fr_text")).join(nodes.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
-    sets = materialize(weighted_sets(source, "id", "fr_text", words))
+    nodes = classes.select("rep", "c1", "c2", F.col("first").alias("k")).join(met.select("rep").distinct().hint("shuffle_hash"), "rep", "left_semi")
+    source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("fr_text")).join(nodes.hint("shuffle_hash"), "k").dropDuplicates(["k", "rep", "fr_text"])
+    sets = materialize(weighted_sets(source.withColumnRenamed("rep", "id"), words).dropDuplicates(["id"]))
     linked = materialize(verified(star, sets, similarity))
     joined = components(linked)
     # ... and members that neither has brought together meet each other: as pairs in small buckets, else in blocks
@@ -235,15 +240,24 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
         joined = components(linked.unionByName(more))
     for done in (full, crowd, met, star, sets, linked, open_, more):
         drop_files(done)
-    named = classes.select("c1", "c2", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", "rep", F.coalesce("component", "rep").alias("comp"))
-    out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named.withColumn("real", F.lit(True)), ["c1", "c2", "real"], "left")
+    # components of classes, then their smallest key
+    named = materialize(classes.select("c1", "c2", "first", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", F.col("first").alias("rep"), F.coalesce("component", "rep").alias("node")))
+    least = named.groupBy("node").agg(F.min("rep").alias("comp"))
+    named = named.join(least, "node").drop("node").withColumn("real", F.lit(True))
+    out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named, ["c1", "c2", "real"], "left")
     found = F.coalesce("comp", "id")
     return out.select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), found).alias("class_id"), F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("text_id"), F.coalesce(F.col("id") == found, F.lit(True)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs of which near_classes keeps the doc_id (and those without one), with the columns of docs."""
-    gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("fr_id")).distinct()
+    """The rows of docs that near_classes keeps, with the columns of docs.
+
+    Rows without a key, or without a word, stay.  Of a key that repeats all rows go, if it is kept for none of its texts;
+    else all stay.  Very long texts and empty tables are as in near_classes().
+    """
+    ids = near_classes(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.bool_or("kept").alias("some"))
+    gone = ids.where(~F.col("some")).select(F.col("doc_id").alias("fr_id"))
+    # the narrow side is the hash table: texts aren't sorted
     return packed(docs).join(gone.hint("shuffle_hash"), F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
 
 
