@@ -1,15 +1,17 @@
 """Removal of repeated passages by prefix-free parsing.
 
-Texts are parsed into phrases at trigger strings: in every window of `length` bytes the trigger with the least rolling
-hash (the leftmost of equals) is the window's own, so each window has a trigger, and equal windows have it at the same
-place.  The windows that share a trigger occurrence make up a phrase: its bytes hold all of them.  The parse of the corpus
-is the list of phrases, its dictionary the distinct ones.
-
-A phrase that occurs again repeats all its windows, whatever they are: the parse decides.  Where distinct phrases of the
-dictionary share a trigger, only some of their windows may be equal: there the suffixes of the phrases that begin before
-the trigger are sorted, like in a suffix array cut off after `length` bytes, and equal neighbours are the repeats.  Corpus order (document, then
-place) says which occurrence is the first.  Comparisons of suffixes are of bytes; triggers and phrases are told apart by
-64-bit hashes.
+Texts are parsed into phrases at trigger strings, found by a rolling hash: in every window of `length` bytes the trigger
+with the least hash (the leftmost of equals) is the window's own, so each window has a trigger, and equal windows have it at
+the same place.  The windows that share a trigger occurrence make up a phrase: its bytes hold all of them.  A phrase that
+occurs again repeats all its windows, whatever they are: the parse decides.
+
+Distinct phrases that share a trigger may have some windows in common.  A range of triggers is a small, highly repetitive
+corpus of such phrases; it is parsed again, now prefix-free: at every string of eight bytes whose rolling hash is 0 modulo
+a number, each piece ending with the trigger that the next one begins with.  The suffixes of the dictionary of distinct
+pieces are sorted by prefix doubling, and so are the suffixes of the parse.  A place of the corpus is a suffix of a piece
+and then a suffix of the parse; as no such suffix of a piece is a prefix of another one, the pair of ranks puts all places in
+the order of the suffixes of the corpus.  There equal windows are neighbours, and they are compared byte by byte.  Of equal
+windows the first by document and place is kept.
 
 Texts are dealt into groups.  A group sends each distinct phrase once, in blobs by ranges of trigger hashes, so a passage
 that occurs very often takes one entry a group; a range decides for all groups; answers meet the group's texts again.
@@ -28,17 +30,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fonolith.llm import textkernel as tk
-from fonolith.llm.common import group_count
+from fonolith.llm.common import dealing
 from fonolith.workers import ready
 
-#: Bytes of a window and of a trigger; bytes of text in a group, on average; the most ranges of hashes.
+#: Bytes of a window and of a trigger; bytes of text in a group, on average.
 LENGTH, TRIGGER = 100, 32
-GROUP, RANGES = 8 << 20, 4096
+GROUP = 8 << 20
 _PIECE, _PLACE = 1 << 20, np.uint64(26)
+#: Bytes of a trigger of the second parse, and the number that its hashes are taken modulo.
+INNER, INNER_MOD = 8, np.uint64(16)
 #: What the parse says of a phrase: its windows are new, all occur earlier, its suffixes must be compared, or there are
-#: too many phrases with its trigger (more than CROWD) to meet in one place, so that its windows are told apart by hash.
+#: too many phrases with its trigger (more than CROWD) to meet in one place, so that its windows go to their own ranges.
+#: Phrases of a trigger, and windows there, are equal if 128 bits of hashes are; else windows are compared by bytes.
 NEW, REPEATED, COMPARE, SCATTER = 0, 1, 2, 3
 CROWD = 4096
+#: Windows of a range that are put in order at a time, or those of one trigger if these are more (69 * CROWD at most).
+CHUNK = 200_000
 
 
 def slices(off: np.ndarray, length: int) -> Iterator[np.ndarray]:
@@ -92,27 +99,96 @@ def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, trigger: int =
     return {k: np.concatenate(v) if v else np.zeros(0, kind) for (k, v), kind in zip(parts.items(), kinds, strict=True)}
 
 
-def equal_suffixes(window: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """A number for each row of window (bytes) that equal rows of equal rank share; -1 for a row without an equal.
+def _ranks(*keys: np.ndarray) -> np.ndarray:
+    """The rank (from 1) of each row by the keys, the first one first; equal rows share a rank."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) + 1
+    return out
+
 
-    Rows are sorted by eight bytes at a time; a row leaves as soon as it differs from all others.
+def _doubled(rank: np.ndarray, rest: np.ndarray, known: int) -> np.ndarray:
+    """Ranks of suffixes, from the ranks of their first `known` symbols.  rest: symbols from each place to its string's end."""
+    most = int(rest.max(initial=0))
+    while known < most and rank.max(initial=0) < len(rank):
+        on = rest > known
+        after = np.zeros(len(rank), np.int64)
+        after[on] = rank[np.flatnonzero(on) + known]
+        rank, known = _ranks(rank, after), known * 2
+    return rank
+
+
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that sorts like them; zeros after the end."""
+    wide = np.append(data, np.zeros(8, np.uint8))
+    return np.lib.stride_tricks.sliding_window_view(wide, 8)[: len(data)].copy().view(">u8").ravel().astype(np.uint64)
+
+
+def _runs(size: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each entry, as many as it says."""
+    return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+
+
+def prefix_free(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each piece of the texts begins (one after the other in data), its length, and the text it is of."""
+    end = np.cumsum(size)
+    sums, place = tk.prefix_sums(data), np.arange(max(0, len(data) - INNER + 1))
+    text = np.searchsorted(end, place, "right")
+    hit = (tk.between(sums, place, place + INNER) % INNER_MOD == 0) & (place + INNER <= end[np.minimum(text, len(end) - 1)])
+    begin = np.union1d(place[hit], (end - size)[size > 0])
+    text = np.searchsorted(end, begin, "right")
+    last = np.append(text[1:] != text[:-1], True)
+    stop = np.where(last, end[text], np.append(begin[1:], 0) + INNER)
+    return begin, stop - begin, text
+
+
+def corpus_order(data: np.ndarray, size: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The order of the suffixes of texts that begin at the given places of data, by the suffix arrays of dictionary and parse."""
+    begin, length, text = prefix_free(data, size)
+    # the dictionary: one of each distinct piece; pieces of equal hash are held against it byte by byte
+    sums = tk.prefix_sums(data)
+    names, first, word = np.unique(tk.between(sums, begin, begin + length), return_index=True, return_inverse=True)
+    k = _runs(length)
+    if (length != length[first][word]).any() or (data[np.repeat(begin, length) + k] != data[np.repeat(begin[first][word], length) + k]).any():
+        raise ArithmeticError("two pieces of a text have the same hash")
+    own = length[first]
+    at = np.cumsum(own) - own  # where each word of the dictionary begins
+    k = _runs(own)
+    words, rest = data[np.repeat(begin[first], own) + k], np.repeat(own, own) - k
+    short = np.minimum(rest, 8)
+    head = _eight(words) & np.where(short == 8, ~np.uint64(0), ~(~np.uint64(0) >> (8 * (short % 8)).astype(np.uint64)))
+    suffix = _doubled(_ranks(head, short), rest, 8)
+    # the parse: the rank of each piece's word, one text after the other
+    last = np.append(text[1:] != text[:-1], True)
+    ends = np.flatnonzero(last)
+    to_end = ends[np.searchsorted(ends, np.arange(len(text)))] - np.arange(len(text)) + 1
+    parse = _doubled(_ranks(suffix[at[word]]), to_end, 1)
+    after = np.where(last, 0, np.append(parse[1:], 0))
+    piece = np.searchsorted(begin, place, "right") - 1
+    return np.lexsort((after[piece], suffix[at[word[piece]] + place - begin[piece]]))
+
+
+def equal_windows(data: np.ndarray, size: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """A number for each place that places of equal windows of data share; -1 for a window without an equal.
+
+    In the order of the corpus equal windows are neighbours.
     """
-    n, length = window.shape
-    wide = np.zeros((n, -(-length // 8) * 8), np.uint8)
-    wide[:, :length] = window
-    words = wide.view(">u8").astype(np.uint64)
-    live, group = np.arange(n), rank
-    for column in range(words.shape[1] + 1):
-        value = words[live, column] if column < words.shape[1] else np.zeros(len(live), np.uint64)
-        order = np.lexsort((value, group))
-        g, v = group[order], value[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
-        number = np.cumsum(new) - 1
-        keep = np.bincount(number, minlength=1)[number] > 1 if len(number) else np.zeros(0, bool)
-        live, group = live[order][keep], number[keep]
-    out = np.full(n, -1)
-    out[live] = group
+    order = corpus_order(data, size, place)
+    at, eight = place[order], _eight(data)
+    same = np.arange(1, len(at))  # neighbours that agree so far
+    for o in [*range(0, length - 7, 8), *([length - 8] if length % 8 and length > 8 else [])]:
+        same = same[eight[at[same] + o] == eight[at[same - 1] + o]]
+    if length < 8:
+        same = same[[bytes(data[at[i] : at[i] + length]) == bytes(data[at[i - 1] : at[i - 1] + length]) for i in same]] if len(same) else same
+    new = np.ones(len(at), bool)
+    new[same] = False
+    number = np.cumsum(new) - 1
+    out = np.full(len(at), -1)
+    shared = np.bincount(number, minlength=1)[number] > 1 if len(number) else np.zeros(0, bool)
+    out[order[shared]] = number[shared]
     return out
 
 
@@ -124,13 +200,50 @@ def _unpack(blob: bytes, kind: type, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
 
 
-_ROW = {"g": pa.int32(), "r": pa.int32(), "kind": pa.int32(), "size": pa.int64(), **{c: pa.binary() for c in ("a", "b", "c", "d", "e")}}
-_SCHEMA = "g int, r int, kind int, size long, a binary, b binary, c binary, d binary, e binary"
+#: What groups and ranges send each other: group, range, kind, number of entries, and blobs of what each kind has of it.
+_BLOBS = ("keys", "hashes", "docs", "places", "data", "state")
+_ROW = {"g": pa.int32(), "r": pa.int32(), "kind": pa.int32(), "size": pa.int64(), **{c: pa.binary() for c in _BLOBS}}
+_SCHEMA = "g int, r int, kind int, size long, " + ", ".join(f"{c} binary" for c in _BLOBS)
+#: Kinds: distinct phrases and what the parse says of them, the states of a group (to itself), phrases to compare, windows.
+PHRASES, STATES, COMPARED, WINDOWS = 0, 1, 2, 3
+
+
+def _table(rows: list[dict]) -> pa.Table:
+    return pa.table([pa.array([r.get(c) for r in rows], k) for c, k in _ROW.items()], names=list(_ROW))
+
+
+def _of(table: pa.Table, kind: int) -> pa.Table:
+    """The rows of a kind, by range."""
+    return table.filter(pa.array(np.asarray(table.column("kind")) == kind)).sort_by("r")
+
+
+def _blobs(table: pa.Table, column: str, kind: type, sizes: list[int] | None = None) -> list[np.ndarray]:
+    sizes = table.column("size").to_pylist() if sizes is None else sizes
+    return [_unpack(b, kind, n) for b, n in zip(table.column(column).to_pylist(), sizes, strict=True)]
+
+
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _table(rows: list[tuple]) -> pa.Table:
-    columns = zip(*rows, strict=True) if rows else [()] * len(_ROW)
-    return pa.table([pa.array(c, k) for c, k in zip(columns, _ROW.values(), strict=True)], names=list(_ROW))
+def _sorted_keys(table: pa.Table) -> np.ndarray:
+    return _joined([np.cumsum(d, dtype=np.uint64) for d in _blobs(table, "keys", np.uint64)], np.uint64)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.append(keys[:1], np.diff(keys)))
+
+
+def _answers(asked: pa.Table, kind: int, values: list[np.ndarray], pack) -> list[dict]:
+    return [{"g": g, "r": r, "kind": kind, "size": len(v), "state": pack(v)} for g, r, v in zip(asked.column("g").to_pylist(), asked.column("r").to_pylist(), values, strict=True)]
+
+
+def _bits(v: np.ndarray) -> bytes:
+    return _pack(np.packbits(v))
+
+
+def _split(values: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(sizes)[:-1]) if sizes else []
 
 
 def _cuts(keys: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
@@ -144,10 +257,9 @@ class Group:
 
     def __init__(self, table: pa.Table, length: int, trigger: int) -> None:
         self.length = length
-        self.table = table.sort_by([("k", "ascending"), ("t", "ascending")])
+        self.table = table.sort_by([("o", "ascending"), ("t", "ascending")])
         self.buf, self.off = tk.flat(self.table.column("t"))
-        k = self.table.column("k").combine_chunks() if self.table.num_rows else pa.array([], pa.int64())
-        self.ids = np.asarray(k.fill_null(2**63 - 1)).astype(np.int64)
+        self.ids = np.asarray(self.table.column("o")).astype(np.int64)
         # rows that repeat an id come one after the other
         run = np.arange(len(self.ids))
         again = run - np.maximum.accumulate(np.where(np.append(True, self.ids[1:] != self.ids[:-1]), run, 0)) if len(run) else run
@@ -155,35 +267,78 @@ class Group:
         text = np.searchsorted(self.off, p["start"], "right") - 1
         self.doc, self.place = self.ids[text], p["start"] - self.off[text] + (again[text] << 40)
         # one of each distinct phrase goes out: the first in corpus order
-        self.order = np.lexsort((p["start"], p["phrase"], p["key"]))
-        key, phrase = p["key"][self.order], p["phrase"][self.order]
+        order = np.lexsort((p["start"], p["phrase"], p["key"]))
+        key, phrase = p["key"][order], p["phrase"][order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (phrase[1:] != phrase[:-1])
-        self.sent, self.again = self.order[new], self.order[~new]
+        self.sent, self.again = order[new], order[~new]
 
-    def asks(self, g: int, ranges: int) -> Iterator[tuple]:
+    def phrases(self, g: int, ranges: int) -> Iterator[dict]:
+        """The distinct phrases, for the ranges of their triggers."""
         p, s = self.p, self.sent
         for r, a, z in _cuts(p["key"][s], ranges):
             w = s[a:z]
-            key = p["key"][w]
-            yield g, r, 0, z - a, _pack(np.append(key[:1], np.diff(key))), _pack(p["phrase"][w]), _pack(self.doc[w]), _pack(self.place[w]), None
+            yield {"g": g, "r": r, "kind": PHRASES, "size": z - a, "keys": _pack_keys(p["key"][w]), "hashes": _pack(p["phrase"][w]), "docs": _pack(self.doc[w]), "places": _pack(self.place[w])}
 
     def states(self, answers: pa.Table) -> np.ndarray:
         """What the ranges say of each phrase."""
         out = np.zeros(len(self.p["key"]), np.uint8)
-        rows = sorted(zip(*(answers.column(c).to_pylist() for c in ("r", "size", "a")), strict=True))
-        out[self.sent] = np.concatenate([_unpack(b, np.uint8, n) for _, n, b in rows]) if rows else 0
+        out[self.sent] = _joined(_blobs(_of(answers, PHRASES), "state", np.uint8), np.uint8)
         out[self.again] = REPEATED
         return out
 
-    def scattered(self, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Windows of phrases in state SCATTER, the phrase of each, the sorted distinct hashes and the first window of each."""
+    def to_compare(self, g: int, state: np.ndarray, ranges: int) -> Iterator[dict]:
+        """The bytes of the phrases in state COMPARE, for the ranges of their triggers."""
+        p, some = self.p, self.sent[state[self.sent] == COMPARE]
+        for r, a, z in _cuts(p["key"][some], ranges):
+            w = some[a:z]
+            n = p["windows"][w] + self.length - 1
+            yield {"g": g, "r": r, "kind": COMPARED, "size": z - a, "keys": _pack_keys(p["key"][w]), "hashes": _pack(p["windows"][w]), "docs": _pack(self.doc[w]), "places": _pack(self.place[w]), "data": _pack(self.buf[np.repeat(p["start"][w], n) + _runs(n)])}
+
+    def scattered(self, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of phrases in state SCATTER, the phrase of each; the distinct pairs of hashes, and the first window of each."""
         some = np.sort(self.sent[state[self.sent] == SCATTER])
         n = self.p["windows"][some]
-        phrase = np.repeat(some, n)
-        window = np.repeat(self.p["start"][some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        keys, first = np.unique(tk.span_hashes(self.buf, window, window + self.length), return_index=True)
-        return window, phrase, keys, first
+        phrase, window = np.repeat(some, n), np.repeat(self.p["start"][some], n) + _runs(n)
+        one, two = (tk.span_hashes(self.buf, window, window + self.length, b) for b in (tk._BASE, tk.OTHER_BASE))
+        order = np.lexsort((window, two, one))
+        new = np.ones(len(order), bool)
+        new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        first = order[new]
+        return window, phrase, one[first], two[first], first
+
+    def windows(self, g: int, state: np.ndarray, ranges: int) -> Iterator[dict]:
+        """The distinct windows of phrases in state SCATTER, for the ranges of their hashes."""
+        window, phrase, one, two, first = self.scattered(state)
+        for r, a, z in _cuts(one, ranges):
+            w = first[a:z]
+            place = self.place[phrase[w]] + window[w] - self.p["start"][phrase[w]]
+            yield {"g": g, "r": r, "kind": WINDOWS, "size": z - a, "keys": _pack_keys(one[a:z]), "hashes": _pack(two[a:z]), "docs": _pack(self.doc[phrase[w]]), "places": _pack(place)}
+
+    def gone(self, state: np.ndarray, answers: pa.Table) -> np.ndarray:
+        """Whether each byte goes, by the answers for phrases and windows."""
+        p, length = self.p, self.length
+
+        def hits(kind: int) -> np.ndarray:
+            rows = _of(answers, kind)
+            sizes = rows.column("size").to_pylist()
+            bits = _blobs(rows, "state", np.uint8, [-(-n // 8) for n in sizes])
+            return _joined([np.unpackbits(b)[:n] for b, n in zip(bits, sizes, strict=True)], np.uint8).astype(bool)
+
+        edge = np.zeros(len(self.buf) + 1, np.int32)
+        whole = np.flatnonzero(state == REPEATED)
+        np.add.at(edge, p["start"][whole], 1)
+        np.add.at(edge, p["start"][whole] + p["windows"][whole] + length - 1, -1)
+        some = self.sent[state[self.sent] == COMPARE]
+        n = p["windows"][some]
+        compared = (np.repeat(p["start"][some], n) + _runs(n))[hits(COMPARED)]
+        scattered, _, _, _, first = self.scattered(state)
+        repeated = np.ones(len(scattered), bool)
+        repeated[first] = hits(WINDOWS)
+        for w in (compared, scattered[repeated]):
+            np.add.at(edge, w, 1)
+            np.add.at(edge, w + length, -1)
+        return np.cumsum(edge[:-1]) > 0
 
 
 def decide(keys: np.ndarray, phrases: np.ndarray, docs: np.ndarray, places: np.ndarray, crowd: int = CROWD) -> np.ndarray:
@@ -202,158 +357,109 @@ def decide(keys: np.ndarray, phrases: np.ndarray, docs: np.ndarray, places: np.n
     return out
 
 
-def settle(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, windows: np.ndarray, ahead: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
-    """For each window of phrases that share triggers, whether an equal one occurs earlier.
+def settle(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """For each window of the phrases of a range, whether an equal one occurs earlier.
 
-    data: the bytes of the phrases one after the other, each windows + length - 1 long.
+    data: the bytes of the phrases one after the other, each windows + length - 1 long.  Equal windows have one trigger;
+    the phrases of some triggers at a time bound the memory.
     """
     size = windows + length - 1
-    begin = np.cumsum(size) - size
+    begin, first = np.cumsum(size) - size, np.cumsum(windows) - windows
     out = np.zeros(int(windows.sum()), bool)
-    ends = np.cumsum(windows)
     order = np.argsort(keys, kind="stable")
-    # phrases of a trigger stay together; the windows of some triggers at a time bound the memory
-    edges = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(order) else []
-    todo, chunk, count = [], [], 0
-    for a, z in zip(edges, np.append(edges[1:], len(order)), strict=True):
-        chunk.append(order[a:z])
-        count += int(windows[order[a:z]].sum())
-        if count > 200_000:
-            todo.append(np.concatenate(chunk))
-            chunk, count = [], 0
-    if chunk:
-        todo.append(np.concatenate(chunk))
-    for some in todo:
-        n = windows[some]
+    edges = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(order) else np.zeros(0, int)
+    upto = np.append(0, np.cumsum(windows[order]))
+    part = np.unique(upto[edges] // CHUNK, return_index=True)[1]
+    cuts = np.append(edges[part], len(order))
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        some = order[a:z]
+        n, k = windows[some], _runs(windows[some])
         own = np.repeat(np.arange(len(some)), n)
-        k = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-        at = begin[some][own] + k
-        bytes_ = np.lib.stride_tricks.sliding_window_view(data, length)[at]
-        key_number = np.unique(keys[some], return_inverse=True)[1]
-        group = equal_suffixes(bytes_, key_number[own] * length + (ahead[some][own] - k))
+        texts = data[np.repeat(begin[some], size[some]) + _runs(size[some])]
+        group = equal_windows(texts, size[some], (np.cumsum(size[some]) - size[some])[own] + k, length)
         tied = np.flatnonzero(group >= 0)
         o = tied[np.lexsort((places[some][own[tied]] + k[tied], docs[some][own[tied]], group[tied]))]
-        later = np.append(False, group[o][1:] == group[o][:-1]) if len(o) else np.zeros(0, bool)
-        hit = o[later]
-        out[(ends - windows)[some][own[hit]] + k[hit]] = True
+        hit = o[1:][group[o][1:] == group[o][:-1]]
+        out[first[some][own[hit]] + k[hit]] = True
     return out
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, trigger: int = TRIGGER, with_kept: bool = True, crowd: int = CROWD) -> DataFrame:
+def reply(table: pa.Table, crowd: int) -> pa.Table:
+    """A range says what it knows of each phrase."""
+    state = decide(_sorted_keys(table), *(_joined(_blobs(table, c, kind), kind) for c, kind in (("hashes", np.uint64), ("docs", np.int64), ("places", np.int64))), crowd)
+    return _table(_answers(table, PHRASES, _split(state, table.column("size").to_pylist()), _pack))
+
+
+def answer(table: pa.Table, length: int) -> pa.Table:
+    """A range says which windows occur earlier: of phrases that it compares, and of windows scattered by hash."""
+    rows = _of(table, STATES).select(["g", "r", "kind", "size", "state"]).to_pylist()
+    asked = _of(table, COMPARED)
+    if asked.num_rows:
+        windows = _blobs(asked, "hashes", np.int64)
+        data = _joined(_blobs(asked, "data", np.uint8, [int((w + length - 1).sum()) for w in windows]), np.uint8)
+        hit = settle(_sorted_keys(asked), *(_joined(_blobs(asked, c, np.int64), np.int64) for c in ("docs", "places")), _joined(windows, np.int64), data, length)
+        rows += _answers(asked, COMPARED, _split(hit, [int(w.sum()) for w in windows]), _bits)
+    asked = _of(table, WINDOWS)
+    if asked.num_rows:
+        one, two = _sorted_keys(asked), _joined(_blobs(asked, "hashes", np.uint64), np.uint64)
+        order = np.lexsort((*(_joined(_blobs(asked, c, np.int64), np.int64) for c in ("places", "docs")), two, one))
+        hit = np.zeros(len(one), bool)
+        hit[order[1:]] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+        rows += _answers(asked, WINDOWS, _split(hit, asked.column("size").to_pylist()), _bits)
+    return _table(rows)
+
+
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, trigger: int = TRIGGER, with_kept: bool = True, crowd: int = CROWD, group: int = GROUP) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) and, with_kept, kept (binary): a row for each row of docs.
 
     Every byte goes that a `length`-byte string covers which starts earlier too (smaller key, or same row at an earlier
     byte); overlaps count, no string crosses rows, and strings are judged on the input.  Null counts as an empty text.
-    Rows that repeat a key are in the order of their texts, and rows with a null key come last.  An empty table gives an
-    empty table.  The key must be a whole number.  Triggers with more than `crowd` distinct phrases are scattered.
+    Rows that repeat a key are in the order of their texts, and rows with a null key come last, in the order of a hash of
+    their texts.  Very long texts are parsed whole, in slices.  An empty table gives an empty table.  The key must be a
+    whole number below 2**62.  Triggers with more than `crowd` distinct phrases are scattered; group: bytes of texts that a
+    task holds.
     """
     ready(docs.sparkSession)
     t = F.coalesce(F.col(text), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(t))).first()[0] or 0
-    groups = group_count(docs.sparkSession, size, GROUP)
-    ranges = min(RANGES, max(16, groups))
-    dealt = docs.select(F.col(key).cast("long").alias("k"), t.alias("t"), F.pmod(F.xxhash64(F.lit(31), key), F.lit(groups)).cast("int").alias("g"))
+    groups, ranges = dealing(docs.sparkSession, size, group)
+    k = F.col(key).cast("long")
+    place = F.coalesce(k, F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(F.lit(37), t), 2))
+    dealt = docs.select(k.alias("k"), place.alias("o"), t.alias("t")).withColumn("g", F.pmod(F.xxhash64(F.lit(31), "o"), F.lit(groups)).cast("int"))
+    names = ["k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
 
     def ask(table: pa.Table) -> pa.Table:
-        return _table(list(Group(table, length, trigger).asks(table.column("g")[0].as_py(), ranges)))
+        return _table(list(Group(table, length, trigger).phrases(table.column("g")[0].as_py(), ranges)))
 
-    def _blobs(table: pa.Table, column: str, kind: type, per: np.ndarray | None = None) -> list[np.ndarray]:
-        sizes = table.column("size").to_pylist() if per is None else per
-        return [_unpack(b, kind, n) for b, n in zip(table.column(column).to_pylist(), sizes, strict=True)]
-
-    def reply(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.cumsum(d, dtype=np.uint64) for d in _blobs(table, "a", np.uint64)])
-        state = decide(keys, *(np.concatenate(_blobs(table, c, kind)) for c, kind in (("b", np.uint64), ("c", np.int64), ("d", np.int64))), crowd)
-        sizes = table.column("size").to_pylist()
-        parts = np.split(state, np.cumsum(sizes)[:-1])
-        return _table([(g, r, 0, n, _pack(s), None, None, None, None) for g, r, n, s in zip(table.column("g").to_pylist(), table.column("r").to_pylist(), sizes, parts, strict=True)])
+    def decided(table: pa.Table) -> pa.Table:
+        return reply(table, crowd)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table([])
-        g, group = left.column("g")[0].as_py(), Group(left, length, trigger)
-        p, state = group.p, group.states(right)
-        rows = [(g, g, 1, len(state), _pack(state), None, None, None, None)]
-        some = group.sent[state[group.sent] == COMPARE]
-        for r, a, z in _cuts(p["key"][some], ranges):
-            w = some[a:z]
-            n = p["windows"][w] + length - 1
-            at = np.repeat(p["start"][w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            key = p["key"][w]
-            shape = (p["ahead"][w] << 32) | p["windows"][w]
-            rows.append((g, r, 2, z - a, _pack(np.append(key[:1], np.diff(key))), _pack(group.doc[w]), _pack(group.place[w]), _pack(shape), _pack(group.buf[at])))
-        window, phrase, keys, first = group.scattered(state)
-        for r, a, z in _cuts(keys, ranges):
-            w = first[a:z]
-            place = group.place[phrase[w]] + window[w] - p["start"][phrase[w]]
-            rows.append((g, r, 3, z - a, _pack(np.append(keys[a : a + 1], np.diff(keys[a:z]))), _pack(group.doc[phrase[w]]), _pack(place), None, None))
-        return _table(rows)
-
-    def answer(table: pa.Table) -> pa.Table:
-        kind = np.asarray(table.column("kind"))
-        passed, asked = table.filter(pa.array(kind == 1)), table.filter(pa.array(kind == 2))
-        rows = [tuple(x[c] for c in _ROW) for x in passed.to_pylist()]
-        if asked.num_rows:
-            keys = [np.cumsum(d, dtype=np.uint64) for d in _blobs(asked, "a", np.uint64)]
-            shapes = _blobs(asked, "d", np.int64)
-            windows, ahead = [s & 0xFFFFFFFF for s in shapes], np.concatenate(shapes) >> 32
-            data = np.concatenate(_blobs(asked, "e", np.uint8, [int((w + length - 1).sum()) for w in windows]))
-            docs_, places = np.concatenate(_blobs(asked, "b", np.int64)), np.concatenate(_blobs(asked, "c", np.int64))
-            hit = settle(np.concatenate(keys), docs_, places, np.concatenate(windows), ahead, data, length)
-            parts = np.split(hit, np.cumsum([int(w.sum()) for w in windows])[:-1])
-            rows += [(g, r, 2, len(h), _pack(np.packbits(h)), None, None, None, None) for g, r, h in zip(asked.column("g").to_pylist(), asked.column("r").to_pylist(), parts, strict=True)]
-        asked = table.filter(pa.array(kind == 3))
-        if asked.num_rows:
-            keys = np.concatenate([np.cumsum(d, dtype=np.uint64) for d in _blobs(asked, "a", np.uint64)])
-            order = np.lexsort((np.concatenate(_blobs(asked, "c", np.int64)), np.concatenate(_blobs(asked, "b", np.int64)), keys))
-            hit = np.zeros(len(keys), bool)
-            hit[order[1:]] = keys[order][1:] == keys[order][:-1]
-            sizes = asked.column("size").to_pylist()
-            rows += [(g, r, 3, n, _pack(np.packbits(h)), None, None, None, None) for g, r, n, h in zip(asked.column("g").to_pylist(), asked.column("r").to_pylist(), sizes, np.split(hit, np.cumsum(sizes)[:-1]), strict=True)]
-        return _table(rows)
+        g, own = left.column("g")[0].as_py(), Group(left, length, trigger)
+        state = own.states(right)
+        rows = [{"g": g, "r": g, "kind": STATES, "size": len(state), "state": _pack(state)}]
+        return _table(rows + list(own.to_compare(g, state, ranges)) + list(own.windows(g, state, ranges)))
 
-    names = ["k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
+    def answered(table: pa.Table) -> pa.Table:
+        return answer(table, length)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            left = pa.table([pa.array([], pa.int64()), pa.array([], pa.string())], names=["k", "t"])
-        group = Group(left, length, trigger)
-        p, kind = group.p, np.asarray(right.column("kind"))
-        state = np.zeros(0, np.uint8)
-        for n, b in zip(*(right.filter(pa.array(kind == 1)).column(c).to_pylist() for c in ("size", "a")), strict=True):
-            state = _unpack(b, np.uint8, n)
-
-        def hits(k: int) -> np.ndarray:
-            rows = sorted(zip(*(right.filter(pa.array(kind == k)).column(c).to_pylist() for c in ("r", "size", "a")), strict=True))
-            return np.concatenate([np.unpackbits(_unpack(b, np.uint8, -(-n // 8)))[:n] for _, n, b in rows]).astype(bool) if rows else np.zeros(0, bool)
-
-        edge = np.zeros(len(group.buf) + 1, np.int32)
-        whole = np.flatnonzero(state == REPEATED)
-        np.add.at(edge, p["start"][whole], 1)
-        np.add.at(edge, p["start"][whole] + p["windows"][whole] + length - 1, -1)
-        some = group.sent[state[group.sent] == COMPARE]
-        n = p["windows"][some]
-        window = (np.repeat(p["start"][some] - (np.cumsum(n) - n), n) + np.arange(n.sum()))[hits(2)]
-        scattered, _, _, first = group.scattered(state)
-        repeated = np.ones(len(scattered), bool)
-        repeated[first] = hits(3)
-        for w in (window, scattered[repeated]):
-            np.add.at(edge, w, 1)
-            np.add.at(edge, w + length, -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        n_texts, off = len(group.off) - 1, group.off
+            left = pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.string())], names=["k", "o", "t"])
+        own = Group(left, length, trigger)
+        gone, off = own.gone(_joined(_blobs(_of(right, STATES), "state", np.uint8), np.uint8), right), own.off
         before = np.append(False, gone[:-1]) if len(gone) else gone
-        inner = off[:-1][off[:-1] < len(gone)]
-        before[inner] = False
+        before[off[:-1][off[:-1] < len(gone)]] = False
         total = lambda x: np.diff(np.append(0, np.cumsum(x))[off])
-        kept = [group.buf[a:z][~gone[a:z]].tobytes() for a, z in zip(off[:-1], off[1:], strict=True)]
-        columns = [group.table.column("k"), np.diff(off), total(gone) if n_texts else [], total(gone & ~before) if n_texts else [], [hashlib.sha256(b).hexdigest() for b in kept], pa.array(kept, pa.binary())]
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        return pa.table([c if isinstance(c, pa.ChunkedArray | pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)][: len(names)], names=names)
+        kept = [own.buf[a:z][~gone[a:z]].tobytes() for a, z in zip(off[:-1], off[1:], strict=True)]
+        columns = [own.table.column("k"), pa.array(np.diff(off), pa.int64()), pa.array(total(gone), pa.int64()), pa.array(total(gone & ~before), pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in kept], pa.string()), pa.array(kept, pa.binary())]
+        return pa.table(columns[: len(names)], names=names)
 
-    replies = dealt.groupBy("g").applyInArrow(tk.lean(ask), _SCHEMA).groupBy("r").applyInArrow(tk.lean(reply), _SCHEMA)
+    replies = dealt.groupBy("g").applyInArrow(tk.lean(ask), _SCHEMA).groupBy("r").applyInArrow(tk.lean(decided), _SCHEMA)
     compared = dealt.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(tk.lean(compare), _SCHEMA)
-    answers = compared.groupBy("r").applyInArrow(tk.lean(answer), _SCHEMA)
+    answers = compared.groupBy("r").applyInArrow(tk.lean(answered), _SCHEMA)
     schema = "k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
     return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(tk.lean(remove), schema).withColumnRenamed("k", key)
 

@@ -135,8 +135,7 @@ def result(df):
 
 
 @pytest.mark.parametrize(("length", "crowd"), [(100, 4096), (24, 4096), (100, 1), (24, 3)])
-def test_repeats_brute(spark, monkeypatch, length, crowd):
-    monkeypatch.setattr(repeat_removal, "GROUP", 2500)
+def test_repeats_brute(spark, length, crowd):
     rng = random.Random(3)
     parts = ["".join(rng.choice("abc ") for _ in range(300)) for _ in range(5)] + ["a" * 260, "xy" * 130, "abcdé " * 60]
     rows = []
@@ -144,7 +143,31 @@ def test_repeats_brute(spark, monkeypatch, length, crowd):
         cut = lambda: (p := rng.choice(parts))[rng.randrange(len(p)) :][: rng.randrange(300)]
         rows.append((i * 3, "".join(cut() if rng.random() < 0.7 else sentence(rng, 3) for _ in range(rng.randrange(8)))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(repeat_removal.remove_repeats(df, length=length, trigger=max(4, length // 3), crowd=crowd)) == removed(rows, length)
+    assert result(repeat_removal.remove_repeats(df, length=length, trigger=max(4, length // 3), crowd=crowd, group=2500)) == removed(rows, length)
+
+
+def test_corpus_order_is_that_of_suffixes():
+    """The suffix arrays of dictionary and parse give the order of sorting all suffixes, and neighbours the equal windows."""
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("ab\0") for _ in range(60)) for _ in range(4)] + ["é" * 30, "x" * 90]
+    texts = ["".join(rng.choice(parts)[: rng.randrange(90)] for _ in range(rng.randrange(1, 6))).encode() for _ in range(120)]
+    data, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    begin, length, text = repeat_removal.prefix_free(data, size)
+    assert len(set(zip(begin, length, strict=True))) == len(begin) and len({bytes(data[a : a + n]) for a, n in zip(begin, length, strict=True)}) < len(begin)
+    where = [(j, i) for j, t in enumerate(texts) for i in range(len(t))]
+    place = np.arange(len(where))
+    order = repeat_removal.corpus_order(data, size, place)
+    suffixes = [texts[where[i][0]][where[i][1] :] for i in order]
+    assert suffixes == sorted(suffixes)
+    for n in (5, 8, 30, 100):
+        some = np.array([p for p, (j, i) in enumerate(where) if i + n <= len(texts[j])], int)
+        got = repeat_removal.equal_windows(data, size, some, n)
+        by = collections.defaultdict(set)
+        for g, p in zip(got, some, strict=True):
+            by[bytes(data[p : p + n])].add(int(g))
+        count = collections.Counter(bytes(data[p : p + n]) for p in some)
+        assert all(len(v) == 1 and (count[w] == 1) == (v == {-1}) for w, v in by.items())
+        assert len(set.union(*by.values()) - {-1}) == sum(c > 1 for c in count.values())
 
 
 def test_repeats_beyond_the_bits_of_a_place(monkeypatch):
@@ -190,6 +213,19 @@ def links_of(rows, cosine=0.9):
     return linked, n
 
 
+def test_minhash_repeated_keys(spark):
+    """A key that stands for several texts: each row has the class of its own text, alike in every run."""
+    rng = random.Random(3)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, a), (5, b), (5, edited(rng, a, 1)), (7, b), (9, c), (9, c), (9, edited(rng, b, 1)), (12, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = collections.Counter({(1, 1): 1, (5, 5): 1, (5, 1): 1, (7, 5): 1, (9, 9): 2, (9, 5): 1, (12, 9): 1})
+    for parts in (1, 5):
+        assert collections.Counter((r.doc_id, r.class_id) for r in minhash.near_classes(df.repartition(parts)).collect()) == want
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in minhash.drop_near_copies(docs).collect()} == {1, 5, 9}
+
+
 def test_vectors_brute(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rng = np.random.default_rng(6)
