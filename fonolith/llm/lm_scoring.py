@@ -12,7 +12,8 @@ an order is the one at which failures are as frequent as new n-grams are when ea
 sum over h of c(h) m / (c(h) - 1 + m) = number of n-grams seen once.
 
 Counts cover all training texts and never meet in one place: texts are dealt into groups; a group asks for the counts of
-its distinct n-grams, in blobs by ranges of 64-bit hashes; each range adds up all groups' counts and answers each blob;
+its distinct n-grams, in blobs by ranges of their hashes (64 bits for tokens; for n-grams so many that about one lookup in
+half a million meets another n-gram's hash, whatever the size of the input); each range adds up all groups' counts and answers each blob;
 a group builds the part of the automaton that its texts can reach from the answers and walks it.  Hot words and n-grams
 take one entry a group however often they occur.
 """
@@ -79,13 +80,22 @@ def _unpack(blob: bytes, kind: type, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
 
 
-def _requests(keys: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """(range, number of keys, keys, counts) for each range of sorted keys."""
-    cut = np.searchsorted(keys, np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64))
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, the bytes of one weight together: the upper ones are zeros and cost nothing."""
+    steps = np.append(keys[:1], np.diff(keys))
+    return _pack(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def _unpack_keys(blob: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(_unpack(blob, np.uint8, 8 * n).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _requests(keys: np.ndarray, counts: np.ndarray, bits: int, ranges: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(range, number of keys, keys, counts) for each range of sorted keys of so many bits."""
+    cut = np.searchsorted(keys, np.array([(r << bits) // ranges for r in range(1, ranges)], np.uint64))
     for r, (a, z) in enumerate(zip(np.append(0, cut), np.append(cut, len(keys)), strict=True)):
         if a < z:
-            part = keys[a:z]
-            yield r, int(z - a), _pack(np.append(part[:1], np.diff(part))), _pack(counts[a:z])
+            yield r, int(z - a), _pack_keys(keys[a:z]), _pack(counts[a:z])
 
 
 def counted(keys: np.ndarray, learn: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -228,17 +238,22 @@ class Automaton:
         return out
 
 
-def build(token: np.ndarray, begin: np.ndarray, sums: dict[int, np.ndarray], whole: int, starts: int, m2: float, m3: float) -> Automaton:
-    """The automaton of the n-grams of texts.  sums: for each order, the counts of their distinct n-grams in the order of hashes."""
+def build(token: np.ndarray, begin: np.ndarray, sums: dict[int, np.ndarray], whole: int, starts: int, m2: float, m3: float, bits: int = 64) -> Automaton:
+    """The automaton of the n-grams of texts.
+
+    sums: for each order, the counts of their distinct n-grams in the order of hashes, of pairs and threes by the upper bits.
+    """
     pair, three, inner = ngrams(token, begin)
     words = np.unique(token)
     pairs, one = np.unique(pair, return_index=True)
     threes, two = np.unique(three[inner], return_index=True)
     two = np.flatnonzero(inner)[two]
+    # keys are sorted, and so are their upper bits
+    by = lambda keys, order: sums[order][np.cumsum(np.append(False, np.diff(keys >> np.uint64(64 - bits)) > 0))] if len(keys) else sums[order]
     opens = np.zeros(len(token), bool)
     opens[begin[:-1]] = True
     first = np.where(opens[one], START, token[np.maximum(one - 1, 0)])
-    return Automaton((words, sums[1]), (pairs, sums[2], first, token[one]), (threes, sums[3], pair[two - 1], pair[two]), whole, starts, m2, m3)
+    return Automaton((words, sums[1]), (pairs, by(pairs, 2), first, token[one]), (threes, by(threes, 3), pair[two - 1], pair[two]), whole, starts, m2, m3)
 
 
 def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
@@ -253,6 +268,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
     t = F.coalesce(F.col(text), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(t))).first()[0] or 0
     groups, ranges = dealing(docs.sparkSession, size, group)
+    bits = min(64, max(16, size.bit_length() + 16))
     # rows without a key, or of one key, are dealt by their texts too
     dealt = docs.select(F.col(key).alias("k"), t.alias("t"), F.coalesce(train, F.lit(False)).alias("train"), F.pmod(F.xxhash64(F.lit(29), key, t), F.lit(groups)).cast("int").alias("g"))
 
@@ -261,15 +277,15 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         token, begin = tokens(table.column("t"))
         learn = np.repeat(table.column("train").to_numpy(zero_copy_only=False), np.diff(begin))
         pair, three, inner = ngrams(token, begin)
-        rows = []
+        low, rows = np.uint64(64 - bits), []
         for order in (1, 2, 3):
-            found = counted(token, learn) if order == 1 else counted(pair, learn, token == END) if order == 2 else counted(three[inner], learn[inner])
-            rows += [(g, order, *r, int(learn.sum()) if order == 1 and i == 0 else 0) for i, r in enumerate(_requests(*found, ranges))]
+            found = counted(token, learn) if order == 1 else counted(pair >> low, learn, token == END) if order == 2 else counted(three[inner] >> low, learn[inner])
+            rows += [(g, order, *r, int(learn.sum()) if order == 1 and i == 0 else 0) for i, r in enumerate(_requests(*found, 64 if order == 1 else bits, ranges))]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["g", "n", "r", "size", "keys", "counts", "tokens"])
 
     def reply(table: pa.Table) -> pa.Table:
         sizes, order = table.column("size").to_pylist(), table.column("n")[0].as_py()
-        keys = [np.cumsum(_unpack(b, np.uint64, s), dtype=np.uint64) for b, s in zip(table.column("keys").to_pylist(), sizes, strict=True)]
+        keys = [_unpack_keys(b, s) for b, s in zip(table.column("keys").to_pylist(), sizes, strict=True)]
         counts = [_unpack(b, np.uint32, s) for b, s in zip(table.column("counts").to_pylist(), sizes, strict=True)]
         sums, total, ends = answer(keys, counts)
         # of histories: how many have a count, and the sum of their counts, by bin; the end is counted for the start state
@@ -301,7 +317,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         c = sums[1][np.searchsorted(np.unique(token), token)]
         add = lambda x: np.add.reduceat(x, begin[:-1])
         columns = [left.column("k"), left.column("train"), pa.array(np.diff(begin)), pa.array(add((c > 0).astype(np.int64))), pa.array(add(np.log10((c + 1.0) / whole)))]
-        machine = build(token, begin, sums, whole, starts, m2, m3)
+        machine = build(token, begin, sums, whole, starts, m2, m3, bits)
         columns.append(pa.array(add(machine.walk(token, begin))))
         return pa.table(columns, names=["k", "fr_train", "n_tokens", "n_known", "base_score", "score"])
 

@@ -149,6 +149,21 @@ def test_lm_sums_beyond_32_bits():
     assert lm_scoring._unpack(lm_scoring._pack(sums[0]), np.uint64, 2).tolist() == [3 * (2**31 - 1), 0]
 
 
+def test_lm_keys_and_their_upper_bits():
+    rng = np.random.default_rng(8)
+    keys = np.unique(rng.integers(0, 2**64, 1000, np.uint64))
+    assert np.array_equal(lm_scoring._unpack_keys(lm_scoring._pack_keys(keys), len(keys)), keys)
+    token = np.append(rng.integers(0, 40, 499).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), lm_scoring.END)
+    begin, learn = np.array([0, 500]), np.ones(500, bool)
+    pair, three, inner = lm_scoring.ngrams(token, begin)
+    walks = []
+    for bits in (64, 40, 4):
+        low = np.uint64(64 - bits)
+        sums = {1: lm_scoring.counted(token, learn)[1], 2: lm_scoring.counted(pair >> low, learn)[1], 3: lm_scoring.counted(three[inner] >> low, learn[inner])[1]}
+        walks.append(lm_scoring.build(token, begin, sums, 600, 1, 3.0, 2.0, bits).walk(token, begin))
+    assert np.allclose(walks[0], walks[1]) and not np.allclose(walks[0], walks[2])
+
+
 def test_lm_states_sum_to_one():
     """Over all tokens of the training texts and the unknown one, the probabilities after each state add up to one."""
     rng = np.random.default_rng(1)
