@@ -9,7 +9,7 @@ preorder of the trie.  Each node also sends an end mark, a child that comes afte
 where the node's subtree ends.  In one distributed prefix sum over nodes and marks, what a subtree holds is the
 difference between its mark and its node.
 
-Paths are compared in blocks of turns: ranks of the parts of paths within blocks come first, and ranks over blocks twice as
+Paths are compared in blocks of turns.  What goes on below the first block is ranked by itself: ranks within blocks come first, and ranks over blocks twice as
 long are made of two of them, until a block holds the deepest path.  So a row is no longer than a block, at any depth.
 """
 
@@ -95,20 +95,25 @@ def preorder(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     marks = nodes.select(*_NODE, F.lit(1).alias("mark"), F.expr(f"depth div {block}").alias("m"), F.when(cut, F.col("x1")).otherwise(F.col("s1")).alias("s1"), F.when(cut, F.col("x2")).otherwise(F.col("s2")).alias("s2"), F.concat(F.when(cut, F.array().cast("array<binary>")).otherwise(F.col("path")), F.array(F.expr(_MARK))).alias("path"))
     starts = nodes.select(*_NODE, F.lit(0).alias("mark"), F.expr(f"greatest(depth - 1, 0) div {block}").alias("m"), "s1", "s2", "path")
     events = starts.unionByName(marks)
+    own = lambda path, below: F.struct(path.alias("path"), below.cast("long").alias("below"))
+    shallow = events.where("m = 0").select(*_NODE, "mark", own(F.col("path"), F.lit(0)).alias("r"))
     deepest = (nodes.agg(F.max("depth")).first()[0] or 0) + 1
     if deepest <= block:
-        return events.select(*_NODE, "mark", F.col("path").alias("r"))
-    events, size = materialize(_ranked(materialize(events), "path").drop("path")), block
-    while size < deepest:
+        return shallow
+    # what goes on below the first block is ranked by itself
+    deep = materialize(events.where("m > 0").withColumn("m", F.col("m") - 1))
+    deep, size = materialize(_ranked(deep, "path").drop("path")), block
+    while size < deepest - block:
         # a path that reaches into the second half of a block of twice the size is compared by the rank of the first half, then its own
-        halves = events.where("mark = 0").select(F.col("depth").alias("at"), F.col("x1").alias("s1"), F.col("x2").alias("s2"), F.col("r").alias("first"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
-        second = events.where("m % 2 = 1").withColumn("at", F.col("m") * size).join(halves, ["at", "s1", "s2"])
+        halves = deep.where("mark = 0").select(F.col("depth").alias("at"), F.col("x1").alias("s1"), F.col("x2").alias("s2"), F.col("r").alias("first"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+        second = deep.where("m % 2 = 1").withColumn("at", block + F.col("m") * size).join(halves, ["at", "s1", "s2"])
         second = second.select(*_NODE, "mark", "m", F.col("t1").alias("s1"), F.col("t2").alias("s2"), F.struct("first", F.col("r").alias("then")).alias("pair"))
-        first = events.where("m % 2 = 0").select(*_NODE, "mark", "m", "s1", "s2", F.struct(F.col("r").alias("first"), F.lit(0).cast("long").alias("then")).alias("pair"))
-        both, old = materialize(first.unionByName(second).withColumn("m", F.shiftright("m", 1))), events
-        events, size = materialize(_ranked(both, "pair").drop("pair")), size * 2
+        first = deep.where("m % 2 = 0").select(*_NODE, "mark", "m", "s1", "s2", F.struct(F.col("r").alias("first"), F.lit(0).cast("long").alias("then")).alias("pair"))
+        both, old = materialize(first.unionByName(second).withColumn("m", F.shiftright("m", 1))), deep
+        deep, size = materialize(_ranked(both, "pair").drop("pair")), size * 2
         drop_files(old)
-    return events.select(*_NODE, "mark", "r")
+    tops = nodes.where(F.col("depth") == block).select(F.col("x1").alias("s1"), F.col("x2").alias("s2"), "path")
+    return shallow.unionByName(deep.join(tops, ["s1", "s2"]).select(*_NODE, "mark", own(F.col("path"), F.col("r")).alias("r")))
 
 
 def ends_digest(ends: DataFrame, together: int = 8) -> DataFrame:
