@@ -1,6 +1,6 @@
 """python -m fonolith visemes|dataset|transcript|fetch: the pipelines from the command line.
 
-Exit codes: 0 done, 1 the input can't be read, 2 the pipeline can't go on, 3 anything else.
+Exit codes: 0 done, 1 the input can't be read, 2 the pipeline can't go on (or a dataset can't be built), 3 anything else.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ import argparse
 import importlib
 import json
 import logging
+import os
 import sys
 from collections.abc import Callable
 
@@ -16,8 +17,9 @@ from pyspark.sql import SparkSession
 
 from fonolith.errors import PipelineError
 from fonolith.plans import pipelines
-from fonolith.sources.sinks import write_payloads
-from fonolith.sources.transcripts import FETCHED, fetch_audio, is_audio
+from fonolith.sources.files import local_path
+from fonolith.sources.sinks import write_payload, write_payloads
+from fonolith.sources.transcripts import FETCHED, fetch_audio, is_audio, read_transcripts
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -39,6 +41,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     d.add_argument("--max-duration", type=float)
     d.add_argument("--end-padding", type=float, default=0.25)
     d.add_argument("--trim-silence", action="store_true", help="taken and without effect")
+    d.add_argument("--encoder", default="ffmpeg", help="the program that cuts clips, on the executors")
+    d.add_argument("--encoder-seconds", type=float, default=3600.0, help="how long a call of it may take")
     d.add_argument("--no-export", action="store_true", help="only list the clips, cut none")
     t = kinds.add_parser("transcript", help="audio or recognized segments to transcript documents with phrases")
     t.add_argument("--model", default="large-v3")
@@ -52,6 +56,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     for p in (v, d, t):
         p.add_argument("--input", required=True)
         p.add_argument("--output", required=p is not t, help="by default the input with the extension json" if p is t else None)
+        p.add_argument("--quarantine", help="a file to list inputs in that are no transcripts; without it one is an error")
         p.add_argument("--verbose", action="store_true")
     for p in (v, t):
         p.add_argument("--recognizer", help="module:function, if the input is audio")
@@ -76,25 +81,31 @@ def _run(a: argparse.Namespace) -> None:
     spark = SparkSession.builder.appName("fonolith").getOrCreate()
     ms = lambda seconds: round(seconds * 1000)
     if a.kind == "dataset":
-        options = pipelines.DatasetOptions(a.sample_rate, a.format, ms(a.min_duration), None if a.max_duration is None else ms(a.max_duration), ms(a.end_padding), not a.no_export)
-        for row in pipelines.build_dataset(spark, a.input, a.output, options).toLocalIterator():
-            print(json.dumps(row.asDict(), ensure_ascii=False))
+        options = pipelines.DatasetOptions(a.sample_rate, a.format, ms(a.min_duration), None if a.max_duration is None else ms(a.max_duration), ms(a.end_padding), not a.no_export, a.encoder, a.encoder_seconds)
+        documents = read_transcripts(spark, a.input, a.quarantine)
+        try:
+            for row in pipelines.build_dataset(spark, documents, a.output, options).toLocalIterator():
+                print(json.dumps(row.asDict(), ensure_ascii=False))
+        except Exception as e:
+            raise PipelineError(f"no dataset: {e}") from e
         return
     if a.kind == "visemes":
-        options = pipelines.VisemeOptions(a.model, not a.skip_silence_cues, max(0.0, a.silence_threshold * 1000), a.device, a.compute_type, a.beam_size, not a.no_vad_filter)
+        options = pipelines.VisemeOptions(a.model, not a.skip_silence_cues, max(0.0, a.silence_threshold * 1000), a.device, a.compute_type, a.beam_size, not a.no_vad_filter, quarantine=a.quarantine)
     else:
-        options = pipelines.TranscriptOptions(a.model, a.language, a.normalize_phrases)
+        options = pipelines.TranscriptOptions(a.model, a.language, a.normalize_phrases, quarantine=a.quarantine)
     source = pipelines.recognized(spark, a.input, _function(a.recognizer), options.recognizer()) if is_audio(a.input) else a.input
     if a.kind == "visemes":
         payloads, mouth = pipelines.viseme_payloads(spark, source, options, single=True)
-        write_payloads(payloads, a.output)
+        write_payload(payloads, a.output)
         if a.mouth_cues:
-            write_payloads(mouth, a.mouth_cues)
+            write_payload(mouth, a.mouth_cues)
     else:
         output = a.output or f"{a.input.rpartition('.')[0]}.json"
         if output == a.input:
             raise PipelineError("the output is the input: give --output")
-        write_payloads(pipelines.transcript_payloads(spark, source, options), output)
+        # one input gives one file, a folder or pattern of them a folder
+        single = is_audio(a.input) or (os.path.isfile(local_path(a.input)) if "://" not in a.input else a.input.endswith(".json"))
+        (write_payload if single else write_payloads)(pipelines.transcript_payloads(spark, source, options), output)
 
 
 def main(argv: list[str]) -> int:

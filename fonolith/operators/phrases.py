@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from fonolith.functions.text import ends_phrase, join_tokens, strip
 from fonolith.schema import MAX_PHRASE_MS, MIN_PHRASE_MS
 
-_WORDS = "array<struct<word:string,start_ms:bigint,end_ms:bigint>>"
-
-
 def _text(words: Column) -> Column:
     return join_tokens(F.transform(words, lambda w: w["word"]))
 
@@ -42,7 +39,7 @@ def build_phrases(segments: DataFrame) -> DataFrame:
         F.transform("all", lambda x: x["w"]).alias("words"),
     ).withColumn("text", _text(F.col("words")))
     silent = segments.where((F.coalesce(F.size("words"), F.lit(0)) <= 0) & (strip(F.coalesce("text", F.lit(""))) != "")).select(
-        "audio_id", F.struct(F.col("seg").cast("bigint").alias("seg"), F.lit(-1).alias("wi")).alias("at"), "start_ms", "end_ms", F.array().cast(_WORDS).alias("words"), strip(F.col("text")).alias("text")
+        "audio_id", F.struct(F.col("seg").cast("bigint").alias("seg"), F.lit(-1).alias("wi")).alias("at"), "start_ms", "end_ms", F.array().cast(segments.schema["words"].dataType).alias("words"), strip(F.col("text")).alias("text")
     )
     place = F.row_number().over(Window.partitionBy("audio_id").orderBy("at"))
     return spoken.unionByName(silent).select("audio_id", place.alias("phrase_idx"), "start_ms", "end_ms", "text", "words")

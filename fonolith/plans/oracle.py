@@ -227,6 +227,8 @@ FROM by_seg LEFT JOIN by_phrase USING (audio_id) JOIN stem USING (audio_id)""",
     "transcript_rows": f"""WITH {_WORDS}, {_SEGMENTS}, {_PREFIX}
 SELECT 'audio/' || stem || '.mp3' AS audio_file, row_number() OVER (PARTITION BY audio_id ORDER BY seg) - 1 AS seg, {_strip("text")} AS text, {_sec("start_ms")} AS start, {_sec("end_ms")} AS "end", {_words_text("words")} AS words
 FROM seg JOIN stem USING (audio_id)""",
+    "rejected_documents": f"""WITH {_WORDS}, {_SEGMENTS}, {_PREFIX}
+SELECT audio_id || '.json' AS document, CASE audio_id % 5 WHEN 1 THEN 'no JSON' WHEN 2 THEN 'nothing in it' ELSE 'no field of a transcript' END AS reason FROM (SELECT DISTINCT audio_id FROM seg JOIN stem USING (audio_id)) WHERE audio_id % 5 IN (1, 2, 3)""",
     "recording_status": f"""WITH {_WORDS}, {_RAW}, kept AS (SELECT audio_id, CASE WHEN audio_id % 5 = 2 THEN '' ELSE {_norm("word")} END AS norm FROM raw WHERE audio_id % 5 <> 1 AND ({_strip("word")} <> '' OR audio_id % 5 = 2) AND end_ms > start_ms)
 SELECT audio_id, CASE WHEN count(norm) = 0 THEN 'no word timestamps' WHEN count(nullif(norm, '')) = 0 THEN 'no usable words' ELSE 'ok' END AS status FROM (SELECT DISTINCT audio_id FROM words) LEFT JOIN kept USING (audio_id) GROUP BY audio_id""",
     "timeline_clamped": f"WITH {_timeline(True, 0)} SELECT audio_id, idx, {_SPAN_ROWS} FROM line",

@@ -64,8 +64,9 @@ def mouth_cue_payloads(line: DataFrame) -> DataFrame:
 
 
 def transcript_documents(files: DataFrame, segments: DataFrame, phrases: DataFrame, model: str, language: str | None = None) -> DataFrame:
-    """(audio_id, payload): the document that the dataset pipeline reads."""
-    words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), seconds(w["start_ms"]).alias("start"), seconds(w["end_ms"]).alias("end")))
+    """(audio_id, payload): the document that the dataset pipeline reads; words keep their probability where they have one."""
+    more = ["probability"] if "probability" in segments.schema["words"].dataType.elementType.names else []
+    words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), seconds(w["start_ms"]).alias("start"), seconds(w["end_ms"]).alias("end"), *(w[c].alias(c) for c in more)))
     shape = lambda df, place: df.select("audio_id", F.col(place).alias("place"), F.struct(*([F.col(place).alias("id")] if place == "seg" else []), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), strip(F.coalesce("text", F.lit(""))).alias("text"), words.alias("words")).alias("x"))
     gather = lambda df, place, name: shape(df, place).groupBy("audio_id").agg(F.transform(_in_order("place", "x"), lambda v: v["x"]).alias(name))
     s, p = gather(segments, "seg", "segments"), gather(phrases, "phrase_idx", "phrases")

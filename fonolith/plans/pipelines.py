@@ -28,6 +28,7 @@ class VisemeOptions:
     compute_type: str = "int8"
     beam_size: int = 1
     vad_filter: bool = True
+    quarantine: str | None = None
 
     def recognizer(self) -> RecognizerOptions:
         return RecognizerOptions(self.model, "es", self.device, self.compute_type, self.beam_size, self.vad_filter)
@@ -41,6 +42,9 @@ class DatasetOptions:
     max_duration_ms: int | None = None
     end_padding_ms: int = END_PADDING_MS
     export: bool = True
+    encoder: str = "ffmpeg"
+    encoder_seconds: float = 3600.0
+    quarantine: str | None = None
 
 
 @dataclass(frozen=True)
@@ -50,6 +54,7 @@ class TranscriptOptions:
     normalize_phrases: bool = True
     shortest_ms: int = MIN_PHRASE_MS
     longest_ms: int = MAX_PHRASE_MS
+    quarantine: str | None = None
 
     def recognizer(self) -> RecognizerOptions:
         return RecognizerOptions(self.model, self.language)
@@ -78,11 +83,11 @@ def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: Visem
 
     Recordings without usable words give no payload; in single mode that is an error.
     """
-    documents = read_transcripts(spark, source)
+    documents = read_transcripts(spark, source, options.quarantine)
     segments = segments_of(documents)
     raw = words_of(segments)
     if single and (bad := recording_status(raw).where("status <> 'ok'").first() or (raw.limit(1).count() == 0 and ("", "no word timestamps"))):
-        raise PipelineError(f"{bad[1]}: check the audio quality and language")
+        raise PipelineError(f"{bad[1]}: nothing in this recording can be shown as mouth shapes")
     words = valid_words(raw)
     files = segments.select("audio_id", "audio_file", "language").distinct()
     shapes = payload.shaped_words(words)
@@ -93,7 +98,7 @@ def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: Visem
 
 def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: TranscriptOptions = TranscriptOptions()) -> DataFrame:
     """Transcript documents with phrases, from recognized segments."""
-    segments = segments_of(read_transcripts(spark, source))
+    segments = segments_of(read_transcripts(spark, source, options.quarantine))
     found = phrases.build_phrases(segments)
     if options.normalize_phrases:
         found = phrases.normalize_phrases(found, options.shortest_ms, options.longest_ms)
@@ -102,14 +107,14 @@ def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: T
 
 
 def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, options: DatasetOptions = DatasetOptions()) -> DataFrame:
-    """Writes output/metadata.csv and the clips in output/wavs, and returns a summary row for each recording.
+    """Writes the file output/metadata.csv and the clips in output/wavs, and returns a summary row for each recording.
 
     Clips are numbered on from those in output/wavs: segments are cut under provisional names first, and those that
     succeed are numbered and renamed; failures count as skipped.  Without export nothing is cut, and the metadata lists
     the clips that there would be.
     """
     ready(spark)
-    documents = read_transcripts(spark, source)
+    documents = read_transcripts(spark, source, options.quarantine)
     if documents.where(F.coalesce("audio_file", F.lit("")) == "").limit(1).count():
         raise ValueError("a transcript names no audio_file")
     segments = segments_of(documents).withColumn("prefix", audio_prefix(F.col("audio_file")))
@@ -117,12 +122,11 @@ def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, opt
     wavs = sinks.clips_folder(spark, output)
     provisional = F.format_string(".%d_%d.wav", "audio_id", "seg")
     if options.export:
-        sinks.check_export(documents)
+        sinks.check_export(documents, options.encoder)
         checked = materialize(checked)
-        second = lambda c: F.format_string("%.3f", F.col(c) / 1000.0)
-        cuts = dataset.cut_list(checked.where("skip_reason is null"), options.end_padding_ms).select("audio_file", provisional.alias("filename"), second("cut_start_ms").alias("cut_start"), second("cut_ms").alias("cut_duration"))
+        cuts = dataset.cut_list(checked.where("skip_reason is null"), options.end_padding_ms).withColumn("filename", provisional)
         # written once: the encoder doesn't run again for later steps
-        done = materialize(sinks.export_clips(cuts, wavs, options.sample_rate))
+        done = materialize(sinks.export_clips(cuts, wavs, options.sample_rate, options.encoder, options.encoder_seconds))
         failed = done.where("not ok").select(F.col("filename").alias("cut"), F.lit(True).alias("failed"))
         checked = checked.withColumn("cut", provisional).join(failed, "cut", "left")
         checked = checked.withColumn("skip_reason", F.coalesce("skip_reason", F.when(F.col("failed"), F.lit("export failed")))).drop("failed", "cut")

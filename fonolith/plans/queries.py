@@ -211,21 +211,38 @@ def transcript_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("audio_id", "audio_file", "model", "language", "text", listed("segments", lambda x: part(x, x["id"].cast("string"))), listed("phrases", lambda x: part(x)))
 
 
-def transcript_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of transcript documents that were written as JSON files and read back."""
+def _written(spark: SparkSession, payloads: DataFrame) -> str:
+    """The folder in which payloads were written as files; it goes when the application ends."""
     import uuid
 
     from fonolith.sources.sinks import write_payloads
-    from fonolith.sources.transcripts import read_transcripts, segments_of
-    from fonolith.storage import shared_dir
+    from fonolith.storage import shared_dir, when_done
 
     folder = f"{shared_dir(spark)}/fonolith/{uuid.uuid4().hex}"
-    write_payloads(_documents(spark, sf_dir), folder)
-    rows = segments_of(read_transcripts(spark, folder))
+    write_payloads(payloads, folder)
+    when_done(spark, folder)
+    return folder
+
+
+def transcript_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of transcript documents that were written as JSON files and read back."""
+    from fonolith.sources.transcripts import read_transcripts, segments_of
+
+    rows = segments_of(read_transcripts(spark, _written(spark, _documents(spark, sf_dir))))
     words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), seconds(w["start_ms"]).alias("start"), seconds(w["end_ms"]).alias("end")))
     return rows.select("audio_file", F.col("seg").cast("bigint").alias("seg"), "text", seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), _words_text(words).alias("words"))
 
 
+def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are no transcripts, and why: of the documents some are cut off, some empty, and some hold something else."""
+    from fonolith.sources.transcripts import read_documents
+
+    i, p = F.col("audio_id"), F.col("payload")
+    spoilt = F.when(i % 5 == 1, F.left(p, F.length(p) - 2)).when(i % 5 == 2, "").when(i % 5 == 3, F.concat(F.lit('{"pages": ['), i.cast("string"), F.lit("]}"))).otherwise(p)
+    _, rejected = read_documents(spark, _written(spark, _documents(spark, sf_dir).withColumn("payload", spoilt)))
+    return rejected.select(F.regexp_extract("document", "([^/]+)$", 1).alias("document"), "reason")
+
+
 def recording_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recordings of which some have no word with a time, and some only words that normalize to nothing."""
     from fonolith.plans.pipelines import recording_status as status
@@ -246,6 +263,6 @@ QUERIES = {
     "segment_cascade": segment_cascade, "build_summary": build_summary, "cut_list": cut_list, "clip_names": clip_names, "metadata_classic": metadata_classic,
     "metadata_piper": metadata_piper, "phrases_raw": phrases_raw, "phrases_split": phrases_split, "phrases_norm": phrases_norm, "phrase_text": phrase_text,
     "audio_prefix": audio_prefixes, "max_suffix": max_suffix, "language_default": language_default,
-    "mouth_cue_payload": mouth_cue_payload, "transcript_document": transcript_document, "transcript_rows": transcript_rows, "recording_status": recording_status,
+    "mouth_cue_payload": mouth_cue_payload, "transcript_document": transcript_document, "transcript_rows": transcript_rows, "rejected_documents": rejected_documents, "recording_status": recording_status,
     "timeline_clamped": timeline_clamped,
 }

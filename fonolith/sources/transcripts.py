@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from fonolith.errors import PipelineError
 from fonolith.functions.text import first_filled, strip
 from fonolith.schema import AUDIO_EXTENSIONS, SEGMENT, TRANSCRIPT
+from fonolith.sources.files import write_files
+from fonolith.storage import materialize
+
+#: Why a file is no document.
+EMPTY, NO_JSON, NO_FIELDS = "nothing in it", "no JSON", "no field of a transcript"
 
 
 @dataclass(frozen=True)
@@ -41,16 +46,49 @@ Fetcher = Callable[[str, str, str], str]
 FETCHED = ("mp3", "m4a", "wav", "opus", "flac")
 
 
-def read_transcripts(spark: SparkSession, source: str | DataFrame) -> DataFrame:
-    """Transcript documents under the declared schema: JSON files, or a DataFrame that is passed through.
+def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(documents, rejected) of the JSON files that path names: all that are a document, and (document, reason) of all others.
 
-    A value that doesn't fit its type becomes null, and the rest of its document stays.
+    Documents are under the declared schema, with the path of each in the column document, parsed once and written.  A value that
+    doesn't fit its type becomes null, and the rest of its document stays.  A file is rejected if nothing is in it, if it isn't
+    JSON, or if what it holds has none of a document's fields.
+    """
+    if not _exists(spark, path):
+        raise FileNotFoundError(f"no transcript at {path}")
+    bad = "fr_corrupt"
+    parsed = spark.read.schema(f"{TRANSCRIPT}, {bad} string").option("multiLine", True).option("columnNameOfCorruptRecord", bad).json(path)
+    names = [c for c in parsed.columns if c != bad]
+    hollow = F.coalesce(*(F.when(F.col(c).isNotNull(), 1) for c in names)).isNull()
+    reason = F.when(hollow, F.when(F.col(bad).isNotNull(), F.lit(NO_JSON)).otherwise(F.lit(NO_FIELDS)))
+    rows = materialize(parsed.select(*names, F.col("_metadata.file_path").alias("document"), reason.alias("reason")))
+    # a file that holds nothing gives no row; the driver, which lists all files to read them, knows of it
+    names = parsed.inputFiles()
+    if len(names) == rows.select("document").distinct().count():
+        names = []
+    listed = spark.createDataFrame([(n,) for n in names], "document string")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    empty = listed.join(rows.select(plain("document").alias("at")), plain("document") == F.col("at"), "left_anti").select("document", F.lit(EMPTY).alias("reason"))
+    rejected = rows.where("reason is not null").select("document", "reason").unionByName(empty)
+    return rows.where("reason is null").drop("reason"), rejected.withColumn("document", plain("document"))
+
+
+def read_transcripts(spark: SparkSession, source: str | DataFrame, quarantine: str | None = None) -> DataFrame:
+    """Transcript documents: JSON files (see read_documents()), or a DataFrame that is passed through.
+
+    Files that are no documents raise PipelineError; with quarantine, they are listed in that file instead, a line of JSON
+    (document, reason) for each.
     """
     if isinstance(source, DataFrame):
         return source
-    if not _exists(spark, source):
-        raise FileNotFoundError(f"no transcript at {source}")
-    return spark.read.schema(TRANSCRIPT).option("multiLine", True).json(source).select("*", F.col("_metadata.file_path").alias("document"))
+    documents, rejected = read_documents(spark, source)
+    if quarantine is None:
+        first = rejected.orderBy("document").first()
+        if first:
+            raise PipelineError(f"{first['document']} is no transcript: {first['reason']}")
+    else:
+        line = F.concat(F.to_json(F.struct("document", "reason")), F.lit("\n"))
+        write_files(rejected.withColumn("line", line), F.lit("rejected"), F.col("line"), quarantine, order=[F.col("document")], single=True, empty=True)
+    return documents
 
 
 def _millis(seconds: Column) -> Column:
@@ -63,7 +101,7 @@ def segments_of(documents: DataFrame) -> DataFrame:
     Each document is a recording of its own, also where another one names the same audio file or none: audio_id is the
     hash of all its columns, with the path of its JSON where it has one (column document).
     """
-    words = lambda w: F.transform(F.coalesce(w, F.array().cast(f"array<{SEGMENT.split('words array<')[1][:-2]}>")), lambda x: F.struct(first_filled(x["word"], x["text"]).alias("word"), _millis(x["start"]).alias("start_ms"), _millis(x["end"]).alias("end_ms")))
+    words = lambda w: F.transform(F.coalesce(w, F.array().cast(f"array<{SEGMENT.split('words array<')[1][:-2]}>")), lambda x: F.struct(first_filled(x["word"], x["text"]).alias("word"), _millis(x["start"]).alias("start_ms"), _millis(x["end"]).alias("end_ms"), x["probability"].alias("probability")))
     language = F.col("language") if "language" in documents.columns else F.lit(None).cast("string")
     rows = documents.select(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)).alias("audio_id"), "audio_file", language.alias("language"), F.posexplode("segments").alias("seg", "s"))
     return rows.select("audio_id", "audio_file", "language", "seg", F.col("s.text").alias("text"), _millis(F.col("s.start")).alias("start_ms"), _millis(F.col("s.end")).alias("end_ms"), words(F.col("s.words")).alias("words"))

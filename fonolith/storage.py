@@ -29,12 +29,16 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/fonolith/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    when_done(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def when_done(spark: SparkSession, path: str) -> None:
+    """The files of path go when the application ends."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def drop_files(df: DataFrame) -> None:
     """Removes what materialize() wrote for df, once nothing reads it any more."""
     spark = df.sparkSession

@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 DATA = "/root/testdata"
-#: A stand-in for the encoder comes first; workers get the search path when the session starts.
-os.environ["PATH"] = os.path.join(os.path.dirname(os.path.abspath(__file__)), "bin") + os.pathsep + os.environ["PATH"]
 
 
 @pytest.fixture(scope="session")

@@ -1,17 +1,20 @@
 """Span, phrase and dataset operators against hand-traced cases and sequential versions."""
 
 import json
+import pathlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from fonolith.errors import PipelineError
 from fonolith.operators import dataset, phrases
 from fonolith.operators.spans import merge_adjacent, timeline
 from fonolith.operators.words import spans_of, transcripts, valid_words, with_visemes
 from fonolith.plans import pipelines
 from fonolith.schema import SEGMENT as SEGMENT_TYPE
 from fonolith.sources.sinks import write_metadata
-from fonolith.sources.transcripts import ensure_audio_input, read_transcripts, segments_of, transcribe
+from fonolith.sources.transcripts import ensure_audio_input, read_documents, read_transcripts, segments_of, transcribe
 
 SPAN = "audio_id long, seq long, viseme string, start_ms double, end_ms double"
 WORD = "array<struct<word:string,start_ms:bigint,end_ms:bigint>>"
@@ -132,10 +135,22 @@ def test_clip_numbers(spark):
 
 
 def test_metadata_bytes(spark, tmp_path):
-    rows = [("a_000001.wav", 'say "hi"', "x"), ("a_2.wav", " lead", "p|q"), ("a_3.wav", None, "ñ")]
-    write_metadata(spark.createDataFrame(rows, "filename string, raw_text string, norm_text string").coalesce(1), str(tmp_path / "m"))
-    text = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*")))
-    assert text == 'a_000001.wav|"say ""hi"""|x\na_2.wav| lead|"p|q"\na_3.wav||ñ\n'
+    """One file in the order of names, though many tasks write it, in place of what was there."""
+    rows = [("a_000001.wav", 'say "hi"', "x"), ("a_2.wav", " lead", "p|q"), ("a_3.wav", None, "ñ"), ("a_4.wav", "two\nlines", "")]
+    path = tmp_path / "m" / "metadata.csv"
+    (path / "was").mkdir(parents=True)
+    write_metadata(spark.createDataFrame(rows[::-1], "filename string, raw_text string, norm_text string").repartition(4), str(path))
+    assert path.read_bytes().decode() == 'a_000001.wav|"say ""hi"""|x\na_2.wav| lead|"p|q"\na_3.wav||ñ\na_4.wav|"two\nlines"|\n'
+    many = spark.range(3000).select(F.format_string("c_%06d.wav", "id").alias("filename"), F.repeat(F.lit("é"), (F.col("id") % 50).cast("int")).alias("norm_text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_metadata(many.repartition(6), str(path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert path.read_text() == "".join(f"c_{i:06d}.wav|{'é' * (i % 50)}\n" for i in range(3000))
+    assert [p.name for p in path.parent.iterdir()] == ["metadata.csv"]
+    write_metadata(many.limit(0), str(path))
+    assert path.read_text() == ""
 
 
 def test_words_and_transcripts(spark):
@@ -174,33 +189,104 @@ def test_documents_to_outputs(spark, tmp_path):
     assert again["phrases"][0]["text"] == "Hola mundo." and again["phrases"][0]["start"] == 0.5
     summary = pipelines.build_dataset(spark, docs, str(tmp_path / "out"), pipelines.DatasetOptions(export=False)).first()
     assert (summary.total_segments, summary.exported_segments, summary.skipped_segments, summary.audio_prefix) == (3, 1, 2, "canc")
-    lines = "".join(p.read_text() for p in (tmp_path / "out/metadata.csv").glob("part-*"))
+    lines = (tmp_path / "out/metadata.csv").read_text()
     assert lines == "canc_000001.wav|Hola mundo.|Hola mundo\n"
     assert segments_of(docs).where(F.col("end_ms").isNull()).count() == 1
 
 
-def test_export(spark, tmp_path):
-    """Each name of metadata.csv is a file in wavs, numbered on without gaps; the encoder runs once a segment."""
-    import pytest
+ENCODER = str(pathlib.Path(__file__).parent / "bin" / "encoder")
+
+
+def cut_document(audio, texts):
+    return {"audio_file": str(audio), "segments": [{"id": i, "start": a, "end": z, "text": t, "words": [{"word": t, "start": a, "end": z}]} for i, (t, a, z) in enumerate(texts)]}
+
 
+def test_export(spark, tmp_path):
+    """Each name of metadata.csv is a file in wavs, numbered on without gaps; of a call that fails, clips are cut one by one."""
     audio = tmp_path / "Canción.mp3"
-    texts = [("uno", 0.0, 1.0), ("dos", 1.0, 2.5), ("malo", 9.0, 11.0), ("corto", 11.0, 11.1), ("tres", 12.0, 14.0)]
-    document = {"audio_file": str(audio), "segments": [{"id": i, "start": a, "end": z, "text": t, "words": [{"word": t, "start": a, "end": z}]} for i, (t, a, z) in enumerate(texts)]}
     path = tmp_path / "doc.json"
-    path.write_text(json.dumps(document))
+    path.write_text(json.dumps(cut_document(audio, [("uno", 0.0, 1.0), ("dos", 1.0, 2.5), ("malo", 9.0, 11.0), ("corto", 11.0, 11.1), ("tres", 12.0, 14.0)])))
     out = tmp_path / "out"
+    options = pipelines.DatasetOptions(sample_rate=16_000, encoder=ENCODER)
     with pytest.raises(FileNotFoundError, match="mp3"):
-        pipelines.build_dataset(spark, str(path), str(out))
+        pipelines.build_dataset(spark, str(path), str(out), options)
     audio.write_text("x")
+    with pytest.raises(PipelineError, match="no-such-encoder"):
+        pipelines.build_dataset(spark, str(path), str(out), pipelines.DatasetOptions(encoder="no-such-encoder"))
     (out / "wavs").mkdir(parents=True, exist_ok=True)
     (out / "wavs/canc_000004.wav").write_text("there before")
-    summary = pipelines.build_dataset(spark, str(path), str(out), pipelines.DatasetOptions(sample_rate=16_000)).collect()
+    summary = pipelines.build_dataset(spark, str(path), str(out), options).collect()
     assert [(r.total_segments, r.exported_segments, r.skipped_segments, r.sample_rate) for r in summary] == [(5, 3, 2, 16_000)]
-    lines = "".join(p.read_text() for p in sorted((out / "metadata.csv").glob("part-*"))).split()
+    lines = (out / "metadata.csv").read_text().split()
     assert lines == ["canc_000005.wav|uno|uno", "canc_000006.wav|dos|dos", "canc_000007.wav|tres|tres"]
-    assert sorted(p.name for p in (out / "wavs").iterdir() if not p.name.endswith(".crc")) == [f"canc_{i:06d}.wav" for i in (4, 5, 6, 7)]
+    assert sorted(p.name for p in (out / "wavs").iterdir()) == [f"canc_{i:06d}.wav" for i in (4, 5, 6, 7)]
     assert "-ss 1.000 -t 1.750 -ar 16000 -ac 1 -sample_fmt s16" in (out / "wavs/canc_000006.wav").read_text()
-    assert len((tmp_path / "Canción.mp3.calls").read_text().split()) == 4
+    assert (tmp_path / "Canción.mp3.calls").read_text().split() == ["failed", "cut+", "cut+", "failed", "cut+"]
+
+
+def test_one_call_a_recording(spark, tmp_path, monkeypatch):
+    """A recording is decoded once; a long one in stretches, each read from its first clip on."""
+    from fonolith.sources import sinks
+
+    cuts = [(str(tmp_path / f"{name}.mp3"), f"{name}{i}.wav", 2000 * i, 1500) for name in ("a", "b") for i in range(7)]
+    rows = lambda: spark.createDataFrame(cuts, "audio_file string, filename string, cut_start_ms long, cut_ms long").repartition(5)
+    wavs = tmp_path / "wavs"
+    wavs.mkdir()
+    done = sinks.export_clips(rows().where("cut_start_ms <> 8000"), str(wavs), encoder=ENCODER).collect()
+    assert all(r.ok for r in done) and len(done) == 12
+    assert [(tmp_path / f"{n}.mp3.calls").read_text() for n in "ab"] == ["cut++++++\n"] * 2
+    assert (wavs / "a3.wav").read_text() == "RIFF -i | -ss 6.000 -t 1.500 -ar 22050 -ac 1 -sample_fmt s16\n"
+    monkeypatch.setattr(sinks, "STRETCH_MS", 5000)
+    monkeypatch.setattr(sinks, "CLIPS", 2)
+    cuts = cuts[:4]
+    sinks.export_clips(rows(), str(wavs), encoder=ENCODER).collect()
+    assert sorted((tmp_path / "a.mp3.calls").read_text().split()[1:]) == ["cut+", "cut+", "cut++"]
+    assert (wavs / "a3.wav").read_text() == "RIFF -ss 6.000 -i | -ss 0.000 -t 1.500 -ar 22050 -ac 1 -sample_fmt s16\n"
+
+
+def test_encoder_that_hangs(spark, tmp_path):
+    """A call beyond its time is stopped, and only the clip that it hangs on fails."""
+    from fonolith.sources import sinks
+
+    rows = spark.createDataFrame([(str(tmp_path / "a.mp3"), f"{s}.wav", s, 1000) for s in (1000, 8000, 10_000)], "audio_file string, filename string, cut_start_ms long, cut_ms long")
+    done = sinks.export_clips(rows, str(tmp_path), encoder=ENCODER, limit=2).collect()
+    assert sorted((r.filename, r.ok, r.message) for r in done) == [("1000.wav", True, ""), ("10000.wav", True, ""), ("8000.wav", False, "stopped after 2 seconds")]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["1000.wav", "10000.wav", "a.mp3.calls"]
+
+
+def test_paths_that_are_not_mounted(spark, tmp_path):
+    docs = spark.createDataFrame([("hdfs://x/a.wav", "es", [])], f"audio_file string, language string, segments array<{SEGMENT_TYPE}>")
+    with pytest.raises(PipelineError, match="hdfs://x/a.wav"):
+        pipelines.build_dataset(spark, docs, str(tmp_path / "out"), pipelines.DatasetOptions(encoder=ENCODER))
+    with pytest.raises(PipelineError, match="s3a://b/out"):
+        pipelines.build_dataset(spark, docs, "s3a://b/out", pipelines.DatasetOptions(export=False))
+
+
+def test_files_that_are_no_documents(spark, tmp_path):
+    """A broken file is an error, or is listed with its reason while the others go on."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, text in (("a", json.dumps(DOCUMENT)), ("b", '{"audio_file": "x.wav", "segments": [{'), ("c", ""), ("d", '{"other": 1}'), ("e", "[]"), ("f", '{"audio_file": 7, "segments": "none"}'), ("g", "plain")):
+        (folder / f"{name}.json").write_text(text)
+    documents, rejected = read_documents(spark, str(folder))
+    assert {r.document[-6:]: r.reason for r in rejected.collect()} == {"b.json": "no JSON", "c.json": "nothing in it", "d.json": "no field of a transcript", "e.json": "nothing in it", "g.json": "no JSON"}
+    assert {r.document[-6:] for r in documents.collect()} == {"a.json", "f.json"}
+    with pytest.raises(PipelineError, match="b.json is no transcript: no JSON"):
+        read_transcripts(spark, str(folder))
+    main, _ = pipelines.viseme_payloads(spark, str(folder), pipelines.VisemeOptions(quarantine=str(tmp_path / "bad.jsonl")))
+    assert main.count() == 1
+    assert [json.loads(x)["document"][-6:] for x in (tmp_path / "bad.jsonl").read_text().splitlines()] == ["b.json", "c.json", "d.json", "e.json", "g.json"]
+    read_transcripts(spark, str(folder / "a.json"), str(tmp_path / "bad.jsonl"))
+    assert (tmp_path / "bad.jsonl").read_text() == ""
+
+
+def test_probability_is_kept(spark, tmp_path):
+    words = [{"word": "uno.", "start": 0.0, "end": 0.5, "probability": 0.75}, {"word": "dos", "start": 0.5, "end": 1.0}]
+    (tmp_path / "p.json").write_text(json.dumps({"audio_file": "p.wav", "segments": [{"id": 0, "start": 0.0, "end": 1.0, "text": "uno. dos", "words": words}]}))
+    for normalize in (True, False):
+        got = json.loads(pipelines.transcript_payloads(spark, str(tmp_path / "p.json"), pipelines.TranscriptOptions(normalize_phrases=normalize)).first().payload)
+        assert [w["probability"] for w in got["segments"][0]["words"]] == [0.75, None]
+        assert [w["probability"] for p in got["phrases"] for w in p["words"]] == [0.75, None]
 
 
 def test_documents_of_one_file_name(spark):
@@ -220,10 +306,6 @@ def test_one_reading_of_spelling(spark):
 
 
 def test_errors(spark, tmp_path):
-    import pytest
-
-    from fonolith.errors import PipelineError
-
     with pytest.raises(FileNotFoundError):
         read_transcripts(spark, str(tmp_path / "none.json"))
     (tmp_path / "a.txt").write_text("x")
