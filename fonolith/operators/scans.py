@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fonolith.storage import materialize
 
+#: Keys that are broadcast at most.
+_FEW = 100_000
 #: Aggregates that may be made in parts, and how two parts are put together; null stands for no rows.
 _JOINED: dict[str, tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]] = {
     "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
@@ -17,16 +19,32 @@ _JOINED: dict[str, tuple[Callable[[Column], Column], Callable[[Column, Column],
 }
 
 
-def running(rows: DataFrame, key: str | None, order: list[Column], before: bool = False, **values: tuple[str, Column]) -> DataFrame:
+def apart(rows: DataFrame, key: str, large: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """rows of keys that aren't among `large` (a table of keys), and those that are, or None if there are no such keys."""
+    if large is None or not large.limit(1).count():
+        return rows, None
+    keys = large.select(F.col(key).alias("fr_large")).distinct()
+    keys = F.broadcast(keys) if keys.limit(_FEW + 1).count() <= _FEW else keys
+    same = rows[key].eqNullSafe(F.col("fr_large"))
+    return rows.join(keys, same, "left_anti"), rows.join(keys, same, "left_semi")
+
+
+def large_keys(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key): those that more than so many rows have."""
+    return materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(key))
+
+
+def running(rows: DataFrame, key: str | None, order: list[Column], before: bool = False, again: bool = False, **values: tuple[str, Column]) -> DataFrame:
     """rows with a column for each name: an aggregate ("sum", "max" or "xor") of a value over the rows of the same key so far.
 
     before: over the rows before this one only (null for the first).  key None: all rows are one key.  Rows are dealt by
     ranges of key and order, and sorted there; a key that spans several parts hands on one value for each part, so neither a
     key nor the whole table meets in one task.  The order should be total; rows of a null key are one key.  What is handed
-    on, and broadcast, has at most two rows for each part.
+    on, and broadcast, has at most two rows for each part.  again: the result keeps the number of its part (fr_part), and
+    rows that have one, from before with the same key and order, aren't dealt anew.
     """
     by = [F.col(key), *order] if key else order
-    parts = materialize(rows.repartitionByRange(*by).withColumn("fr_part", F.spark_partition_id()))
+    parts = materialize(rows if "fr_part" in rows.columns else rows.repartitionByRange(*by).withColumn("fr_part", F.spark_partition_id()))
     own = [F.col(key).alias("fr_key")] if key else [F.lit(0).alias("fr_key")]
     narrow = parts.select("fr_part", *own, *(v.alias(f"of_{n}") for n, (_, v) in values.items()))
     if key:
@@ -44,4 +62,4 @@ def running(rows: DataFrame, key: str | None, order: list[Column], before: bool
     for n, (f, v) in values.items():
         whole, joined = _JOINED[f]
         out = out.withColumn(n, joined(F.col(f"of_{n}"), whole(v).over(inside)))
-    return out.drop("fr_part", "fr_at", "fr_key", *(f"of_{n}" for n in values))
+    return out.drop(*([] if again else ["fr_part"]), "fr_at", "fr_key", *(f"of_{n}" for n in values))

@@ -1,7 +1,8 @@
 """Spans of mouth shapes: dealing a word's time to its shapes, merging, and the timeline of a recording.
 
 Tables: spans (audio_id, seq, viseme, start_ms, end_ms); seq may be of any type that has an order.  All windows are by audio_id in the one order (start, end, seq),
-so a plan needs one exchange by audio_id, and none if its input is already dealt so.
+so a plan needs one exchange by audio_id, and none if its input is already dealt so.  Recordings that are named as long are
+dealt in parts instead, so that none of them is in one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fonolith.functions.pronunciation import characters, shape_name, shape_number
+from fonolith.operators.scans import apart, running
 from fonolith.schema import OTHER_WEIGHT, SILENCE_MS, TOLERANCE_MS, VISEMES, WEIGHTS
 
 
@@ -72,37 +74,60 @@ def dealt_spans(words: DataFrame, *keep: str, merged: bool = True) -> DataFrame:
     return each.select(*keep, "k", shape_name(F.col("r.code")).alias("viseme"), a.alias("start_ms"), z.alias("end_ms"))
 
 
-def merge_adjacent(spans: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
+def merge_adjacent(spans: DataFrame, tolerance: int = TOLERANCE_MS, long: DataFrame | None = None) -> DataFrame:
     """spans without overlaps: equal shapes that touch (within the tolerance) merge, others are clipped to what came before.
 
     Gaps and islands: only spans that end later than all before them matter; an island begins where the shape changes or a
-    gap opens.  Spans without duration go.  seq of the result counts from 0.
+    gap opens.  Spans without duration go.  seq of the result counts from 0.  long: (audio_id), recordings of so many spans that
+    no task should have all of one; these are merged in parts (see scans.running()), with the same result.
     """
-    order = Window.partitionBy("audio_id").orderBy("start_ms", "end_ms", "seq")
+    short, rest = apart(spans.where("end_ms > start_ms"), "audio_id", long)
+    order = Window.partitionBy("audio_id").orderBy(*_ORDER)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    alive = spans.where("end_ms > start_ms").withColumn("reach", F.max("end_ms").over(before))
-    alive = alive.where(F.col("reach").isNull() | (F.col("end_ms") > F.col("reach")))
-    begins = F.col("reach").isNull() | (F.col("viseme") != F.lag("viseme").over(order)) | (F.col("start_ms") > F.col("reach") + tolerance)
-    island = F.sum(F.when(begins, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    numbered = alive.withColumn("seq", island - 1).withColumn("start_ms", F.greatest("start_ms", "reach"))
+    alive = short.withColumn("reach", F.max("end_ms").over(before)).where(_ALIVE)
+    island = F.sum(_begins(F.lag("viseme").over(order), tolerance)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = alive.withColumn("island", island)
+    if rest is not None:
+        in_order = [F.col(c) for c in _ORDER]
+        alive = running(rest, "audio_id", in_order, before=True, again=True, reach=("max", F.col("end_ms"))).where(_ALIVE)
+        # of the rows before, the last one is the greatest by the order
+        alive = running(alive, "audio_id", in_order, before=True, again=True, last=("max", F.struct(*_ORDER, "viseme")))
+        alive = alive.withColumn("opens", _begins(F.col("last.viseme"), tolerance)).drop("last")
+        parts = running(alive, "audio_id", in_order, island=("sum", F.col("opens").cast("long"))).drop("opens")
+        numbered = numbered.unionByName(parts)
+    numbered = numbered.withColumn("seq", F.col("island") - 1).withColumn("start_ms", F.greatest("start_ms", "reach"))
     # an island has one shape; as a key, it leaves numbers only to aggregate, which hashing can do
     merged = numbered.groupBy("audio_id", "seq", "viseme").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
     return merged.select("audio_id", "seq", "viseme", "start_ms", "end_ms")
 
 
-def timeline(spans: DataFrame, silence: bool = True, threshold: float = SILENCE_MS) -> DataFrame:
+_ORDER = ("start_ms", "end_ms", "seq")
+_ALIVE = "reach IS NULL OR end_ms > reach"
+
+
+def _begins(last: Column, tolerance: int) -> Column:
+    """1 where an island begins: at the first span, at another shape than the last one's, after a gap."""
+    return F.when(F.col("reach").isNull() | (F.col("viseme") != last) | (F.col("start_ms") > F.col("reach") + tolerance), 1).otherwise(0)
+
+
+def timeline(spans: DataFrame, silence: bool = True, threshold: float = SILENCE_MS, long: DataFrame | None = None) -> DataFrame:
     """The timeline of each recording: spans in order, clipped, with silence where a gap reaches the threshold.
 
     Silence comes before the first span too, never after the last.  A row gives its silence and its span together, so
-    what is above is computed once.
+    what is above is computed once.  long: see merge_adjacent().
     """
-    order = Window.partitionBy("audio_id").orderBy("start_ms", "end_ms", "seq")
-    cursor = F.greatest(F.lit(0.0), F.coalesce(F.max("end_ms").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    rows = spans.withColumn("place", F.row_number().over(order)).withColumn("cursor", cursor)
+    short, rest = apart(spans, "audio_id", long)
+    order = Window.partitionBy("audio_id").orderBy(*_ORDER)
+    rows = short.withColumn("place", F.row_number().over(order).cast("long")).withColumn("upto", F.max("end_ms").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    if rest is not None:
+        in_order = [F.col(c) for c in _ORDER]
+        parts = running(rest, "audio_id", in_order, before=True, upto=("max", F.col("end_ms")), place=("sum", F.lit(1).cast("long")))
+        rows = rows.unionByName(parts.withColumn("place", F.coalesce("place", F.lit(0)) + 1))
+    rows = rows.withColumn("cursor", F.greatest(F.lit(0.0), F.coalesce("upto", F.lit(0.0))))
     span = lambda v, a, z, k: F.struct(v.alias("viseme"), a.cast("double").alias("start_ms"), z.cast("double").alias("end_ms"), (F.col("place") * 2 + k).alias("seq"))
     both = [span(F.col("viseme"), F.greatest("start_ms", "cursor"), F.col("end_ms"), 1)]
     if silence:
         gap = F.col("start_ms") - F.col("cursor") >= max(0.0, threshold)
         both.insert(0, span(F.lit("SIL"), F.col("cursor"), F.when(gap, F.col("start_ms")).otherwise(F.col("cursor")), 0))
     kept = F.filter(F.array(*both), lambda s: s["end_ms"] > s["start_ms"])
-    return merge_adjacent(rows.select("audio_id", F.inline(kept)))
+    return merge_adjacent(rows.select("audio_id", F.inline(kept)), long=long)

@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from fonolith.functions.pronunciation import shape_codes
 from fonolith.functions.text import join_plain, normalize_word, strip
+from fonolith.operators.scans import apart, running
 from fonolith.operators.spans import dealt_spans
 
 
-def valid_words(words: DataFrame) -> DataFrame:
-    """Stripped tokens with a duration, numbered by time (equal times keep their order)."""
+def valid_words(words: DataFrame, long: DataFrame | None = None) -> DataFrame:
+    """Stripped tokens with a duration, numbered by time (equal times keep their order); long: see merge_adjacent()."""
     kept = words.withColumn("word", strip(F.col("word"))).where("word <> '' and end_ms > start_ms")
-    order = Window.partitionBy("audio_id").orderBy("start_ms", "end_ms", "word_idx")
-    return kept.withColumn("word_idx", (F.row_number().over(order) - 1).cast("bigint"))
+    short, rest = apart(kept, "audio_id", long)
+    by = [F.col(c) for c in ("start_ms", "end_ms", "word_idx")]
+    place = short.withColumn("place", F.row_number().over(Window.partitionBy("audio_id").orderBy(*by)).cast("long"))
+    if rest is not None:
+        place = place.unionByName(running(rest, "audio_id", by, place=("sum", F.lit(1).cast("long"))))
+    return place.withColumn("word_idx", (F.col("place") - 1).cast("bigint")).drop("place")
 
 
 def with_visemes(words: DataFrame) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from fonolith.errors import PipelineError
 from fonolith.functions.text import audio_prefix, normalize_word
 from fonolith.operators import dataset, phrases
+from fonolith.operators.scans import large_keys
 from fonolith.operators.words import valid_words
 from fonolith.plans import payload
-from fonolith.schema import END_PADDING_MS, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
+from fonolith.schema import END_PADDING_MS, LONG, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
 from fonolith.sources import sinks
 from fonolith.sources.transcripts import RecognizerOptions, Transcriber, audio_files, clip_listing, ensure_audio_input, read_transcripts, segments_of, transcribe, words_of
 from fonolith.storage import materialize
@@ -88,7 +89,7 @@ def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: Visem
     raw = words_of(segments)
     if single and (bad := recording_status(raw).where("status <> 'ok'").first() or (raw.limit(1).count() == 0 and ("", "no word timestamps"))):
         raise PipelineError(f"{bad[1]}: nothing in this recording can be shown as mouth shapes")
-    words = valid_words(raw)
+    words = valid_words(raw, large_keys(raw, "audio_id", LONG))
     files = segments.select("audio_id", "audio_file", "language").distinct()
     shapes = payload.shaped_words(words)
     line = payload.recording_timeline(shapes, options.silence_cues, max(0.0, options.silence_threshold_ms))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from fonolith.functions.pronunciation import shape_codes, shape_names, word_units
 from fonolith.functions.text import audio_prefix, join_tokens, language_or_default, normalize_text, normalize_word, seconds
 from fonolith.operators import dataset, phrases
+from fonolith.operators.scans import large_keys
 from fonolith.operators.spans import dealt_spans, merge_adjacent, timeline, word_spans
 from fonolith.operators.words import spans_of, transcripts, valid_words, with_visemes
+from fonolith.schema import LONG
 from fonolith.sources import derived
 
 
@@ -51,7 +53,8 @@ def merge_word_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbered_spans(merge_adjacent(derived.overlapping_spans(spark, sf_dir)))
+    spans = derived.overlapping_spans(spark, sf_dir)
+    return _numbered_spans(merge_adjacent(spans, long=large_keys(spans, "audio_id", LONG)))
 
 
 def _timeline(spark: SparkSession, sf_dir: str, silence: bool) -> DataFrame:

@@ -31,6 +31,9 @@ MIN_SEGMENT_MS, END_PADDING_MS = 400, 250
 AUDIO_EXTENSIONS = (".m4a", ".mp3", ".wav")
 GENERATOR, DECIMALS = "spanish-viseme-pipeline", 3
 
+#: Words, or spans, of a recording that one task may have.
+LONG = 500_000
+
 WORD = "struct<word string, text string, start double, end double, probability double>"
 SEGMENT = f"struct<id bigint, start double, end double, text string, words array<{WORD}>>"
 PHRASE = f"struct<start double, end double, text string, words array<{WORD}>>"

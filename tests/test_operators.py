@@ -75,6 +75,37 @@ def test_random_spans(spark):
                 assert got[k] == want(s), (k, s)
 
 
+def test_long_recordings(spark):
+    """Recordings that are named as long give the same spans, though none of them is in one task."""
+    rng, rows = random.Random(9), []
+    for k in range(6):
+        for i in range(rng.choice([0, 1, 30, 200])):
+            a = rng.randrange(900) * 10
+            rows.append((k, i, rng.choice("AB"), float(a), float(a + rng.randrange(12) * 10)))
+    spans = spark.createDataFrame(rows, SPAN)
+    long = spark.createDataFrame([(k,) for k in (0, 2, 3, 5)], "audio_id long")
+    words = spans.select("audio_id", F.col("seq").alias("word_idx"), F.col("viseme").alias("word"), F.col("start_ms").cast("long").alias("start_ms"), F.col("end_ms").cast("long").alias("end_ms"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for f, df in ((merge_adjacent, spans), (timeline, spans), (valid_words, words)):
+            assert sorted(map(tuple, f(df, long=long).collect())) == sorted(map(tuple, f(df).collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_all_events_as_one_recording(spark, duck):
+    """The spans of all events merged as those of one long recording, by many tasks, equal the SQL's."""
+    from fonolith.plans.oracle import SQL
+    from fonolith.sources import derived
+
+    sql = SQL["merge_overlapping"].replace("user_id", "CAST(0 AS BIGINT)")
+    spans = derived.overlapping_spans(spark, "/root/testdata/sf0.001").withColumn("audio_id", F.lit(0).cast("long"))
+    merged = merge_adjacent(spans, long=spans.select("audio_id").distinct())
+    got = sorted((r.seq, r.viseme, r.start_ms, r.end_ms) for r in merged.collect())
+    want = sorted((r[1], r[2], r[3], r[4]) for r in duck.sql(f'SELECT audio_id, idx, viseme, start * 1000, "end" * 1000 FROM ({sql})').fetchall())
+    assert len(got) == len(want) > 1 and all(g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-3 and abs(g[3] - w[3]) < 1e-3 for g, w in zip(got, want, strict=True))
+
+
 def test_timeline_case(spark):
     words = [("hola", 520, 980), ("mundo", 1000, 1400), ("2024", 1400, 1900), ("Sí", 2500, 2710)]
     rows = spark.createDataFrame([(1, i, *w) for i, w in enumerate(words)], "audio_id long, word_idx long, word string, start_ms long, end_ms long")
