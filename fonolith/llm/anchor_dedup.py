@@ -10,7 +10,7 @@ overlap, what is removed are maximal repeats of at least WINDOW words.
 Texts are packed in chunks, written once.  A chunk sends each distinct probe once, with two bits, to ranges of their hashes;
 a range says which are hits; the chunk's windows around hits go to ranges of their own hashes, each distinct one once with the
 smallest document that has it around a block; the answer is the smallest of all.  So a passage that is everywhere takes one
-entry a chunk, no pair of documents is formed, and only documents with hits are sent on.
+entry a chunk, and no pair of documents is formed.
 
 Probes have a hash of few bits: that a hit may be none costs an entry more.  Windows are equal by 96 bits of two hashes.
 """
@@ -34,12 +34,13 @@ WINDOW, BLOCK = 13, 7
 #: Bytes of texts in a chunk; bytes of texts that a range stands for; bits of a probe's hash beyond those that count the bytes.
 CHUNK, HELD, SPARE = 8 << 20, 64 << 20, 4
 _PIECE = 1 << 20
+_LEVEL = 5
 _LAST = np.iinfo(np.int64).max
 #: What chunks and ranges send each other: chunk, range, kind, number of entries, blobs.
-_ROW = {"g": pa.int64(), "r": pa.int64(), "kind": pa.int32(), "size": pa.int64(), **{c: pa.binary() for c in ("keys", "more", "docs", "bits", "data")}}
-_SCHEMA = "g long, r long, kind int, size long, keys binary, more binary, docs binary, bits binary, data binary"
+_ROW = {"g": pa.int64(), "r": pa.int64(), "kind": pa.int32(), "size": pa.int64(), **{c: pa.binary() for c in ("keys", "more", "docs", "bits")}}
+_SCHEMA = "g long, r long, kind int, size long, keys binary, more binary, docs binary, bits binary"
 _CHUNK_SCHEMA = "size long, ids binary, known binary, off binary, data binary"
-PROBES, OWN, WINDOWS = 0, 1, 2
+PROBES, ASKED, WINDOWS = 0, 1, 2
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -96,7 +97,7 @@ def chunks_of(docs: DataFrame, chunk: int) -> DataFrame:
 
     def packed(held: list) -> pa.RecordBatch:
         ids, known, sizes, data = (np.concatenate(x) for x in zip(*held, strict=True))
-        row = [len(ids), pack(ids), pack(np.packbits(known)), pack(sizes), pa.compress(data, codec="zstd", asbytes=True) if len(data) else b""]
+        row = [len(ids), pack(ids), pack(np.packbits(known)), pack(sizes), pa.Codec("zstd", compression_level=_LEVEL).compress(data, asbytes=True) if len(data) else b""]
         return pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if k == 0 else pa.binary()) for k, v in enumerate(row)], names=["size", "ids", "known", "off", "data"])
 
     return docs.select("k", "t").mapInArrow(tk.lean(body), _CHUNK_SCHEMA)
@@ -181,7 +182,7 @@ def earliest(one: np.ndarray, two: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
-def distinct_windows(chunk: Chunk, at: np.ndarray, text: np.ndarray, window: int, block: int, anchored: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def distinct_windows(chunk: Chunk, at: np.ndarray, text: np.ndarray, window: int, anchored: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Two hashes of the distinct windows at the given words, the smallest document that has each around a hit block of its own, and each window's number."""
     one = run_hashes(chunk.words(), at, window)
     two = (run_hashes(chunk.words(tk.OTHER_BASE), at, window) >> np.uint64(32)).astype(np.uint32)
@@ -253,23 +254,15 @@ def remove_earlier(docs: DataFrame, key: str = "doc_id", text: str = "text", win
             place, owner = place[some], owner[some]
             inside = place - own.first[:-1][owner]
             anchored = struck[place + (-inside) % block]
-            one, two, ids, _ = distinct_windows(own, place, owner, window, block, anchored)
+            one, two, ids, _ = distinct_windows(own, place, owner, window, anchored)
             out += [{"g": g, "r": r, "kind": WINDOWS, "size": z - a, "keys": _sorted(one[a:z]), "more": pack(two[a:z]), "docs": pack(ids[a:z])} for r, a, z in _ranges(one, 64, ranges)]
-            # the chunk itself goes on: texts with such windows, and the results of all others
-            open_ = np.zeros(len(own.ids), bool)
-            open_[owner] = True
-            sizes = np.diff(own.off)
-            data = own.buf[np.repeat(open_, sizes)]
             marks = np.zeros(len(own.start), bool)
             marks[place] = True
-            kept = np.repeat(~open_, own.count)
-            digest = b"".join(hashlib.sha256(b).digest() for b, o in zip(own.joined(kept), open_, strict=True) if not o)
-            whole = b"".join(len(x).to_bytes(4, "little") + x for x, o in zip(own.joined(kept), open_, strict=True) if not o) if with_kept else b""
-            out.append({"g": g, "r": (g + (g >> 33)) % ranges, "kind": OWN, "size": len(own.ids), "keys": row["ids"], "more": row["known"], "docs": pack(np.where(open_, sizes, 0)), "bits": _own(own.count, open_, marks[np.repeat(open_, own.count)], digest, whole), "data": pa.compress(np.ascontiguousarray(data), codec="zstd", asbytes=True) if len(data) else b""})
+            out.append({"g": g, "r": (g + (g >> 33)) % ranges, "kind": ASKED, "size": len(marks), "bits": pack(np.packbits(marks))})
         return _table(out)
 
     def answer(table: pa.Table) -> pa.Table:
-        passed = table.filter(pa.array(np.asarray(table.column("kind")) == OWN))
+        passed = table.filter(pa.array(np.asarray(table.column("kind")) == ASKED))
         asked = table.filter(pa.array(np.asarray(table.column("kind")) == WINDOWS)).select(["g", "r", "size", "keys", "more", "docs"]).to_pylist()
         if not asked:
             return passed.cast(_table([]).schema)
@@ -278,58 +271,33 @@ def remove_earlier(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         said = [{"g": r["g"], "r": r["r"], "kind": WINDOWS, "size": r["size"], "docs": pack(x)} for r, x in zip(asked, np.split(found, np.cumsum(sizes)[:-1]), strict=True)]
         return pa.concat_tables([passed.cast(_table([]).schema), _table(said)])
 
-    def remove(table: pa.Table) -> pa.Table:
-        every = table.to_pylist()
-        (row,) = (r for r in every if r["kind"] == OWN)
-        n = row["size"]
-        count, open_, marks, digests, whole = _owned(row["bits"], n)
-        own = Chunk(unpack(row["keys"], np.int64, n), np.unpackbits(unpack(row["more"], np.uint8, -(-n // 8)))[:n].astype(bool), unpack(row["docs"], np.int64, n), row["data"])
+    def remove(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[: len(names)]], names=names)
+        own, said = Chunk.of(left.to_pylist()[0]), right.to_pylist()
+        marks = next(np.unpackbits(unpack(r["bits"], np.uint8, -(-r["size"] // 8)))[: r["size"]] for r in said if r["kind"] == ASKED)
         place = np.flatnonzero(marks)
         owner = np.searchsorted(own.first, place, "right") - 1
-        least = np.concatenate([np.zeros(0, np.int64), *(unpack(r["docs"], np.int64, r["size"]) for r in sorted((r for r in every if r["kind"] == WINDOWS), key=lambda r: r["r"]))])
-        number = distinct_windows(own, place, owner, window, block)[3]
+        least = np.concatenate([np.zeros(0, np.int64), *(unpack(r["docs"], np.int64, r["size"]) for r in sorted((r for r in said if r["kind"] == WINDOWS), key=lambda r: r["r"]))])
+        number = distinct_windows(own, place, owner, window)[3]
         gone = place[least[number] < own.ids[owner]]
-        edge = np.zeros(len(own.start) + 1, np.int64)
-        np.add.at(edge, gone, 1)
-        np.add.at(edge, gone + window, -1)
-        kept = np.cumsum(edge[:-1]) == 0
+        edge = np.bincount(gone, minlength=len(own.start) + 1) - np.bincount(gone + window, minlength=len(own.start) + 1)
+        kept = np.cumsum(edge[: len(own.start)]) == 0
         removed = np.diff(np.append(0, np.cumsum(~kept))[own.first])
-        texts = [x if o else None for x, o in zip(own.joined(kept), open_, strict=True)]
-        rest, others = iter(digests), iter(whole)
-        hexes = [hashlib.sha256(x).hexdigest() if x is not None else next(rest) for x in texts]
-        columns = [pa.array(own.ids, pa.int64(), mask=~own.known), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(hexes, pa.string())]
-        if with_kept:
-            columns.append(pa.array([x if x is not None else next(others) for x in texts], pa.binary()))
-        return pa.table(columns, names=names)
+        hexes, texts = [], []
+        for x in own.joined(kept):
+            hexes.append(hashlib.sha256(x).hexdigest())
+            if with_kept:
+                texts.append(x)
+        columns = [pa.array(own.ids, pa.int64(), mask=~own.known), pa.array(own.count, pa.int64()), pa.array(removed, pa.int64()), pa.array(hexes, pa.string()), pa.array(texts, pa.binary())]
+        return pa.table(columns[: len(names)], names=names)
 
     probes = chunks.mapInArrow(tk.lean(ask), _SCHEMA)
     struck = probes.groupBy("r").applyInArrow(tk.lean(reply), _SCHEMA)
     compared = chunks.groupBy("g").cogroup(struck.groupBy("g")).applyInArrow(tk.lean(compare), _SCHEMA)
     answers = compared.groupBy("r").applyInArrow(tk.lean(answer), _SCHEMA)
     schema = "k long, n_words long, n_removed long, kept_sha256 string" + ", kept binary" * with_kept
-    return answers.groupBy("g").applyInArrow(tk.lean(remove), schema).withColumnRenamed("k", key)
-
-
-def _own(count: np.ndarray, open_: np.ndarray, marks: np.ndarray, digest: bytes, whole: bytes) -> bytes:
-    """What a chunk tells itself: words of each text, texts that go on, windows to ask for, results of the other texts."""
-    parts = [pack(count.astype(np.int64)), pack(np.packbits(open_)), pack(np.packbits(marks)), digest, pack(np.frombuffer(whole, np.uint8))]
-    head = np.array([*map(len, parts), len(marks), len(whole)], np.int64).tobytes()
-    return head + b"".join(parts)
-
-
-def _owned(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], list[bytes]]:
-    *sizes, marks, whole = np.frombuffer(blob[:56], np.int64).tolist()
-    at, parts = 56, []
-    for size in sizes:
-        parts.append(blob[at : at + size])
-        at += size
-    bits = lambda b, k: np.unpackbits(unpack(b, np.uint8, -(-k // 8)))[:k].astype(bool)
-    texts, rest, i = [], unpack(parts[4], np.uint8, whole).tobytes(), 0
-    while i < len(rest):
-        size = int.from_bytes(rest[i : i + 4], "little")
-        texts.append(rest[i + 4 : i + 4 + size])
-        i += 4 + size
-    return unpack(parts[0], np.int64, n), bits(parts[1], n), bits(parts[2], marks), [parts[3][i : i + 32].hex() for i in range(0, len(parts[3]), 32)], texts
+    return chunks.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(tk.lean(remove), schema).withColumnRenamed("k", key)
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
