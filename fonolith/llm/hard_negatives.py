@@ -57,12 +57,12 @@ def _pivots(row) -> np.ndarray:
     return np.stack(row).astype(np.int64)
 
 
-def index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vectors, pivots) of rows (id, label, dim, v, norm).
+def index(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vectors, rings, pivots) of rows (id, label, dim, v, norm).
 
-    vectors: (dim, pivot, ring, key, id, label, v) in the order of (dim, pivot, key), written once.  pivots: a row for each dim:
-    top, the largest norm, and the pivots' vectors (null: the origin is the only one).  Pivots are drawn by their ids, about
-    one for FOR_PIVOT vectors of a dim and PIVOTS at most, on average.
+    vectors: (dim, pivot, ring, id, label, v), stored in the order of (dim, pivot, key).  rings: (dim, pivot, ring, n), those
+    that hold vectors.  pivots: a row for each dim: top, the largest norm, the pivots' vectors (null: the origin is the only
+    one) and their keys.  Pivots are drawn by their ids, about one for FOR_PIVOT vectors of a dim and PIVOTS at most, on average.
     """
     sizes = materialize(rows.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("top")))
     share = F.least(F.lit(1.0), F.least(F.lit(float(PIVOTS)), F.ceil(F.col("n") / FOR_PIVOT)) / F.col("n"))
@@ -87,7 +87,9 @@ def index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     reach = stored.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
     rings = F.ceil(F.col("n") / RING).cast("int")
     reach = materialize(reach.select("dim", "pivot", "low", F.when(F.col("high") > F.col("low"), (F.col("high") - F.col("low")) / rings).otherwise(1.0).alias("width"), rings.alias("rings")))
-    return stored, pivots.join(reach.groupBy("dim").agg(F.collect_list(F.struct("pivot", "low", "width", "rings")).alias("reach")), "dim", "left")
+    ringed = join_checked(stored, reach, ["dim", "pivot"], "inner").withColumn("ring", F.least(_ring(F.col("key")), F.col("rings") - 1)).drop("low", "width", "rings", "key")
+    pivots = pivots.join(reach.groupBy("dim").agg(F.collect_list(F.struct("pivot", "low", "width", "rings")).alias("reach")), "dim")
+    return ringed, materialize(ringed.groupBy("dim", "pivot", "ring").agg(F.count("*").alias("n"))), materialize(pivots)
 
 
 def _with_pivots(rows: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -99,7 +101,7 @@ def _ring(key: Column) -> Column:
     return F.least(F.greatest(F.floor((key - F.col("low")) / F.col("width")), F.lit(-1)), F.col("rings")).cast("int")
 
 
-def first_k(searches: DataFrame, vectors: DataFrame, pivots: DataFrame, k: int, same: bool) -> DataFrame:
+def first_k(searches: DataFrame, vectors: DataFrame, rings: DataFrame, pivots: DataFrame, k: int, same: bool) -> DataFrame:
     """(q, score, id): the first k partners of each search, by score (downwards) and id, in any order of rows.
 
     searches: (q, anchor, dim, label, v, norm, least, most), q unique.  Partners are vectors of another id and the same label, or
@@ -120,8 +122,10 @@ def first_k(searches: DataFrame, vectors: DataFrame, pivots: DataFrame, k: int,
     asked = join_checked(searches, pivots.select("dim", "top"), "dim", "inner")
     inner = F.when(F.col("most").isNotNull(), far(F.col("most"))).otherwise(0.0)
     outer = F.when(F.col("least").isNotNull(), far(F.col("least"))).otherwise(float("inf"))
-    # scanned: the radius that has been scanned; radius: the one to scan now; all vectors are within `end`
-    state = materialize(asked.select("q", "norm", "top", inner.alias("inner"), outer.alias("outer"), F.lit(-1.0).alias("scanned"), F.least(inner, outer).alias("radius"), (F.sqrt("norm") + F.sqrt("top")).alias("end")))
+    # scanned: the radius that has been scanned; radius: the one to scan now; a radius of `end` reaches all rings
+    low, high = F.col("low") + F.col("width"), F.col("low") + F.col("width") * (F.col("rings") - 1)
+    end = near.groupBy("q").agg(F.max(F.greatest(F.col("at") - low, high - F.col("at"), F.lit(0.0))).alias("end"))
+    state = materialize(asked.join(end, "q").select("q", "norm", "top", inner.alias("inner"), outer.alias("outer"), F.lit(-1.0).alias("scanned"), F.least(inner, outer).alias("radius"), "end"))
     narrow = searches.select("q", "anchor", "dim", "label", "v", "least", "most")
     found = materialize(searches.sparkSession.createDataFrame([], "q long, score long, id long"))
     while state.limit(1).count():
@@ -129,40 +133,36 @@ def first_k(searches: DataFrame, vectors: DataFrame, pivots: DataFrame, k: int,
         ring = lambda c: F.sequence(F.greatest(F.lit(0), _ring(F.col("at") - slack(c))), F.least(F.col("rings") - 1, _ring(F.col("at") + slack(c))))
         inside = lambda c: (_ring(F.col("at") - slack(c)) < F.col("rings")) & (_ring(F.col("at") + slack(c)) >= 0)
         none = F.array().cast("array<int>")
-        rings = F.when(inside("radius"), ring("radius")).otherwise(none)
+        now = F.when(inside("radius"), ring("radius")).otherwise(none)
         old = F.when((F.col("scanned") >= 0) & inside("scanned"), ring("scanned")).otherwise(none)
-        pairs = near.join(state, "q").withColumn("ring", F.explode(F.array_except(rings, old)))
+        pairs = near.join(state, "q").withColumn("ring", F.explode(F.array_except(now, old)))
         pairs = pairs.where(F.col("at") + F.col("low") + (F.col("ring") + 1) * F.col("width") >= F.col("inner") * (1 - 1e-6) - 1e-6).select("q", "pivot", "ring")
         # of what has been found, the last of k says what another one must reach
         bound = found.groupBy("q").agg(F.when(F.count("*") >= k, F.min("score")).alias("reach"))
         pairs = materialize(pairs.join(narrow.join(bound, "q", "left"), "q"))
-        new = materialize(_scanned(pairs, vectors, pivots, k, same))
+        new = _scanned(pairs, vectors, rings, k, same)
         order = Window.partitionBy("q").orderBy(F.col("score").desc(), "id")
         better = materialize(found.unionByName(new).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place"))
         last = better.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("score"))
-        now = state.join(last, "q", "left")
         full = F.coalesce("n", F.lit(0)) >= k
         limit = F.least(F.when(full, far(F.col("score"))).otherwise(float("inf")), "outer", "end")
-        # half the way to the bound after the first round, else all of it; without a bound twice as far
-        wider = F.when(full & (F.col("scanned") < 0), (F.col("radius") + limit) / 2).when(full, limit).otherwise(F.least(limit, F.greatest(F.col("radius") * 1.5, F.col("end") / 16)))
-        after = now.where(F.col("radius") < limit).select("q", "norm", "top", "inner", "outer", F.col("radius").alias("scanned"), wider.alias("radius"), "end")
-        done = (state, found, pairs, new)
+        # half the way to the bound after the first round, else all of it; without a bound three times as far
+        wider = F.when(full & (F.col("scanned") < 0), (F.col("radius") + limit) / 2).when(full, limit).otherwise(F.least(limit, F.greatest(F.col("radius") * 3, F.col("end") / 8)))
+        after = state.join(last, "q", "left").where(F.col("radius") < limit).select("q", "norm", "top", "inner", "outer", F.col("radius").alias("scanned"), wider.alias("radius"), "end")
+        done = (state, found, pairs)
         state, found = materialize(after), better
         for d in done:
             drop_files(d)
     return found
 
 
-def _scanned(pairs: DataFrame, vectors: DataFrame, pivots: DataFrame, k: int, same: bool) -> DataFrame:
+def _scanned(pairs: DataFrame, vectors: DataFrame, rings: DataFrame, k: int, same: bool) -> DataFrame:
     """(q, score, id): the first k partners of each search in each block of the rings that pairs (q, ..., dim, pivot, ring) name."""
-    reach = pivots.select("dim", F.inline("reach"))
-    ringed = join_checked(vectors, reach, ["dim", "pivot"], "inner").withColumn("ring", F.least(_ring(F.col("key")), F.col("rings") - 1)).drop("low", "width", "rings", "key")
     wanted = pairs.groupBy("dim", "pivot", "ring").agg(F.count("*").alias("searches"))
-    sizes = ringed.groupBy("dim", "pivot", "ring").agg(F.count("*").alias("n"))
     # blocks of a ring, and parts of the searches that ask for it
-    work = materialize(sizes.join(wanted, ["dim", "pivot", "ring"]).select("dim", "pivot", "ring", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("searches") / SEARCHES).cast("int").alias("parts")))
+    work = rings.join(wanted, ["dim", "pivot", "ring"]).select("dim", "pivot", "ring", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("searches") / SEARCHES).cast("int").alias("parts"))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = ringed.join(work, ["dim", "pivot", "ring"]).withColumn("block", F.pmod(F.xxhash64(F.lit(5), "id"), "blocks").cast("int")).withColumn("part", every("parts"))
+    left = vectors.join(work, ["dim", "pivot", "ring"]).withColumn("block", F.pmod(F.xxhash64(F.lit(5), "id"), "blocks").cast("int")).withColumn("part", every("parts"))
     right = pairs.join(work, ["dim", "pivot", "ring"]).withColumn("part", F.pmod(F.xxhash64(F.lit(6), "q"), "parts").cast("int")).withColumn("block", every("blocks"))
 
     def scan(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
@@ -206,11 +206,10 @@ def mine_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
     usable = rows.where("id is not null and label is not null and v is not null").select("id", "label", F.size("v").alias("dim"), "v").dropDuplicates(["id", "label", "v"])
     usable = materialize(usable.withColumn("norm", F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))
     place = F.row_number().over(Window.partitionBy("dim", "label", "v").orderBy("id"))
-    vectors, pivots = index(usable.withColumn("place", place).where(F.col("place") <= max(positives + 1, negatives)).drop("place"))
-    pivots = materialize(pivots)
+    vectors, rings, pivots = index(usable.withColumn("place", place).where(F.col("place") <= max(positives + 1, negatives)).drop("place"))
     no = F.lit(None).cast("long")
     chosen = materialize(usable.where(anchors).withColumnRenamed("id", "anchor").withColumn("q", F.monotonically_increasing_id()))
-    found = first_k(chosen.withColumn("least", no).withColumn("most", no), vectors, pivots, positives, True)
+    found = first_k(chosen.withColumn("least", no).withColumn("most", no), vectors, rings, pivots, positives, True)
     pairs = materialize(found.withColumnsRenamed({"score": "positive_score", "id": "positive_id", "q": "a"}))
     score = F.col("positive_score")
     # ceil(3/10 of the score) and floor(9/10 of it), without leaving 64 bits; no score is between those of a negative one
@@ -218,7 +217,7 @@ def mine_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
     asked = pairs.where("positive_score >= 0").select("a", "positive_score").distinct()
     asked = asked.select("a", "positive_score", (tens * LEAST + F.ceil(ones * LEAST / 10)).cast("long").alias("least"), (tens * MOST + F.floor(ones * MOST / 10)).cast("long").alias("most"))
     asked = materialize(asked.join(chosen.withColumnRenamed("q", "a"), "a").withColumn("q", F.monotonically_increasing_id()))
-    hard = first_k(asked, vectors, pivots, negatives, False)
+    hard = first_k(asked, vectors, rings, pivots, negatives, False)
     out = asked.select("q", "a", "anchor", "positive_score").join(hard, "q").join(pairs, ["a", "positive_score"])
     rank = F.row_number().over(Window.partitionBy("a", "positive_id", "positive_score").orderBy(F.col("score").desc(), "id"))
     return out.select(F.col("anchor").alias("anchor_id"), "positive_id", rank.alias("rank"), F.col("id").alias("negative_id"), score.alias("positive_score"), F.col("score").alias("negative_score"))

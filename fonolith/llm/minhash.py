@@ -94,12 +94,12 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float(sum(k / (np.maximum(ca / x, cb / y).sum() + only_a / x + only_b / y) for (x, y), k in zip(pairs.T, times, strict=True)))
 
 
-def banded(docs: DataFrame, key: str, text: str, bands: int, rows: int, words: int) -> DataFrame:
-    """(id, c1, c2, bands): the class hashes of each document and the hash of each of its bands; none for texts without words."""
+def banded(texts: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
+    """(place, id, c1, c2, bands) of (place, id, t): the class hashes of each text and the hash of each of its bands; none for texts without words."""
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, off = tk.flat(batch.column(1))
+            buf, off = tk.flat(batch.column(2))
             for i, j in tk.pieces(off, _PIECE):
                 owner, h, weight, c1, c2 = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
                 sig = signatures(owner, h, weight, j - i, bands * rows).reshape(j - i, bands, rows)
@@ -108,29 +108,25 @@ def banded(docs: DataFrame, key: str, text: str, bands: int, rows: int, words: i
                     band = tk.combine(band, sig[:, :, r])
                 full = np.bincount(owner, minlength=j - i) > 0
                 values = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32), pa.array(band[full].ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), values], names=["id", "c1", "c2", "bands"])
-
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(tk.lean(body), "id long, c1 long, c2 long, bands array<long>")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), values], names=["place", "id", "c1", "c2", "bands"])
 
+    return texts.select("place", "id", "t").mapInArrow(tk.lean(body), "place long, id long, c1 long, c2 long, bands array<long>")
 
-def weighted_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, s, w) of (id, c1, c2, fr_text): the sorted shingle hashes of each text and their weights, as bytes.
 
-    Only of texts whose class hashes are c1 and c2: where a key repeats, it may stand for other texts too.
-    """
+def weighted_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, s, w) of (id, t): the sorted shingle hashes of each text and their weights, as bytes."""
 
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, off = tk.flat(batch.column(3))
+            buf, off = tk.flat(batch.column(1))
             for i, j in tk.pieces(off, _PIECE):
-                owner, h, weight, c1, c2 = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
+                owner, h, weight, _, _ = shingles(buf[off[i] : off[j]], off[i : j + 1] - off[i], words)
                 cut = np.searchsorted(owner, np.arange(j - i + 1))
                 s = [h[a:z].tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)]
                 w = [weight[a:z].astype(np.uint32).tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)]
-                own = (batch.column(1).to_numpy()[i:j] == c1.view(np.int64)) & (batch.column(2).to_numpy()[i:j] == c2.view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.binary()), pa.array(w, pa.binary())], names=["id", "s", "w"]).filter(pa.array(own))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.binary()), pa.array(w, pa.binary())], names=["id", "s", "w"])
 
-    return docs.select("id", "c1", "c2", "fr_text").mapInArrow(tk.lean(body), "id long, s binary, w binary")
+    return texts.select("id", "t").mapInArrow(tk.lean(body), "id long, s binary, w binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -199,21 +195,24 @@ def block_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return cut.groupBy("h", "b1", "b2").applyInPandas(body, "a long, b long")
 
 
-def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(key, class_id, text_id, kept), a row for each row of docs.
+def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(place, id, t) of docs: a number of its own for each row, its key and its text."""
+    return docs.select(F.monotonically_increasing_id().alias("place"), F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
 
-    text_id is the smallest key with the same words, class_id the smallest key reachable by links of at least the given
-    similarity; kept: the key is the class_id.  Words are compared as they are; blanks between them don't matter.  A pair
-    at the bound meets in a band with probability 1 - (1 - similarity ** rows) ** bands (0.9994 by default), a more
-    similar one with a higher one.  Null, empty and blank texts link with nothing, and neither do rows with a null key
-    (class_id null, kept).  Rows that repeat a key are texts of their own, each with its own class; equal rows are alike.
-    Very long texts are shingled whole.  An empty table gives an empty table.
+
+def linked_rows(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, keyless: bool = True) -> DataFrame:
+    """(place, id, of_text, of_class) of texts (place, id, t), which must be written: each row's first equal row and the first that links reach.
+
+    Both are structs (known, id, place), null for a text without words.  First is the row of the smallest id, rows without an
+    id coming last, and of equal ids that of the smallest place.  keyless: whether rows without an id take part.
     """
-    ready(docs.sparkSession)
-    each = materialize(banded(docs, key, text, bands, rows, words))
-    real = each.where(F.col("id").isNotNull() & (F.size("bands") > 0))
-    # a class is a node of its own, numbered once written: a repeated key may stand for several texts
-    classes = materialize(real.groupBy("c1", "c2").agg(F.min("id").alias("first"), F.min_by("bands", "id").alias("bands")).withColumn("rep", F.monotonically_increasing_id()))
+    each = materialize(banded(texts, bands, rows, words))
+    real = each.where(F.size("bands") > 0)
+    if not keyless:
+        real = real.where("id is not null")
+    # a class of equal texts is a node, numbered once written; its first row stands for it
+    first = F.struct(F.col("id").isNull().alias("unknown"), "id", "place")
+    classes = materialize(real.groupBy("c1", "c2").agg(F.min(first).alias("first"), F.min_by("bands", "place").alias("bands")).withColumn("rep", F.monotonically_increasing_id()))
     spread = classes.select("rep", F.explode("bands").alias("h"))
     full = materialize(spread.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     # tables that grow with the corpus are merged at any size, never broadcast where they happen to be small
@@ -224,9 +223,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     ends = met.join(degree, "rep").groupBy("h").agg(F.min("rep").alias("lo"), F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hi"))
     met = materialize(met.select("h", "rep").join(ends, "h"))
     star = materialize(met.select("rep", F.explode(F.array("lo", "hi")).alias("b")).where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
-    nodes = classes.select("rep", "c1", "c2", F.col("first").alias("k")).join(met.select("rep").distinct().hint("shuffle_hash"), "rep", "left_semi")
-    source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("fr_text")).join(nodes.hint("shuffle_hash"), "k").dropDuplicates(["k", "rep", "fr_text"])
-    sets = materialize(weighted_sets(source.withColumnRenamed("rep", "id"), words).dropDuplicates(["id"]))
+    # one text stands for a class: its row is met by its place, so a key that repeats brings none together
+    nodes = classes.select(F.col("first.place").alias("place"), F.col("rep").alias("id")).join(met.select(F.col("rep").alias("id")).distinct().hint("shuffle_hash"), "id", "left_semi")
+    sets = materialize(weighted_sets(texts.select("place", "t").join(nodes.hint("shuffle_hash"), "place").select("id", "t"), words))
     linked = materialize(verified(star, sets, similarity))
     joined = components(linked)
     # ... and members that neither has brought together meet each other: as pairs in small buckets, else in blocks
@@ -240,25 +239,43 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
         joined = components(linked.unionByName(more))
     for done in (full, crowd, met, star, sets, linked, open_, more):
         drop_files(done)
-    # components of classes, then their smallest key
-    named = materialize(classes.select("c1", "c2", "first", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", F.col("first").alias("rep"), F.coalesce("component", "rep").alias("node")))
-    least = named.groupBy("node").agg(F.min("rep").alias("comp"))
-    named = named.join(least, "node").drop("node").withColumn("real", F.lit(True))
-    out = each.select("id", "c1", "c2", (F.size("bands") > 0).alias("real")).join(named, ["c1", "c2", "real"], "left")
-    found = F.coalesce("comp", "id")
-    return out.select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), found).alias("class_id"), F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("text_id"), F.coalesce(F.col("id") == found, F.lit(True)).alias("kept"))
+    # components of classes, then the first row of each
+    named = materialize(classes.select("c1", "c2", "first", "rep").join(joined, classes.rep == joined.id, "left").select("c1", "c2", "first", F.coalesce("component", "rep").alias("node")))
+    least = named.groupBy("node").agg(F.min("first").alias("of_class"))
+    named = named.join(least, "node").select("c1", "c2", F.col("first").alias("of_text"), "of_class", F.lit(True).alias("real"))
+    out = each.select("place", "id", "c1", "c2", ((F.size("bands") > 0) & (F.lit(keyless) | F.col("id").isNotNull())).alias("real"))
+    return out.join(named, ["c1", "c2", "real"], "left").select("place", "id", "of_text", "of_class")
+
+
+def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(key, class_id, text_id, kept), a row for each row of docs.
+
+    text_id is the smallest key with the same words, class_id the smallest key reachable by links of at least the given
+    similarity; kept: the key is the class_id.  Words are compared as they are; blanks between them don't matter.  A pair
+    at the bound meets in a band with probability 1 - (1 - similarity ** rows) ** bands (0.9994 by default), a more
+    similar one with a higher one.  Null, empty and blank texts link with nothing, and neither do rows with a null key
+    (class_id null, kept).  Rows that repeat a key are texts of their own, each with its own class; equal rows are alike.
+    Very long texts are shingled whole.  An empty table gives an empty table.
+    """
+    ready(docs.sparkSession)
+    out = linked_rows(materialize(placed(docs, key, text)), words, similarity, bands, rows, keyless=False)
+    found = F.coalesce("of_class.id", "id")
+    return out.select(F.col("id").alias(key), found.alias("class_id"), F.coalesce("of_text.id", "id").alias("text_id"), F.coalesce(F.col("id") == found, F.lit(True)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that near_classes keeps, with the columns of docs.
+    """One row of each class of near copies of docs, with the columns of docs: that of the smallest doc_id.
 
-    Rows without a key, or without a word, stay.  Of a key that repeats all rows go, if it is kept for none of its texts;
-    else all stay.  Very long texts and empty tables are as in near_classes().
+    Classes are those of near_classes(), but rows without a key are compared too, as the last of all.  Of equal rows, and of
+    rows that agree in their key, one stays.  Rows without a word all stay.  Very long texts and empty tables are as in
+    near_classes().
     """
-    ids = near_classes(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.bool_or("kept").alias("some"))
-    gone = ids.where(~F.col("some")).select(F.col("doc_id").alias("fr_id"))
+    ready(docs.sparkSession)
+    rows = materialize(packed(docs).withColumn("place", F.monotonically_increasing_id()))
+    found = linked_rows(rows.select("place", F.col("fr_row.doc_id").cast("long").alias("id"), F.col("fr_row.text").alias("t")))
+    gone = found.where("of_class.place <> place").select("place")
     # the narrow side is the hash table: texts aren't sorted
-    return packed(docs).join(gone.hint("shuffle_hash"), F.col("fr_row.doc_id") == F.col("fr_id"), "left_anti").select("fr_row.*")
+    return rows.join(gone.hint("shuffle_hash"), "place", "left_anti").select("fr_row.*")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
