@@ -95,10 +95,7 @@ def _run(a: argparse.Namespace) -> None:
         options = pipelines.TranscriptOptions(a.model, a.language, a.normalize_phrases, quarantine=a.quarantine)
     source = pipelines.recognized(spark, a.input, _function(a.recognizer), options.recognizer()) if is_audio(a.input) else a.input
     if a.kind == "visemes":
-        payloads, mouth = pipelines.viseme_payloads(spark, source, options, single=True)
-        write_payload(payloads, a.output)
-        if a.mouth_cues:
-            write_payload(mouth, a.mouth_cues)
+        pipelines.write_visemes(spark, source, a.output, a.mouth_cues, options, single=True)
     else:
         output = a.output or f"{a.input.rpartition('.')[0]}.json"
         if output == a.input:

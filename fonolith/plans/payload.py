@@ -41,6 +41,20 @@ def recording_timeline(shapes: DataFrame, silence: bool = True, threshold: float
     return materialize(timeline(spans_of(shapes), silence, threshold, large_keys(shapes, "audio_id", LONG)))
 
 
+def _head(model: str) -> Column:
+    return F.struct(F.lit(GENERATOR).alias("generator"), F.lit(DECIMALS).alias("timestamp_precision_decimals"), F.array(*map(F.lit, VISEMES)).alias("viseme_inventory"), F.lit(model).alias("model")).alias("metadata")
+
+
+def _language(language: Column | None) -> Column:
+    return language_or_default(F.lit(None).cast("string") if language is None else language).alias("language")
+
+
+def _word() -> Column:
+    """The word of a row of with_visemes() with its spans."""
+    spans = F.transform(word_spans(F.col("start_ms"), F.col("end_ms"), F.col("codes")), lambda s: _span(s))
+    return F.struct(F.col("norm").alias("word"), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), spans.alias("visemes"))
+
+
 def main_payloads(files: DataFrame, words: DataFrame, segments: DataFrame, model: str, language: Column | None = None, *, shapes: DataFrame | None = None, line: DataFrame | None = None) -> DataFrame:
     """(audio_id, payload): metadata, file, language, transcript, words with their own spans, and the timeline.
 
@@ -48,16 +62,50 @@ def main_payloads(files: DataFrame, words: DataFrame, segments: DataFrame, model
     """
     shapes = shaped_words(words) if shapes is None else shapes
     line = recording_timeline(shapes) if line is None else line
-    spans = F.transform(word_spans(F.col("start_ms"), F.col("end_ms"), F.col("codes")), lambda s: _span(s))
-    spoken = shapes.select("audio_id", "word_idx", F.struct(F.col("norm").alias("word"), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), spans.alias("visemes")).alias("w"))
+    spoken = shapes.select("audio_id", "word_idx", _word().alias("w"))
     by_word = spoken.groupBy("audio_id").agg(F.transform(_in_order("word_idx", "w"), lambda x: x["w"]).alias("words"))
     by_line = line.groupBy("audio_id").agg(F.transform(_in_order("seq", "viseme", "start_ms", "end_ms"), lambda s: _span(s)).alias("timeline"))
-    head = F.struct(F.lit(GENERATOR).alias("generator"), F.lit(DECIMALS).alias("timestamp_precision_decimals"), F.array(*map(F.lit, VISEMES)).alias("viseme_inventory"), F.lit(model).alias("model"))
     joined = files.join(by_word, "audio_id").join(by_line, "audio_id").join(transcripts(segments, words), "audio_id", "left")
-    body = F.struct(head.alias("metadata"), "audio_file", language_or_default(F.lit(None).cast("string") if language is None else language).alias("language"), strip(F.coalesce("transcript", F.lit(""))).alias("transcript"), "words", "timeline")
+    body = F.struct(_head(model), "audio_file", _language(language), strip(F.coalesce("transcript", F.lit(""))).alias("transcript"), "words", "timeline")
     return joined.select("audio_id", as_json(body).alias("payload"))
 
 
+def _element(value: Column, first: Column, deep: int = 1) -> Column:
+    """An element of an array in a text of as_json(), at so many levels, with what separates it from the one before."""
+    return F.concat(F.when(first, "").otherwise(", "), F.replace(as_json(value), F.lit("\n"), F.lit("\n" + "  " * deep)))
+
+
+def _pieces(rows: DataFrame, part: int, idx: Column, text: Column) -> DataFrame:
+    return rows.select("audio_id", F.lit(part).alias("part"), idx.cast("long").alias("idx"), text.alias("text"))
+
+
+def main_pieces(files: DataFrame, words: DataFrame, segments: DataFrame, model: str, language: Column | None = None, *, shapes: DataFrame, line: DataFrame) -> DataFrame:
+    """(audio_id, part, idx, text): the texts of main_payloads() in pieces, a word or a span each, so that no row has all of a recording's.
+
+    The pieces of a recording make up its text in the order of part and idx.
+    """
+    first = shapes.groupBy("audio_id").agg(F.min("word_idx").alias("first"))
+    there = files.join(first, "audio_id").join(line.select("audio_id").distinct(), "audio_id")
+    head = F.struct(_head(model), "audio_file", _language(language), strip(F.coalesce("transcript", F.lit(""))).alias("transcript"))
+    text = as_json(head)
+    heads = there.join(transcripts(segments, words), "audio_id", "left")
+    begin = F.concat(F.left(text, F.length(text) - 2), F.lit(',\n  "words" : [ '))
+    spoken = shapes.join(there.select("audio_id", "first"), "audio_id")
+    pieces = _pieces(heads, 0, F.lit(0), begin)
+    pieces = pieces.unionByName(_pieces(spoken, 1, F.col("word_idx"), _element(_word(), F.col("word_idx") == F.col("first"))))
+    pieces = pieces.unionByName(_pieces(there, 2, F.lit(0), F.lit(' ],\n  "timeline" : [ ')))
+    spans = line.join(there.select("audio_id"), "audio_id", "left_semi")
+    pieces = pieces.unionByName(_pieces(spans, 3, F.col("seq"), _element(_span(F.struct("viseme", "start_ms", "end_ms")), F.col("seq") == 0)))
+    return pieces.unionByName(_pieces(there, 4, F.lit(0), F.lit(" ]\n}")))
+
+
+def mouth_cue_pieces(line: DataFrame) -> DataFrame:
+    """(audio_id, part, idx, text): the texts of mouth_cue_payloads() in pieces, as in main_pieces()."""
+    there = line.select("audio_id").distinct()
+    cues = _pieces(line, 1, F.col("seq"), _element(_span(F.struct("viseme", "start_ms", "end_ms"), "value"), F.col("seq") == 0))
+    return _pieces(there, 0, F.lit(0), F.lit('{\n  "mouthCues" : [ ')).unionByName(cues).unionByName(_pieces(there, 2, F.lit(0), F.lit(" ]\n}")))
+
+
 def mouth_cue_payloads(line: DataFrame) -> DataFrame:
     """(audio_id, payload) of a timeline: the cues under mouthCues, a cue's shape as its value."""
     cues = F.transform(_in_order("seq", "viseme", "start_ms", "end_ms"), lambda s: _span(s, "value"))

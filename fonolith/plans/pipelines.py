@@ -79,22 +79,47 @@ def recording_status(words: DataFrame) -> DataFrame:
     return words.select("audio_id").distinct().join(kept, "audio_id", "left").select("audio_id", status.alias("status"))
 
 
-def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: VisemeOptions = VisemeOptions(), single: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Main payloads and mouth cues of all recordings.
+@dataclass(frozen=True)
+class _Visemes:
+    """What the outputs of the viseme pipeline are made of."""
 
-    Recordings without usable words give no payload; in single mode that is an error.
-    """
-    documents = read_transcripts(spark, source, options.quarantine)
-    segments = segments_of(documents)
+    files: DataFrame
+    words: DataFrame
+    segments: DataFrame
+    shapes: DataFrame
+    line: DataFrame
+
+
+def _visemes(spark: SparkSession, source: str | DataFrame, options: VisemeOptions, single: bool) -> _Visemes:
+    segments = segments_of(read_transcripts(spark, source, options.quarantine))
     raw = words_of(segments)
     if single and (bad := recording_status(raw).where("status <> 'ok'").first() or (raw.limit(1).count() == 0 and ("", "no word timestamps"))):
         raise PipelineError(f"{bad[1]}: nothing in this recording can be shown as mouth shapes")
     words = valid_words(raw, large_keys(raw, "audio_id", LONG))
-    files = segments.select("audio_id", "audio_file", "language").distinct()
     shapes = payload.shaped_words(words)
     line = payload.recording_timeline(shapes, options.silence_cues, max(0.0, options.silence_threshold_ms))
-    main = payload.main_payloads(files, words, segments, options.model, F.col("language"), shapes=shapes, line=line)
-    return main, payload.mouth_cue_payloads(line)
+    return _Visemes(segments.select("audio_id", "audio_file", "language").distinct(), words, segments, shapes, line)
+
+
+def viseme_payloads(spark: SparkSession, source: str | DataFrame, options: VisemeOptions = VisemeOptions(), single: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Main payloads and mouth cues of all recordings.
+
+    Recordings without usable words give no payload; in single mode that is an error.
+    """
+    v = _visemes(spark, source, options, single)
+    main = payload.main_payloads(v.files, v.words, v.segments, options.model, F.col("language"), shapes=v.shapes, line=v.line)
+    return main, payload.mouth_cue_payloads(v.line)
+
+
+def write_visemes(spark: SparkSession, source: str | DataFrame, output: str, mouth_cues: str | None = None, options: VisemeOptions = VisemeOptions(), single: bool = False) -> None:
+    """Writes the payloads of viseme_payloads(), and with a path for them the mouth cues, as files in a folder, or single as that file.
+
+    A recording's text is written in pieces, by several tasks if it is long, and never held as a whole.
+    """
+    v = _visemes(spark, source, options, single)
+    sinks.write_pieces(payload.main_pieces(v.files, v.words, v.segments, options.model, F.col("language"), shapes=v.shapes, line=v.line), output, single)
+    if mouth_cues:
+        sinks.write_pieces(payload.mouth_cue_pieces(v.line), mouth_cues, single)
 
 
 def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: TranscriptOptions = TranscriptOptions()) -> DataFrame:

@@ -29,6 +29,11 @@ def write_payload(payloads: DataFrame, path: str) -> None:
     write_files(payloads, F.concat(F.col("audio_id").cast("string"), F.lit(".json")), F.col("payload"), path, single=True)
 
 
+def write_pieces(pieces: DataFrame, path: str, single: bool = False) -> None:
+    """The texts that pieces (audio_id, part, idx, text) make up, as write_payloads() or write_payload() would write them."""
+    write_files(pieces, F.concat(F.col("audio_id").cast("string"), F.lit(".json")), F.col("text"), path, order=[F.col("part"), F.col("idx")], single=single)
+
+
 def csv_line(*fields: Column) -> Column:
     """Fields between |, null as empty, quoted only where needed, with the end of the line."""
     field = lambda c: F.when(c.rlike('[|"\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)

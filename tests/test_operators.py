@@ -311,6 +311,24 @@ def test_files_that_are_no_documents(spark, tmp_path):
     assert (tmp_path / "bad.jsonl").read_text() == ""
 
 
+def test_payloads_in_pieces(spark, tmp_path):
+    """Files written in pieces, by tasks that share recordings, have the very texts of the payloads."""
+    segments = [{"id": i, "start": i * 1.0, "end": i + 0.9, "text": f"palabra {i}", "words": [{"word": w, "start": i + 0.1, "end": i + 0.8}]} for i, w in enumerate(["hola", "¡!", "mundo", "a\\b", 'di "que"'] * 40)]
+    docs = [{"audio_file": f'{k}"ñ.wav', "segments": segments[k : k + n]} for k, n in ((0, 1), (1, 1), (3, 150), (2, 199))] + [DOCUMENT]
+    (tmp_path / "in").mkdir()
+    for k, d in enumerate(docs):
+        (tmp_path / "in" / f"{k}.json").write_text(json.dumps(d))
+    main, cues = pipelines.viseme_payloads(spark, str(tmp_path / "in"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pipelines.write_visemes(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cues"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for want, folder in ((main, "out"), (cues, "cues")):
+        got = {p.name: p.read_text() for p in (tmp_path / folder).iterdir()}
+        assert got == {f"{r.audio_id}.json": r.payload for r in want.collect()} and len(got) == 4
+
+
 def test_probability_is_kept(spark, tmp_path):
     words = [{"word": "uno.", "start": 0.0, "end": 0.5, "probability": 0.75}, {"word": "dos", "start": 0.5, "end": 1.0}]
     (tmp_path / "p.json").write_text(json.dumps({"audio_file": "p.wav", "segments": [{"id": 0, "start": 0.0, "end": 1.0, "text": "uno. dos", "words": words}]}))
