@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fonolith.functions.text import normalize_text, strip
@@ -64,7 +64,14 @@ def metadata(clips: DataFrame, form: str = "classic") -> DataFrame:
     return clips.select(*(columns[::2] if form == "piper" else columns))
 
 
-def build_summary(segments: DataFrame) -> DataFrame:
-    """Counts of all, exported and skipped segments (with skip_reason), for each recording."""
+def build_summary(segments: DataFrame, *more: str) -> DataFrame:
+    """Counts of all, exported and skipped segments (with skip_reason), for each recording; more: other columns that it has one value of."""
     total, kept = F.count("*"), F.count_if(F.col("skip_reason").isNull())
-    return segments.groupBy("audio_id").agg(total.alias("total_segments"), kept.alias("exported_segments"), (total - kept).alias("skipped_segments"))
+    return segments.groupBy("audio_id", *more).agg(total.alias("total_segments"), kept.alias("exported_segments"), (total - kept).alias("skipped_segments"))
+
+
+def skip_counts(segments: DataFrame, failed: str = "export failed") -> tuple[DataFrame, Observation]:
+    """segments (with skip_reason), and counts of all, exported and skipped ones by reason, which come with whatever writes segments."""
+    seen = Observation()
+    counts = [F.count_if(F.col("skip_reason") == r).alias(r) for r in (*REASONS, failed)]
+    return segments.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(F.col("skip_reason").isNull()).alias("exported"), *counts), seen

@@ -112,13 +112,17 @@ def mouth_cue_payloads(line: DataFrame) -> DataFrame:
     return line.groupBy("audio_id").agg(as_json(F.struct(cues.alias("mouthCues"))).alias("payload"))
 
 
-def transcript_documents(files: DataFrame, segments: DataFrame, phrases: DataFrame, model: str, language: str | None = None) -> DataFrame:
-    """(audio_id, payload): the document that the dataset pipeline reads; words keep their probability where they have one."""
+def transcript_documents(files: DataFrame, segments: DataFrame, phrases: DataFrame, model: str, language: str | None = None, empty: bool = False) -> DataFrame:
+    """(audio_id, payload): the document that the dataset pipeline reads; words keep their probability where they have one.
+
+    empty: files without segments have a document too.
+    """
     more = ["probability"] if "probability" in segments.schema["words"].dataType.elementType.names else []
     words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), seconds(w["start_ms"]).alias("start"), seconds(w["end_ms"]).alias("end"), *(w[c].alias(c) for c in more)))
     shape = lambda df, place: df.select("audio_id", F.col(place).alias("place"), F.struct(*([F.col(place).alias("id")] if place == "seg" else []), seconds(F.col("start_ms")).alias("start"), seconds(F.col("end_ms")).alias("end"), strip(F.coalesce("text", F.lit(""))).alias("text"), words.alias("words")).alias("x"))
     gather = lambda df, place, name: shape(df, place).groupBy("audio_id").agg(F.transform(_in_order("place", "x"), lambda v: v["x"]).alias(name))
     s, p = gather(segments, "seg", "segments"), gather(phrases, "phrase_idx", "phrases")
-    text = F.array_join(F.filter(F.transform("segments", lambda x: x["text"]), lambda t: t != ""), " ")
-    joined = files.join(s, "audio_id").join(p, "audio_id", "left")
-    return joined.select("audio_id", as_json(F.struct("audio_file", F.lit(model).alias("model"), F.lit(language).alias("language"), text.alias("text"), "segments", F.coalesce("phrases", F.array().cast(p.schema["phrases"].dataType)).alias("phrases"))).alias("payload"))
+    whole = lambda df, name: F.coalesce(name, F.array().cast(df.schema[name].dataType)).alias(name)
+    text = F.array_join(F.filter(F.transform(whole(s, "segments"), lambda x: x["text"]), lambda t: t != ""), " ")
+    joined = files.join(s, "audio_id", "left" if empty else "inner").join(p, "audio_id", "left")
+    return joined.select("audio_id", as_json(F.struct("audio_file", F.lit(model).alias("model"), F.lit(language).alias("language"), text.alias("text"), whole(s, "segments"), whole(p, "phrases"))).alias("payload"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,12 @@ from fonolith.operators.words import valid_words
 from fonolith.plans import payload
 from fonolith.schema import END_PADDING_MS, LONG, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
 from fonolith.sources import sinks
-from fonolith.sources.transcripts import RecognizerOptions, Transcriber, audio_files, clip_listing, ensure_audio_input, read_transcripts, segments_of, transcribe, words_of
+from fonolith.sources.transcripts import Recognizer, RecognizerOptions, Transcriber, audio_files, clip_listing, ensure_audio_input, read_transcripts, recordings_of, segments_of, transcribe, words_of
 from fonolith.storage import materialize
 from fonolith.workers import ready
 
+LOG = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class VisemeOptions:
@@ -61,7 +64,7 @@ class TranscriptOptions:
         return RecognizerOptions(self.model, self.language)
 
 
-def recognized(spark: SparkSession, audio: str, transcriber: Transcriber | None, options: RecognizerOptions, single: bool = True) -> DataFrame:
+def recognized(spark: SparkSession, audio: str, transcriber: Transcriber | Recognizer | None, options: RecognizerOptions, single: bool = True) -> DataFrame:
     """Transcript documents of an audio file, or with single=False of all supported files of a folder.
 
     They are written once: recognition is the most costly step, and the pipelines read its result several times.
@@ -123,13 +126,14 @@ def write_visemes(spark: SparkSession, source: str | DataFrame, output: str, mou
 
 
 def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: TranscriptOptions = TranscriptOptions()) -> DataFrame:
-    """Transcript documents with phrases, from recognized segments."""
-    segments = segments_of(read_transcripts(spark, source, options.quarantine))
+    """Transcript documents with phrases, from recognized segments, also of recordings without any."""
+    documents = read_transcripts(spark, source, options.quarantine)
+    segments = segments_of(documents)
     found = phrases.build_phrases(segments)
     if options.normalize_phrases:
         found = phrases.normalize_phrases(found, options.shortest_ms, options.longest_ms)
-    files = segments.select("audio_id", "audio_file").distinct()
-    return payload.transcript_documents(files, segments, found, options.model, options.language)
+    files = recordings_of(documents).select("audio_id", "audio_file").distinct()
+    return payload.transcript_documents(files, segments, found, options.model, options.language, empty=True)
 
 
 def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, options: DatasetOptions = DatasetOptions()) -> DataFrame:
@@ -156,7 +160,9 @@ def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, opt
         failed = done.where("not ok").select(F.col("filename").alias("cut"), F.lit(True).alias("failed"))
         checked = checked.withColumn("cut", provisional).join(failed, "cut", "left")
         checked = checked.withColumn("skip_reason", F.coalesce("skip_reason", F.when(F.col("failed"), F.lit("export failed")))).drop("failed", "cut")
-    checked = materialize(checked)
+    counted, seen = dataset.skip_counts(checked)
+    checked = materialize(counted)
+    LOG.info("segments: %s", {k: v for k, v in seen.get.items() if v})
     # the listing is read before any clip gets its name
     clips = materialize(dataset.clip_names(checked.where("skip_reason is null"), dataset.max_suffix(clip_listing(spark, wavs))))
     if options.export:
@@ -164,6 +170,5 @@ def build_dataset(spark: SparkSession, source: str | DataFrame, output: str, opt
         if named < clips.count():
             raise PipelineError(f"only {named} clips are in {wavs}")
     sinks.write_metadata(dataset.metadata(clips, options.metadata_format), f"{output}/metadata.csv")
-    per = checked.select("audio_id", "audio_file", "prefix").distinct()
-    summary = dataset.build_summary(checked).join(per, "audio_id")
+    summary = dataset.build_summary(checked, "audio_file", "prefix")
     return summary.select("total_segments", "exported_segments", "skipped_segments", F.lit(output).alias("output_dir"), F.lit(f"{output}/metadata.csv").alias("metadata_path"), F.col("prefix").alias("audio_prefix"), F.lit(options.sample_rate).alias("sample_rate"), "audio_file")

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,32 @@ class RecognizerOptions:
 
 #: Takes batches of (path, content) of audio files and the options, and gives (path, language, text, segments) for each.
 Transcriber = Callable[[Iterator[pd.DataFrame], RecognizerOptions], Iterator[pd.DataFrame]]
+
+
+@dataclass(frozen=True)
+class Recognizer:
+    """A recognizer whose model each Python worker loads once, and keeps for all tasks that it runs.
+
+    load: takes the options and gives a function like a Transcriber that takes batches only.  profile: what executors and tasks of
+    the stage need, devices for instance (see pyspark.resource).
+    """
+
+    load: Callable[[RecognizerOptions], Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]]
+    profile: ResourceProfile | None = None
+
+
+#: The recognizers that this process has loaded.
+_LOADED: dict = {}
+
+
+def loaded(load: Callable, options: RecognizerOptions) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """load(options), made once in this process."""
+    name = (load.__module__, load.__qualname__, options)
+    if name not in _LOADED:
+        _LOADED[name] = load(options)
+    return _LOADED[name]
+
+
 #: Takes an address, a folder and an audio format, puts the audio there and gives the name of the file it began with.
 Fetcher = Callable[[str, str, str], str]
 #: The formats to fetch audio in, the first one by default (fixed values).
@@ -95,15 +122,20 @@ def _millis(seconds: Column) -> Column:
     return F.round(seconds * 1000).cast("bigint")
 
 
-def segments_of(documents: DataFrame) -> DataFrame:
-    """(audio_id, audio_file, language, seg, text, start_ms, end_ms, words) of transcript documents; seg is the place in the document.
+def recordings_of(documents: DataFrame, *more: Column) -> DataFrame:
+    """(audio_id, audio_file, language) and more columns of transcript documents: each is a recording of its own.
 
-    Each document is a recording of its own, also where another one names the same audio file or none: audio_id is the
-    hash of all its columns, with the path of its JSON where it has one (column document).
+    That holds also where another one names the same audio file or none: audio_id is the hash of all columns, with the path
+    of a document's JSON where it has one (column document).
     """
-    words = lambda w: F.transform(F.coalesce(w, F.array().cast(f"array<{SEGMENT.split('words array<')[1][:-2]}>")), lambda x: F.struct(first_filled(x["word"], x["text"]).alias("word"), _millis(x["start"]).alias("start_ms"), _millis(x["end"]).alias("end_ms"), x["probability"].alias("probability")))
     language = F.col("language") if "language" in documents.columns else F.lit(None).cast("string")
-    rows = documents.select(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)).alias("audio_id"), "audio_file", language.alias("language"), F.posexplode("segments").alias("seg", "s"))
+    return documents.select(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)).alias("audio_id"), "audio_file", language.alias("language"), *more)
+
+
+def segments_of(documents: DataFrame) -> DataFrame:
+    """(audio_id, audio_file, language, seg, text, start_ms, end_ms, words) of transcript documents; seg is the place in the document."""
+    words = lambda w: F.transform(F.coalesce(w, F.array().cast(f"array<{SEGMENT.split('words array<')[1][:-2]}>")), lambda x: F.struct(first_filled(x["word"], x["text"]).alias("word"), _millis(x["start"]).alias("start_ms"), _millis(x["end"]).alias("end_ms"), x["probability"].alias("probability")))
+    rows = recordings_of(documents, F.posexplode("segments").alias("seg", "s"))
     return rows.select("audio_id", "audio_file", "language", "seg", F.col("s.text").alias("text"), _millis(F.col("s.start")).alias("start_ms"), _millis(F.col("s.end")).alias("end_ms"), words(F.col("s.words")).alias("words"))
 
 
@@ -146,11 +178,16 @@ def audio_files(spark: SparkSession, folder: str) -> DataFrame:
     return supported_audio(spark.read.format("binaryFile").load(folder)).select("path", "content")
 
 
-def transcribe(audio: DataFrame, transcriber: Transcriber | None, options: RecognizerOptions = RecognizerOptions()) -> DataFrame:
+def transcribe(audio: DataFrame, transcriber: Transcriber | Recognizer | None, options: RecognizerOptions = RecognizerOptions()) -> DataFrame:
     """Transcript documents from audio files by the given recognizer; without one this raises."""
     if transcriber is None:
         raise PipelineError("no recognizer is given: pass a function from batches of (path, content) and options to (path, language, text, segments)")
-    found = audio.mapInPandas(lambda batches: transcriber(batches, options), f"path string, language string, text string, segments array<{SEGMENT}>")
+    schema = f"path string, language string, text string, segments array<{SEGMENT}>"
+    if isinstance(transcriber, Recognizer):
+        load = transcriber.load
+        found = audio.mapInPandas(lambda batches: loaded(load, options)(batches), schema, profile=transcriber.profile)
+    else:
+        found = audio.mapInPandas(lambda batches: transcriber(batches, options), schema)
     return found.select(F.col("path").alias("audio_file"), F.lit(options.model).alias("model"), F.coalesce("language", F.lit(options.language)).alias("language"), strip(F.coalesce("text", F.lit(""))).alias("text"), "segments")
 
 

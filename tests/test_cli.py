@@ -48,6 +48,22 @@ def test_audio_to_outputs(spark, tmp_path):
     assert main(["visemes", "--input", str(tmp_path / "none.wav"), "--output", str(tmp_path / "w")]) == 1
 
 
+def test_a_model_is_loaded_once_a_worker(spark, tmp_path):
+    from fonolith.sources.transcripts import RecognizerOptions, audio_files, transcribe
+    from tests.recognizer import LOADED
+
+    (tmp_path / "in").mkdir()
+    for i in range(24):
+        (tmp_path / "in" / f"{i}.wav").write_text(json.dumps({"language": "es", "segments": []}))
+    audio, options = audio_files(spark, str(tmp_path / "in")).repartition(24), RecognizerOptions(model=str(tmp_path / "loaded"))
+    for _ in range(2):
+        assert transcribe(audio, LOADED, options).count() == 24
+    workers = (tmp_path / "loaded").read_text().split()
+    assert len(workers) == len(set(workers)) < 24
+    by = ["--input", str(tmp_path / "in" / "1.wav"), "--recognizer", "tests.recognizer:LOADED", "--model", str(tmp_path / "cli")]
+    assert main(["transcript", *by, "--output", str(tmp_path / "t")]) == 0 and (tmp_path / "cli").exists()
+
+
 def test_fetch(tmp_path, capsys):
     folder = tmp_path / "new"
     assert main(["fetch", "https://example.org/talk", "--output-dir", str(folder), "--format", "opus", "--fetcher", "tests.recognizer:fetch"]) == 0

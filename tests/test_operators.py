@@ -232,7 +232,7 @@ def cut_document(audio, texts):
     return {"audio_file": str(audio), "segments": [{"id": i, "start": a, "end": z, "text": t, "words": [{"word": t, "start": a, "end": z}]} for i, (t, a, z) in enumerate(texts)]}
 
 
-def test_export(spark, tmp_path):
+def test_export(spark, tmp_path, caplog):
     """Each name of metadata.csv is a file in wavs, numbered on without gaps; of a call that fails, clips are cut one by one."""
     audio = tmp_path / "Canción.mp3"
     path = tmp_path / "doc.json"
@@ -246,7 +246,9 @@ def test_export(spark, tmp_path):
         pipelines.build_dataset(spark, str(path), str(out), pipelines.DatasetOptions(encoder="no-such-encoder"))
     (out / "wavs").mkdir(parents=True, exist_ok=True)
     (out / "wavs/canc_000004.wav").write_text("there before")
+    caplog.set_level("INFO", logger="fonolith.plans.pipelines")
     summary = pipelines.build_dataset(spark, str(path), str(out), options).collect()
+    assert "segments: {'total': 5, 'exported': 3, 'too short': 1, 'export failed': 1}" in caplog.text
     assert [(r.total_segments, r.exported_segments, r.skipped_segments, r.sample_rate) for r in summary] == [(5, 3, 2, 16_000)]
     lines = (out / "metadata.csv").read_text().split()
     assert lines == ["canc_000005.wav|uno|uno", "canc_000006.wav|dos|dos", "canc_000007.wav|tres|tres"]
