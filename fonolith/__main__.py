@@ -14,12 +14,13 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from fonolith.errors import PipelineError
 from fonolith.plans import pipelines
 from fonolith.sources.files import local_path
 from fonolith.sources.sinks import write_payload, write_payloads
-from fonolith.sources.transcripts import FETCHED, fetch_audio, is_audio, read_transcripts
+from fonolith.sources.transcripts import FETCHED, fetch_audio, fetch_table, is_audio, read_transcripts
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -49,7 +50,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     t.add_argument("--language")
     t.add_argument("--normalize-phrases", action=argparse.BooleanOptionalAction, default=True)
     f = kinds.add_parser("fetch", help="get audio from an address by a function of yours")
-    f.add_argument("address")
+    f.add_argument("address", nargs="?")
+    f.add_argument("--addresses", help="a text file with an address in each line, which are fetched side by side")
     f.add_argument("--output-dir", default="downloads")
     f.add_argument("--format", choices=FETCHED, default=FETCHED[0])
     f.add_argument("--fetcher", help="module:function")
@@ -75,10 +77,22 @@ def _function(name: str | None) -> Callable | None:
 
 
 def _run(a: argparse.Namespace) -> None:
-    if a.kind == "fetch":
+    if a.kind == "fetch" and a.addresses is None:
+        if a.address is None:
+            raise PipelineError("give an address, or --addresses")
         print(fetch_audio(a.address, a.output_dir, _function(a.fetcher), a.format))
         return
     spark = SparkSession.builder.appName("fonolith").getOrCreate()
+    if a.kind == "fetch":
+        fetcher = _function(a.fetcher)
+        if fetcher is None:
+            raise PipelineError("no fetcher is given: --fetcher module:function")
+        got = fetch_table(spark.read.text(a.addresses).select(F.trim("value").alias("address")).where("address <> ''"), a.output_dir, fetcher, a.format)
+        for row in got.toLocalIterator():
+            print(row["path"] or f"{row['address']}: {row['message']}")
+        if failed := got.where("path is null").count():
+            raise PipelineError(f"{failed} addresses gave no audio")
+        return
     ms = lambda seconds: round(seconds * 1000)
     if a.kind == "dataset":
         options = pipelines.DatasetOptions(a.sample_rate, a.format, ms(a.min_duration), None if a.max_duration is None else ms(a.max_duration), ms(a.end_padding), not a.no_export, a.encoder, a.encoder_seconds)

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from fonolith.errors import PipelineError
 from fonolith.functions.text import first_filled, strip
 from fonolith.schema import AUDIO_EXTENSIONS, SEGMENT, TRANSCRIPT
-from fonolith.sources.files import write_files
+from fonolith.sources.files import local_path, write_files
 from fonolith.storage import materialize
+from fonolith.workers import ready
 
 #: Why a file is no document.
 EMPTY, NO_JSON, NO_FIELDS = "nothing in it", "no JSON", "no field of a transcript"
@@ -202,6 +203,33 @@ def fetch_audio(address: str, folder: str, fetcher: Fetcher | None, form: str =
     return f"{folder.rstrip('/')}/{os.path.splitext(name)[0]}.{form}"
 
 
+def fetch_table(addresses: DataFrame, folder: str, fetcher: Fetcher | None, form: str = FETCHED[0]) -> DataFrame:
+    """(address, path, message) of a table (address): where each one's audio is, or why there is none.
+
+    Each address is fetched once, on the executors, a task for each up to the parallelism of a shuffle times 16, so a slow one
+    holds up few others.  The result is written, so that nothing is fetched again for later steps; a task that is lost fetches
+    its addresses again.  The folder must be one that all machines have mounted.
+    """
+    if form not in FETCHED:
+        raise ValueError(f"{form} is none of the formats {', '.join(FETCHED)}")
+    ready(addresses.sparkSession)
+    at = local_path(folder)
+
+    def body(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for address in batch["address"]:
+                try:
+                    rows.append((address, fetch_audio(address, at, fetcher, form), None))
+                except Exception as e:  # noqa: BLE001  one address must not end the others
+                    rows.append((address, None, str(e)[-500:] or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["address", "path", "message"])
+
+    tasks = 16 * int(addresses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = addresses.select("address").where("address is not null").distinct()
+    return materialize(wanted.repartition(tasks, "address").mapInPandas(body, "address string, path string, message string"))
+
+
 def clip_listing(spark: SparkSession, folder: str) -> DataFrame:
     """(prefix, name, is_file) of the files in a folder of clips; prefix is what stands before the last underscore."""
     if not _exists(spark, folder):

@@ -26,5 +26,11 @@ LOADED = Recognizer(opening)
 
 
 def fetch(address, folder, form):
+    if "lost" in address:
+        raise OSError("no such talk")
+    if "/" in address and address.rpartition("/")[2].isdigit():
+        name = address.rpartition("/")[2]
+        (pathlib.Path(folder) / f"{name}.{form}").write_text(address)
+        return f"{name}.webm"
     (pathlib.Path(folder) / f"talk.{form}").write_text(address)
     return f"{folder}/talk.webm"

@@ -84,3 +84,20 @@ def test_a_folder_of_documents(spark, tmp_path):
     assert "no JSON" in (tmp_path / "bad.jsonl").read_text()
     assert main(["transcript", "--input", str(tmp_path / "out"), "--output", str(tmp_path / "again")]) == 0
     assert len(list((tmp_path / "again").iterdir())) == 5
+
+
+def test_fetch_many(spark, tmp_path, capsys):
+    """Each address of a table gives a file, or a reason."""
+    from fonolith.sources.transcripts import fetch_table
+    from tests.recognizer import fetch
+
+    addresses = [(f"https://example.org/{i}",) for i in range(20)] + [("https://example.org/lost",), ("https://example.org/3",), (None,)]
+    got = fetch_table(spark.createDataFrame(addresses, "address string"), str(tmp_path / "a"), fetch, "wav").collect()
+    assert sorted((r.address, r.path, r.message) for r in got if r.path) == sorted((f"https://example.org/{i}", f"{tmp_path}/a/{i}.wav", None) for i in range(20))
+    assert [(r.address, r.message) for r in got if not r.path] == [("https://example.org/lost", "no such talk")]
+    assert len(list((tmp_path / "a").iterdir())) == 20
+    (tmp_path / "list").write_text("https://example.org/7\n\nhttps://example.org/lost\n")
+    assert main(["fetch", "--addresses", str(tmp_path / "list"), "--output-dir", str(tmp_path / "b"), "--fetcher", "tests.recognizer:fetch"]) == 2
+    said = capsys.readouterr()
+    assert f"{tmp_path}/b/7.mp3" in said.out and "lost: no such talk" in said.out and "1 addresses" in said.err
+    assert main(["fetch", "--fetcher", "tests.recognizer:fetch"]) == 2
