@@ -14,7 +14,7 @@ from fonolith.operators import dataset, phrases
 from fonolith.operators.scans import large_keys
 from fonolith.operators.words import valid_words
 from fonolith.plans import payload
-from fonolith.schema import END_PADDING_MS, LONG, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
+from fonolith.schema import END_PADDING_MS, LONG, MANY_WORDS, MAX_PHRASE_MS, MIN_PHRASE_MS, MIN_SEGMENT_MS, SILENCE_MS
 from fonolith.sources import sinks
 from fonolith.sources.transcripts import Recognizer, RecognizerOptions, Transcriber, audio_files, clip_listing, ensure_audio_input, read_transcripts, recordings_of, segments_of, transcribe, words_of
 from fonolith.storage import materialize
@@ -131,7 +131,11 @@ def transcript_payloads(spark: SparkSession, source: str | DataFrame, options: T
     segments = segments_of(documents)
     found = phrases.build_phrases(segments)
     if options.normalize_phrases:
-        found = phrases.normalize_phrases(found, options.shortest_ms, options.longest_ms)
+        words = words_of(segments)
+        long, many = large_keys(words, "audio_id", LONG), None
+        if large_keys(words, "audio_id", MANY_WORDS).limit(1).count():
+            found, many = materialize(found), MANY_WORDS
+        found = phrases.normalize_phrases(found, options.shortest_ms, options.longest_ms, long, many)
     files = recordings_of(documents).select("audio_id", "audio_file").distinct()
     return payload.transcript_documents(files, segments, found, options.model, options.language, empty=True)
 

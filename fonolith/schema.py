@@ -33,6 +33,8 @@ GENERATOR, DECIMALS = "spanish-viseme-pipeline", 3
 
 #: Words, or spans, of a recording that one task may have.
 LONG = 500_000
+#: Words of a phrase that are cut by a fold, which takes a time that grows with their square; more are cut as rows.
+MANY_WORDS = 2000
 
 WORD = "struct<word string, text string, start double, end double, probability double>"
 SEGMENT = f"struct<id bigint, start double, end double, text string, words array<{WORD}>>"

@@ -150,6 +150,28 @@ def test_merge_short(spark):
     assert got == [(1, 0, 2600, "a b"), (1, 2600, 3000, "c"), (2, 500, 2500, "a b.")]
 
 
+def test_long_phrases(spark):
+    """Phrases and recordings that are cut as chains of rows come out as by the folds; some have times out of order or none."""
+    rng, rows = random.Random(12), []
+    for k in range(8):
+        t = 0
+        for i in range(1, rng.choice([2, 12, 40]) + 1):
+            words = []
+            for j in range(rng.choice([0, 1, 3, 25])):
+                a, t = t + rng.randrange(300), t + rng.randrange(300, 900)
+                words.append((f"w{j}", a, None if k == 6 and j == 2 else t - 5000 if k == 7 and j == 1 else t))
+            start, end = (words[0][1], words[-1][2]) if words else (t, None if k == 5 and i == 3 else t + 700)
+            t = max(t, end or 0)
+            rows.append((k, i, start, end, f"text {i}", words))
+    df = spark.createDataFrame(rows, PHRASE)
+    long = spark.createDataFrame([(k,) for k in range(1, 8)], "audio_id long")
+    plain, split = phrases.split_long(df, 4000), phrases.split_long(df, 4000, many=2)
+    shown = lambda x: sorted(map(str, x.collect()))
+    assert shown(split) == shown(plain) and plain.count() > df.count()
+    assert shown(phrases.merge_short(df, 1500, long)) == shown(phrases.merge_short(df, 1500))
+    assert shown(phrases.normalize_phrases(df, 2500, 4000, long, 2)) == shown(phrases.normalize_phrases(df, 2500, 4000))
+
+
 def test_cascade_and_cuts(spark):
     rows = [(1, 0, "a", 0, None), (1, 1, "a", 2000, 2000), (1, 2, " \n", 0, 900), (1, 3, "a", 0, 300), (1, 4, "a", 0, 500), (1, 5, "a", 0, 10000), (1, 6, "a", 0, 10100)]
     df = spark.createDataFrame([(*r, []) for r in rows], SEGMENT)
