@@ -25,7 +25,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    """One row of each group of near copies stays: the one with the smallest doc_id."""
     return drop_near_copies(docs)
 
 
