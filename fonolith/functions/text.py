@@ -28,6 +28,7 @@ def first_filled(*columns: Column) -> Column:
 
 def normalize_word(c: Column) -> Column:
     """Lower case without acute accents; letters, digits, ñ, ü and inner apostrophes and hyphens stay."""
+    # the characters of words, and what stands for others: fixed values
     t = F.translate(F.lower(strip(F.coalesce(c, F.lit("")))), "’`áéíóú", "''aeiou")
     t = F.regexp_replace(t, "^[^a-z0-9ñü]+|[^a-z0-9ñü]+$", "")
     return F.regexp_replace(t, "[^a-z0-9ñü'-]+", "")
@@ -38,6 +39,7 @@ def normalize_text(c: Column) -> Column:
 
     Null becomes empty.
     """
+    # quotes and dashes, and the characters that go at the ends: fixed values
     t = F.translate(F.coalesce(c, F.lit("")), "“”‘’—–", "\"\"''--")
     t = F.regexp_replace(t, f"{BLANK}+", " ")
     return F.regexp_replace(t, r"^[ \-.,;:]+|[ \-.,;:]+$", "")
