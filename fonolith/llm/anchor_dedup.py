@@ -18,6 +18,7 @@ Probes have a hash of few bits: that a hit may be none costs an entry more.  Win
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from fonolith.workers import ready
 
 #: Words of a window and of a block.
 WINDOW, BLOCK = 13, 7
-#: Bytes of texts in a chunk; bytes of texts that a range stands for; bits of a probe's hash beyond those that count the bytes.
+#: Bytes of texts in a chunk, and that a range stands for, at least; bits of a probe's hash beyond those that count the bytes.
 CHUNK, HELD, SPARE = 8 << 20, 64 << 20, 4
 _PIECE = 1 << 20
 _LEVEL = 5
@@ -212,9 +213,9 @@ def remove_earlier(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     ready(spark)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    # a chunk is small where else some cores would idle, and there are as many ranges as memory takes
-    groups, ranges = dealing(spark, size, chunk, held=HELD)
-    most = min(chunk, max(1, size // groups))
+    # a chunk is small where else some cores would idle; from some TB on chunks and ranges grow with the root of the size
+    groups, ranges = dealing(spark, size, chunk, held=max(HELD, math.isqrt(size * 10_000)))
+    most = max(1, size // groups)
     bits = min(64, max(16, size.bit_length() + SPARE))
     chunks = materialize(chunks_of(rows, most).withColumn("g", F.monotonically_increasing_id()))
     names = ["k", "n_words", "n_removed", "kept_sha256", "kept"][: 4 + with_kept]
