@@ -119,6 +119,7 @@ _open: dict[str, Tokenizer] = {}
 def tokenizer(path: str) -> Tokenizer:
     if path not in _open:
         _open[path] = Tokenizer(path)
+        tk.keeps(__name__, _open.clear)
         tk.give_back()  # reading the file takes more than what stays
     return _open[path]
 

@@ -34,11 +34,29 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: What modules keep between the tasks of a worker, and how each is let go.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(module: str, let_go: Callable[[], None]) -> None:
+    _kept[module] = let_go
+
+
+def let_others_go(module: str) -> None:
+    """Lets go of what other modules have kept: a worker that goes on with another operator's tasks needs its memory for them."""
+    others = [name for name in _kept if name != module]
+    for name in others:
+        _kept.pop(name)()
+    if others:
+        give_back()
+
+
 def lean(body: Callable) -> Callable:
     """A worker function (of batches, or of tables) that gives memory back when it is done."""
 
     @wraps(body)
     def batches(rows):
+        let_others_go(body.__module__)
         try:
             yield from body(rows)
         finally:
