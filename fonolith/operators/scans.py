@@ -34,6 +34,12 @@ def large_keys(rows: DataFrame, key: str, most: int) -> DataFrame:
     return materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(key))
 
 
+def dealt(rows: DataFrame, key: str, size: Column, most: int) -> DataFrame:
+    """rows dealt by a key to as many tasks as leave each about so much of the total size, so that a task's memory doesn't grow with the input."""
+    total = rows.agg(F.sum(size).alias("n")).first()["n"] or 0
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-int(total) // most)), key)
+
+
 def running(rows: DataFrame, key: str | None, order: list[Column], before: bool = False, again: bool = False, **values: tuple[str, Column]) -> DataFrame:
     """rows with a column for each name: an aggregate ("sum", "max" or "xor") of a value over the rows of the same key so far.
 

@@ -33,6 +33,8 @@ GENERATOR, DECIMALS = "spanish-viseme-pipeline", 3
 
 #: Words, or spans, of a recording that one task may have.
 LONG = 500_000
+#: Bytes of texts, and words, that a task is dealt; a text of that size gives some 350,000 spans.
+TASK_BYTES, TASK_WORDS = 2**19, 2**16 + 2**15
 #: Words of a phrase that are cut by a fold, which takes a time that grows with their square; more are cut as rows.
 MANY_WORDS = 2000
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fonolith.operators.scans import dealt
+from fonolith.schema import TASK_BYTES
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -13,7 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(audio_id, seg, wi, word_idx, word, start_ms, end_ms): the tokens of each conversation, spoken one after the other."""
     tokens = F.filter(F.split("text", "[ \t\r\n]+"), lambda t: t != "")
-    each = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("audio_id"), F.col("turn").alias("seg"), F.posexplode(tokens).alias("wi", "word"))
+    # texts are dealt, not their many words
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("audio_id"), F.col("turn").alias("seg"), "text")
+    each = dealt(turns, "audio_id", F.octet_length("text"), TASK_BYTES).select("audio_id", "seg", F.posexplode(tokens).alias("wi", "word"))
     beat = F.col("seg") * 31 + F.col("wi") * 7
     duration = 80 + 45 * F.least(F.length("word"), F.lit(12))
     gap = F.when(beat % 11 == 0, 300).when(beat % 5 == 0, 40).otherwise(0)

@@ -34,3 +34,20 @@ def test_a_large_key_is_in_many_tasks(spark):
         assert got.where("s <> i * (i + 1) / 2").count() == 0
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_dealt(spark, monkeypatch):
+    """Tasks have a bounded share: their number follows the size, and the timeline keeps the dealing of its texts."""
+    from fonolith.operators.scans import dealt
+    from fonolith.plans.queries import QUERIES
+    from fonolith.sources import derived
+
+    rows = spark.range(1000).withColumn("k", F.col("id") % 100)
+    by = dealt(rows, "k", F.lit(10), 100)
+    assert by.rdd.getNumPartitions() == 100 and sorted(r.id for r in by.collect()) == list(range(1000))
+    assert dealt(rows, "k", F.lit(None).cast("int"), 100).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    sf_dir = "/root/testdata/sf0.001"
+    total = derived.table(spark, sf_dir, "conversations").agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(derived, "TASK_BYTES", 1000)
+    for name in ("timeline_sil", "timeline_clamped"):
+        assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == -(-total // 1000)
