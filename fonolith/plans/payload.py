@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fonolith.functions.text import language_or_default, seconds, strip
-from fonolith.operators.scans import large_keys
+from fonolith.operators.scans import dealt, large_keys
 from fonolith.operators.spans import timeline, word_spans
 from fonolith.operators.words import spans_of, transcripts, with_visemes
-from fonolith.schema import DECIMALS, GENERATOR, LONG, SILENCE_MS, VISEMES
+from fonolith.schema import DECIMALS, GENERATOR, LONG, SILENCE_MS, TASK_WORDS, VISEMES
 from fonolith.storage import materialize
 
 _SPAN = "array<struct<viseme string, start double, end double>>"
@@ -38,7 +38,9 @@ def shaped_words(words: DataFrame) -> DataFrame:
 
 def recording_timeline(shapes: DataFrame, silence: bool = True, threshold: float = SILENCE_MS) -> DataFrame:
     """The timeline of each recording of with_visemes(), written once; of recordings of very many words in parts."""
-    return materialize(timeline(spans_of(shapes), silence, threshold, large_keys(shapes, "audio_id", LONG)))
+    # words are dealt, not their many spans
+    spans = spans_of(dealt(shapes, "audio_id", F.lit(1), TASK_WORDS))
+    return materialize(timeline(spans, silence, threshold, large_keys(shapes, "audio_id", LONG)))
 
 
 def _head(model: str) -> Column:

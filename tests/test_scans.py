@@ -51,3 +51,19 @@ def test_dealt(spark, monkeypatch):
     monkeypatch.setattr(derived, "TASK_BYTES", 1000)
     for name in ("timeline_sil", "timeline_clamped"):
         assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == -(-total // 1000)
+
+
+def test_timeline_of_dealt_words(spark, monkeypatch):
+    """Words of a payload's timeline are dealt before they are cut into spans; the spans are those of the query."""
+    from fonolith.operators import scans
+    from fonolith.plans import payload
+    from fonolith.plans.queries import _timeline
+    from fonolith.sources import derived
+
+    asked = []
+    monkeypatch.setattr(payload, "dealt", lambda rows, key, size, most: asked.append((rows.columns, most)) or scans.dealt(rows, key, size, 100))
+    sf_dir = "/root/testdata/sf0.001"
+    line = payload.recording_timeline(payload.shaped_words(derived.words(spark, sf_dir)))
+    assert len(asked) == 1 and "word" in asked[0][0]
+    want = _timeline(spark, sf_dir, True)
+    assert sorted(map(tuple, line.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
