@@ -6,6 +6,8 @@ replacements, which are compiled, while functions over arrays would run a step a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,15 +26,39 @@ _WIDE = {"ch": "C", "ll": "L", "rr": "R", "ny": "N"}
 _MARK = {u: _WIDE.get(u, chr(0xE000 + ord(u[0]))) for units in SPELLING.values() for u in units}
 #: The character of a shape.
 _SHAPE = {v: chr(ord("A") + i) for i, v in enumerate(VISEMES)}
+#: What stands before and after a word while it is read, and a single letter's, or mark's, unit.
+_BEGIN, _END = "\ue000", "\ue001"
+_SINGLE = {**{m: u for u, m in _MARK.items() if u not in _WIDE}, **{a: _WIDE.get(u, u) for a, u in LETTER.items()}}
+#: What follows soft letters.
+_SOFT = "(?=[ei]|$)"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _read(word: Column) -> Column:
+    """A normalized word between _BEGIN and _END, with marks for spelling of more than one letter.
+
+    Plain replacements take a fraction of what patterns take, so all that they can say is said by them.
+    """
+    code = F.concat(F.lit(_BEGIN), word, F.lit(_END))
+    for spelling, units in SPELLING.items():
+        marks = "".join(_MARK[u] for u in units)
+        letters = spelling.removesuffix(_SOFT).removesuffix("$")
+        after = "ei" + _END if spelling.endswith(_SOFT) else _END if spelling.endswith("$") else ("",)
+        if letters.isalpha():
+            for x in after:
+                code = F.replace(code, F.lit(letters + x), F.lit(marks + x))
+        else:
+            code = F.regexp_replace(code, spelling, marks)
+    return code
 
 
 def unit_codes(word: Column) -> Column:
     """The units of a normalized word, a character each; empty for a word of digits."""
-    code = word
-    for spelling, units in SPELLING.items():
-        code = F.regexp_replace(code, spelling, "".join(_MARK[u] for u in units))
-    single = {**{m: u for u, m in _MARK.items() if u not in _WIDE}, **{a: _WIDE.get(u, u) for a, u in LETTER.items()}}
-    return F.translate(code, "".join(single) + SILENT, "".join(single.values()))
+    return F.translate(_read(word), "".join(_SINGLE) + SILENT + _BEGIN + _END, "".join(_SINGLE.values()))
 
 
 def characters(codes: Column) -> Column:
@@ -61,7 +87,14 @@ def visemes(units: Column) -> Column:
 def shape_codes(word: Column) -> Column:
     """The mouth shapes of a normalized word, a character each; silence if it has no units."""
     table = {_WIDE.get(u, u): _SHAPE[v] for u, v in UNIT_TO_VISEME.items() if len(_WIDE.get(u, u)) == 1}
-    return F.regexp_replace(F.translate(unit_codes(word), "".join(table), "".join(table.values())), "^$", _SHAPE["SIL"])
+    table = {c: table.get(_SINGLE.get(c, c), _SINGLE.get(c, c)) for c in (*_SINGLE, *table) if c not in SILENT}
+
+    def shapes(w: Column) -> Column:
+        codes = F.translate(_read(w), "".join(table) + SILENT, "".join(table.values()))
+        return F.translate(F.replace(codes, F.lit(_BEGIN + _END), F.lit(_SHAPE["SIL"])), _BEGIN + _END, "")
+
+    # with the rows' other columns in one generated method these many steps would be more than the JVM compiles; let() keeps them out of it
+    return let(word, shapes)
 
 
 def shape_number(code: Column) -> Column:

@@ -29,9 +29,13 @@ def first_filled(*columns: Column) -> Column:
 def normalize_word(c: Column) -> Column:
     """Lower case without acute accents; letters, digits, ñ, ü and inner apostrophes and hyphens stay."""
     # the characters of words, and what stands for others: fixed values
-    t = F.translate(F.lower(strip(F.coalesce(c, F.lit("")))), "’`áéíóú", "''aeiou")
-    t = F.regexp_replace(t, "^[^a-z0-9ñü]+|[^a-z0-9ñü]+$", "")
-    return F.regexp_replace(t, "[^a-z0-9ñü'-]+", "")
+    t = F.translate(F.lower(F.coalesce(c, F.lit(""))), "’`áéíóú", "''aeiou")
+    return F.regexp_replace(t, "^[^a-z0-9ñü]+|[^a-z0-9ñü]+$|[^a-z0-9ñü'-]+", "")
+
+
+def is_word(c: Column) -> Column:
+    """Whether normalize_word() leaves anything, without its replacements; false for null."""
+    return F.coalesce(F.lower(c).rlike("[a-z0-9ñüáéíóú]"), F.lit(False))
 
 
 def normalize_text(c: Column) -> Column:
@@ -77,6 +81,17 @@ def seconds(ms: Column) -> Column:
     return F.when(ms.isNotNull(), F.round(F.greatest(F.lit(0.0), ms / F.lit(1000.0)) + F.lit(1e-9), 3))
 
 
+def clock(ms: Column) -> Column:
+    """decimals() of seconds(), which are rounded once."""
+    return F.when(ms.isNotNull(), decimals(F.greatest(F.lit(0.0), ms / F.lit(1000.0)) + F.lit(1e-9)))
+
+
+def decimals(c: Column) -> Column:
+    """Seconds as text with three decimals, rounded as round() does; null stays null."""
+    # takes a fraction of what a format takes
+    return c.cast("decimal(20,3)").cast("string")
+
+
 @F.pandas_udf(StringType())
 def without_accents(names: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks, for which Spark has no function.  Used once an audio file."""

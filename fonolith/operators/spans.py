@@ -12,35 +12,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fonolith.functions.pronunciation import characters, shape_name, shape_number
+from fonolith.functions.pronunciation import characters, let, shape_name, shape_number
 from fonolith.operators.scans import apart, running
 from fonolith.schema import OTHER_WEIGHT, SILENCE_MS, TOLERANCE_MS, VISEMES, WEIGHTS
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _runs(codes: Column) -> Column:
+    """The runs of equal shapes in codes, see shape_codes()."""
+    return F.regexp_extract_all(codes, F.lit(r"(.)\1*"), F.lit(0))
 
 
-def shape_runs(codes: Column, merged: bool = True) -> Column:
-    """array<struct<code, before, upto, total>>: each shape with the weights of all before it, up to its end, and of all.
-
-    merged: equal neighbours are one.  codes: see shape_codes().
-    """
+def _sums(runs: Column) -> Column:
+    """Zero, and the weights of all shapes up to the end of each run."""
     weights = F.array(*(F.lit(WEIGHTS.get(v, OTHER_WEIGHT)) for v in VISEMES))
+    return F.aggregate(runs, F.array(F.lit(0)), lambda a, r: F.array_append(a, F.element_at(a, -1) + F.length(r) * F.get(weights, shape_number(r))))
 
-    def runs(v: Column) -> Column:
-        sums = F.aggregate(v, F.array(F.lit(0)), lambda a, c: F.array_append(a, F.get(a, F.size(a) - 1) + F.get(weights, shape_number(c))))
-        places = F.sequence(F.lit(0), F.size(v) - 1)
-        heads = F.filter(places, lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1))) if merged else places
-
-        def spans(c: Column, h: Column) -> Column:
-            upto = lambda i, k: F.coalesce(F.get(h, k + 1), F.size(v)) if merged else i + 1
-            return F.transform(h, lambda i, k: F.struct(F.get(v, i).alias("code"), F.get(c, i).alias("before"), F.get(c, upto(i, k)).alias("upto"), F.get(c, F.size(v)).alias("total")))
 
-        return _let(sums, lambda c: _let(heads, lambda h: spans(c, h)))
+def shape_runs(codes: Column, merged: bool = True) -> Column:
+    """array<struct<code, before, upto, total>>: each shape with the weights of all before it, up to its end, and of all.
 
-    return _let(characters(codes), runs)
+    merged: equal neighbours are one, and code has the character of each.  codes: see shape_codes().
+    """
+    spans = lambda runs, c: F.transform(runs, lambda r, i: F.struct(r.alias("code"), F.get(c, i).alias("before"), F.get(c, i + 1).alias("upto"), F.element_at(c, -1).alias("total")))
+    return let(_runs(codes) if merged else characters(codes), lambda runs: let(_sums(runs), lambda c: spans(runs, c)))
 
 
 def _times(start: Column, end: Column, run: Column) -> tuple[Column, Column]:
@@ -49,18 +43,23 @@ def _times(start: Column, end: Column, run: Column) -> tuple[Column, Column]:
     return at("before"), F.when(run["upto"] == run["total"], end.cast("double")).otherwise(at("upto"))
 
 
-def word_spans(start: Column, end: Column, codes: Column) -> Column:
+def _span(viseme: Column, start: Column, end: Column) -> Column:
+    return F.struct(viseme.alias("viseme"), start.alias("start_ms"), end.alias("end_ms"))
+
+
+def word_spans(start: Column, end: Column, codes: Column, time: Callable[[Column], Column] = lambda t: t, span: Callable[[Column, Column, Column], Column] = _span) -> Column:
     """array<struct<viseme, start_ms, end_ms>>: the word's time in proportion to weights, equal neighbours merged.
 
     The spans of a word touch each other, so merging is run-length encoding; all happens within the row, without a
-    shuffle.  No spans if the word has no duration.  codes: see shape_codes().
+    shuffle.  No spans if the word has no duration.  codes: see shape_codes().  time: what is made of a time where a span ends and the
+    next one starts, once for both; span: what is made of a shape and its two times.
     """
 
-    def span(r: Column) -> Column:
-        a, z = _times(start, end, r)
-        return F.struct(shape_name(r["code"]).alias("viseme"), a.alias("start_ms"), z.alias("end_ms"))
+    def times(c: Column) -> Column:
+        return F.transform(c, lambda x: time(F.when(x == F.element_at(c, -1), end.cast("double")).otherwise(start + (end - start) * x / F.element_at(c, -1))))
 
-    return F.when(end > start, F.transform(shape_runs(codes), span)).otherwise(F.array().cast("array<struct<viseme:string,start_ms:double,end_ms:double>>"))
+    spans = let(_runs(codes), lambda runs: let(let(_sums(runs), times), lambda t: F.transform(runs, lambda r, i: span(shape_name(r), F.get(t, i), F.get(t, i + 1)))))
+    return F.when(end > start, spans).otherwise(F.array())
 
 
 def dealt_spans(words: DataFrame, *keep: str, merged: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fonolith.functions.pronunciation import shape_codes
-from fonolith.functions.text import join_plain, normalize_word, strip
+from fonolith.functions.text import is_word, join_plain, normalize_word, strip
 from fonolith.operators.scans import apart, running
 from fonolith.operators.spans import dealt_spans
 
@@ -24,7 +24,8 @@ def valid_words(words: DataFrame, long: DataFrame | None = None) -> DataFrame:
 
 def with_visemes(words: DataFrame) -> DataFrame:
     """words with norm (normalized) and codes (their shapes, see shape_codes()); words that normalize to nothing go."""
-    rows = words.withColumn("norm", normalize_word(F.col("word"))).where("norm <> ''")
+    # a filter on norm would compute it once more
+    rows = words.where(is_word(F.col("word"))).withColumn("norm", normalize_word(F.col("word")))
     return rows.withColumn("codes", shape_codes(F.col("norm")))
 
 

@@ -1,10 +1,13 @@
 """Text and pronunciation functions against vectors traced by hand."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from fonolith.functions.pronunciation import unit_viseme, visemes, word_units
-from fonolith.functions.text import audio_prefix, ends_phrase, join_tokens, language_or_default, normalize_text, normalize_word, seconds
+from fonolith.functions.pronunciation import SPELLING, shape_codes, shape_names, unit_viseme, visemes, word_units
+from fonolith.functions.text import audio_prefix, clock, ends_phrase, is_word, join_tokens, language_or_default, normalize_text, normalize_word, seconds
 
 
 def apply(spark, f, values, kind="string"):
@@ -25,6 +28,38 @@ def test_normalize_word(spark):
     assert apply(spark, normalize_word, WORDS) == list(WORDS.values())
 
 
+def test_normalize_word_step_by_step(spark):
+    """One pass leaves what stripping, trimming and dropping after each other leave; is_word() says whether that is anything."""
+    rng = random.Random(3)
+    words = [None, "", *("".join(rng.choice("aB1ñÜ'’`-!¿ \n\x85\u3000éÁ…\u212a😀") for _ in range(rng.randrange(8))) for _ in range(600))]
+    steps = []
+    for w in words:
+        t = (w or "").lower().translate(str.maketrans("’`áéíóú", "''aeiou"))
+        steps.append(re.sub("[^a-z0-9ñü'-]+", "", re.sub(r"^[^a-z0-9ñü]+|[^a-z0-9ñü]+\Z", "", t)))
+    assert apply(spark, normalize_word, words) == steps
+    assert apply(spark, is_word, words) == [t != "" for t in steps]
+
+
+def test_spelling_pattern_by_pattern(spark):
+    """Plain replacements read a word as the patterns of SPELLING do; shapes are those of the units."""
+    rng = random.Random(4)
+    words = ["", *("".join(rng.choice("gguqcclrryeiaüñhx'-7k") for _ in range(rng.randrange(7))) for _ in range(600))]
+    marks = {u: chr(0xF000 + i) for i, u in enumerate(sorted({u for units in SPELLING.values() for u in units}))}
+    single = {"v": "b", "q": "k", "c": "k", "z": "s", "x": "s", "ñ": "ny", "w": "u", "ü": "u", **dict.fromkeys("h'-0123456789"), **{m: u for u, m in marks.items()}}
+    want = []
+    for w in words:
+        for spelling, units in SPELLING.items():
+            w = re.sub(spelling, "".join(marks[u] for u in units), w)
+        want.append(" ".join(u for u in (single.get(c, c) for c in w) if u))
+    assert apply(spark, lambda c: F.array_join(word_units(c), " "), words) == want
+    assert apply(spark, lambda c: F.array_join(shape_names(shape_codes(c)), " "), words) == apply(spark, lambda c: F.array_join(visemes(word_units(c)), " "), words)
+
+
+def test_clock(spark):
+    ms = [None, -3.0, 0.0, 0.4999, 0.5, 1234.4, 1234.5, 61_000.0, 86_400_000.25, *(random.Random(5).uniform(0, 4e7) for _ in range(200))]
+    assert apply(spark, clock, ms, "double") == [None if x is None else f"{x:.3f}" for x in apply(spark, seconds, ms, "double")]
+
+
 def test_normalize_text(spark):
     assert apply(spark, normalize_text, TEXTS) == list(TEXTS.values())
 

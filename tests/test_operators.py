@@ -378,6 +378,15 @@ def test_one_reading_of_spelling(spark):
     assert plan.count("gü(?=[ei])") == 1
 
 
+def test_words_are_normalized_once(spark):
+    """A word is normalized once, not for a filter and for its column; a time that two spans share becomes text once."""
+    from fonolith.plans.queries import QUERIES
+
+    plan = QUERIES["main_words"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("^[^a-z0-9ñü]+") == 1
+    assert "format_string" not in plan and plan.count("as decimal(20,3)") == 1
+
+
 def test_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_transcripts(spark, str(tmp_path / "none.json"))
