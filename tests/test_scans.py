@@ -67,3 +67,20 @@ def test_timeline_of_dealt_words(spark, monkeypatch):
     assert len(asked) == 1 and "word" in asked[0][0]
     want = _timeline(spark, sf_dir, True)
     assert sorted(map(tuple, line.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_mouth_cues_keep_the_dealing(spark, monkeypatch):
+    """The payloads of cues are gathered where the texts were dealt, by as many tasks and without another exchange."""
+    from fonolith.plans.queries import QUERIES
+    from fonolith.sources import derived
+
+    sf_dir = "/root/testdata/sf0.001"
+    total = derived.table(spark, sf_dir, "conversations").agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(derived, "TASK_BYTES", 1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = QUERIES["mouth_cue_payload"](spark, sf_dir)
+        assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+        assert rows.rdd.getNumPartitions() == -(-total // 1000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
