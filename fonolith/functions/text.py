@@ -11,6 +11,8 @@ from pyspark.sql.types import StringType
 
 #: The characters that Unicode-aware stripping removes; Java's \s and trim know fewer (a fixed value).
 BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: These characters one by one.
+_BLANKS = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: A token that ends a phrase: full stops, exclamation or question marks, then closing quotes or brackets (a fixed value).
 PHRASE_END = r"""[.!?]+["')\]]*$"""
 #: Characters that take no blank before them, and those that take none after them (fixed values).
@@ -18,7 +20,8 @@ NO_BLANK_BEFORE, NO_BLANK_AFTER = ".,!?;:)]}", "([{\"'"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+    # looks at the ends only, where a pattern would try every place
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def first_filled(*columns: Column) -> Column:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fonolith.functions.pronunciation import SPELLING, shape_codes, shape_names, unit_viseme, visemes, word_units
-from fonolith.functions.text import audio_prefix, clock, ends_phrase, is_word, join_tokens, language_or_default, normalize_text, normalize_word, seconds
+from fonolith.functions.text import BLANK, audio_prefix, clock, ends_phrase, is_word, join_tokens, language_or_default, normalize_text, normalize_word, seconds, strip
 
 
 def apply(spark, f, values, kind="string"):
@@ -60,6 +60,15 @@ def test_clock(spark):
     assert apply(spark, clock, ms, "double") == [None if x is None else f"{x:.3f}" for x in apply(spark, seconds, ms, "double")]
 
 
+def test_strip(spark):
+    """All that BLANK names goes at both ends, nothing else, and without a pattern."""
+    blanks = [chr(i) for i in range(0x3100) if re.match(BLANK, chr(i))]
+    rng = random.Random(6)
+    texts = [None, "", " ", *(f"{b}a{b}b{b}{b}" for b in blanks), *("".join(rng.choice(["a", "é", "😀", "\u200b", "\ufeff", *blanks]) for _ in range(rng.randrange(7))) for _ in range(300))]
+    assert len(blanks) == 29 and apply(spark, strip, texts) == [None if t is None else re.sub(f"^{BLANK}+|{BLANK}+$", "", t) for t in texts]
+    assert "regexp" not in spark.range(1).select(strip(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+
+
 def test_normalize_text(spark):
     assert apply(spark, normalize_text, TEXTS) == list(TEXTS.values())
 
