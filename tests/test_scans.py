@@ -84,3 +84,21 @@ def test_mouth_cues_keep_the_dealing(spark, monkeypatch):
         assert rows.rdd.getNumPartitions() == -(-total // 1000)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_mouth_cues_of_more_recordings(spark, monkeypatch, tmp_path):
+    """Six times the recordings give each its cues, and the largest task no larger share of them."""
+    from fonolith.plans.queries import QUERIES
+    from fonolith.sources import derived
+
+    monkeypatch.setattr(derived, "TASK_BYTES", 8000)
+    turns, least, times = derived.table(spark, "/root/testdata/sf0.001", "conversations"), 1_000_000, 6
+    cues, most = {}, {}
+    for n in (1, times):
+        copies = turns.crossJoin(spark.range(n)).withColumn("conv_id", F.col("conv_id") + F.col("id") * least).drop("id")
+        copies.write.parquet(f"{tmp_path}/{n}/conversations.parquet")
+        rows = QUERIES["mouth_cue_payload"](spark, f"{tmp_path}/{n}").withColumn("task", F.spark_partition_id()).collect()
+        cues[n] = {r.audio_id: r.cues for r in rows}
+        most[n] = max(sum(len(r.cues) for r in rows if r.task == k) for k in {r.task for r in rows})
+    assert cues[times] == {i + k * least: c for i, c in cues[1].items() for k in range(times)}
+    assert most[times] < 2 * most[1]
